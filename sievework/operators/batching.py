@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sievework.operators.ranking import ROWS_PER_RANGE, running_totals
@@ -26,6 +26,10 @@ def key_histogram(df: DataFrame, key: str, count: str | None = None) -> DataFram
     return df.groupBy(key).agg(n.alias("n"))
 
 
+def _middle(low: Column, high: Column) -> Column:
+    return F.shiftright(low + high, 1)
+
+
 def range_bisect(
     histogram: DataFrame, low: int, high: int, limit: int = RANGE_LIMIT, key: str = "key", count: str = "n"
 ) -> DataFrame:
@@ -41,7 +45,7 @@ def range_bisect(
 
     def halved(path, value):
         last = F.element_at(path, -1)
-        middle = F.floor((last["lo"] + last["hi"]) / 2).cast("bigint")
+        middle = _middle(last["lo"], last["hi"])
         left = F.struct(last["lo"].alias("lo"), middle.alias("hi"))
         right = F.struct((middle + 1).alias("lo"), last["hi"].alias("hi"))
         return F.when(last["lo"] == last["hi"], path).otherwise(
@@ -56,20 +60,17 @@ def range_bisect(
         .groupBy("_depth", "_node.lo", "_node.hi")
         .agg(F.sum("_n").alias("n"))
     )
-    middle = F.floor((F.col("lo") + F.col("hi")) / 2).cast("bigint")
+    middle = _middle(F.col("lo"), F.col("hi"))
     split = nodes.filter((F.col("n") > limit) & (F.col("lo") < F.col("hi")))
-    open_ranges = split.select(
-        (F.col("_depth") + 1).alias("_depth"),
-        F.explode(
-            F.array(
-                F.struct("lo", middle.alias("hi")), F.struct((middle + 1).alias("lo"), "hi")
-            )
-        ).alias("_node"),
-    ).select("_depth", "_node.lo", "_node.hi")
-    single = (F.col("lo") == F.col("hi")) | (F.col("n") <= limit)
-    leaves = nodes.filter(single)
+    halves = F.array(F.struct("lo", middle.alias("hi")), F.struct((middle + 1).alias("lo"), "hi"))
+    whole = histogram.sparkSession.range(1).select(F.lit(0).alias("_depth"), root.alias("_node"))
+    open_ranges = (
+        split.select((F.col("_depth") + 1).alias("_depth"), F.explode(halves).alias("_node"))
+        .unionByName(whole)
+        .select("_depth", "_node.lo", "_node.hi")
+    )
     return (
-        leaves.filter(F.col("_depth") == 0).drop("_depth")
-        .unionByName(leaves.filter(F.col("_depth") > 0).join(open_ranges, ["_depth", "lo", "hi"], "left_semi").drop("_depth"))
-        .withColumn("over_limit", F.col("n") > limit)
+        nodes.filter((F.col("lo") == F.col("hi")) | (F.col("n") <= limit))
+        .join(open_ranges, ["_depth", "lo", "hi"], "left_semi")
+        .select("lo", "hi", "n", (F.col("n") > limit).alias("over_limit"))
     )

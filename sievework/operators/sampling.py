@@ -80,7 +80,7 @@ def sample_n(df: DataFrame, n: int = SAMPLE_SIZE, seed: int = SEED, key: str = "
     return pick_rows(df, picked, key, n).orderBy(value_order(key, seed), key).limit(n)
 
 
-def test_quotas(df: DataFrame, label: str = "label", test_share: float = TEST_SHARE) -> DataFrame:
+def split_quotas(df: DataFrame, label: str = "label", test_share: float = TEST_SHARE) -> DataFrame:
     """Test rows per class: ceil(share * n) in all, shared out by largest remainder.
 
     Ties go to the larger class. Takes one small job; there are as many rows as classes.
@@ -116,7 +116,7 @@ def stratified_split(
         drawn = F.conv(F.substring(order, 1, digits), 16, 10).cast("bigint")
         return df.withColumn("is_test", drawn < int(test_share * 16**digits))
     keyed = df.select(label, order.alias("_order"), F.col(key).alias("_key"))
-    cutoffs = quota_cutoffs(keyed, label, test_quotas(df, label, test_share))
+    cutoffs = quota_cutoffs(keyed, label, split_quotas(df, label, test_share))
     inside = F.struct(order.alias("o"), F.col(key).alias("k")) <= F.struct(
         F.col("_last_order").alias("o"), F.col("_last_key").alias("k")
     )
