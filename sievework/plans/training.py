@@ -81,6 +81,6 @@ def train(
         tree_report=metrics.classification_report(tree_tested),
         audit=audit.audit_ranking(with_flags),
         unlabeled=audit.unlabeled_audit_sample(
-            records, labels, lambda df: models.score_logistic(model, df), sample_size
+            records, rows, lambda df: models.score_logistic(model, df), sample_size
         ),
     )

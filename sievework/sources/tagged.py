@@ -83,7 +83,7 @@ def count_records(spark: SparkSession, path) -> DataFrame:
 
 
 def tagged_text(records: DataFrame) -> DataFrame:
-    """Render rows of (pmid, date, journal, title, abstract, mesh, pub_type_list) as tagged text."""
+    """Render records with date, entered, mesh and pub_type_list as tagged text."""
 
     def line(tag: str, value) -> Column:
         folded = F.replace(F.coalesce(value, F.lit("")), F.lit("\n"), F.lit("\n      "))
@@ -97,6 +97,7 @@ def tagged_text(records: DataFrame) -> DataFrame:
         F.array(
             line("PMID", F.col("pmid").cast("string")),
             line("DP", F.col("date")),
+            line("EDAT", F.col("entered")),
             line("JT", F.col("journal")),
             line("TI", F.col("title")),
             line("AB", F.col("abstract")),
