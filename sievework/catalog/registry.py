@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
-from sievework.catalog import record_queries
+from sievework.catalog import feature_queries, label_queries, metric_queries, record_queries
 
-QUERIES = {**record_queries.QUERIES}
+QUERIES = {
+    **record_queries.QUERIES,
+    **label_queries.QUERIES,
+    **metric_queries.QUERIES,
+    **feature_queries.QUERIES,
+}
+FLAGSHIP = feature_queries.top_terms

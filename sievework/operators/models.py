@@ -29,8 +29,7 @@ TREE_DEPTH = 3
 TREE_LEAF = 10
 TOP_K = 20
 
-_TERMS = SQLTransformer(
-    statement=rf"""
+_TERMS_SQL = rf"""
     SELECT *, concat(_words, zip_with(slice(_words, 1, greatest(size(_words) - 1, 0)),
                                       slice(_words, 2, greatest(size(_words) - 1, 0)),
                                       (a, b) -> concat_ws(' ', a, b))) AS _terms
@@ -38,7 +37,6 @@ _TERMS = SQLTransformer(
                  lower(concat(coalesce(title, ''), ' \n ', coalesce(abstract, ''))), R'{TOKEN}', 0) AS _words
           FROM __THIS__)
     """
-)
 
 
 def _meta_stage(columns: Sequence[str]) -> SQLTransformer:
@@ -58,7 +56,8 @@ def stack_features(
     The model adds ``features``: TF-IDF of words and bigrams, the meta columns, and
     a constant for the intercept.
     """
-    terms = _TERMS.transform(labelled)
+    split = SQLTransformer(statement=_TERMS_SQL)
+    terms = split.transform(labelled)
     counter = CountVectorizer(
         inputCol="_terms", outputCol="_counts", vocabSize=vocabulary_size, minDF=float(min_df), maxDF=max_df
     ).fit(terms)
@@ -71,7 +70,7 @@ def stack_features(
     stack = VectorAssembler(
         inputCols=["tfidf", *(f"_meta_{c}" for c in meta_columns), BIAS], outputCol="features"
     )
-    return PipelineModel([_TERMS, counter, scale, unit, meta, stack])
+    return PipelineModel([split, counter, scale, unit, meta, stack])
 
 
 def feature_names(features: PipelineModel) -> list[str]:
