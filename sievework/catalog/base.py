@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sievework.functions import headings, text
-from sievework.session import scratch_path
+from sievework.session import scratch_path, spread
 from sievework.sources import tagged
 
 MESH = (
@@ -32,7 +32,9 @@ PHRASES = (
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    scan = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    # Work per document is heavy, and a small test table is one split.
+    return spread(scan, "doc_id") if name == "documents" else scan
 
 
 def _choose(number: Column, values) -> Column:

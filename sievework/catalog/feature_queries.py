@@ -12,11 +12,11 @@ from sievework.operators import features, labels as label_ops, metrics, models
 from sievework.operators.features import MAX_DF, MIN_DF
 from sievework.operators.sampling import stratified_split
 from sievework.plans import training
-from sievework.session import scratch_path, settle, spread
+from sievework.session import scratch_path, settle
 from sievework.sources import runs
 
 # Steps of the optimiser in the registered queries.
-QUERY_ITER = 60
+QUERY_ITER = 50
 STOP_WORDS = ("the", "and", "of", "to", "in", "is", "le", "la", "de", "der", "die", "el")
 TERM_LIMIT = 2000
 
@@ -27,7 +27,7 @@ def _docs(spark, sf):
 
 def tokenize_ngrams(spark, sf):
     """Number of times each term stands in each document."""
-    docs = features.with_terms(spread(_docs(spark, sf)), "text")
+    docs = features.with_terms(_docs(spark, sf), "text")
     return features.term_counts(docs)
 
 

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sievework.operators.ranking import ROWS_PER_RANGE, running_totals
+from sievework.session import settle
 
 # Most rows of a range, ids of a batch.
 RANGE_LIMIT = 9000
@@ -31,46 +34,76 @@ def _middle(low: Column, high: Column) -> Column:
 
 
 def range_bisect(
-    histogram: DataFrame, low: int, high: int, limit: int = RANGE_LIMIT, key: str = "key", count: str = "n"
+    histogram: DataFrame,
+    low: int,
+    high: int,
+    limit: int = RANGE_LIMIT,
+    key: str = "key",
+    count: str = "n",
+    levels: int = 6,
 ) -> DataFrame:
     """Halve [low, high] until no range holds more than ``limit`` rows.
 
     Returns ``lo, hi, n`` and ``over_limit``, which marks a single value above the
     limit; empty ranges are left out. Where a range is halved depends on its ends
-    only, so each key's range at every depth is known beforehand: one aggregation
-    counts all depths, and a range is kept if its parent is over the limit and it
-    is not, or it cannot be halved.
+    only, so one aggregation counts the next ``levels`` levels at once. Keys go on
+    to the next round only while their range is still over the limit.
     """
-    root = F.struct(F.lit(low).cast("bigint").alias("lo"), F.lit(high).cast("bigint").alias("hi"))
-
-    def halved(path, value):
-        last = F.element_at(path, -1)
-        middle = _middle(last["lo"], last["hi"])
-        left = F.struct(last["lo"].alias("lo"), middle.alias("hi"))
-        right = F.struct((middle + 1).alias("lo"), last["hi"].alias("hi"))
-        return F.when(last["lo"] == last["hi"], path).otherwise(
-            F.array_append(path, F.when(value <= middle, left).otherwise(right))
+    active = settle(
+        histogram.filter(F.col(key).between(low, high)).select(
+            F.col(key).cast("bigint").alias("_key"),
+            F.col(count).alias("_n"),
+            F.lit(low).cast("bigint").alias("_lo0"),
+            F.lit(high).cast("bigint").alias("_hi0"),
         )
-
-    depths = max(high - low, 1).bit_length() + 1
-    inside = histogram.filter(F.col(key).between(low, high)).select(F.col(key).cast("bigint").alias("_k"), F.col(count).alias("_n"))
-    path = F.aggregate(F.sequence(F.lit(1), F.lit(depths)), F.array(root), lambda acc, _: halved(acc, F.col("_k")))
-    nodes = (
-        inside.select("_n", F.posexplode_outer(path).alias("_depth", "_node"))
-        .groupBy("_depth", "_node.lo", "_node.hi")
-        .agg(F.sum("_n").alias("n"))
-    )
-    middle = _middle(F.col("lo"), F.col("hi"))
-    split = nodes.filter((F.col("n") > limit) & (F.col("lo") < F.col("hi")))
-    halves = F.array(F.struct("lo", middle.alias("hi")), F.struct((middle + 1).alias("lo"), "hi"))
-    whole = histogram.sparkSession.range(1).select(F.lit(0).alias("_depth"), root.alias("_node"))
-    open_ranges = (
-        split.select((F.col("_depth") + 1).alias("_depth"), F.explode(halves).alias("_node"))
-        .unionByName(whole)
-        .select("_depth", "_node.lo", "_node.hi")
-    )
-    return (
-        nodes.filter((F.col("lo") == F.col("hi")) | (F.col("n") <= limit))
-        .join(open_ranges, ["_depth", "lo", "hi"], "left_semi")
-        .select("lo", "hi", "n", (F.col("n") > limit).alias("over_limit"))
     )
+    done, over = F.col("n") <= limit, F.col("n") > limit
+    single = F.col("lo") == F.col("hi")
+    leaves, first = [], True
+    while True:
+        path = active
+        for i in range(levels):
+            lo, hi, left = F.col(f"_lo{i}"), F.col(f"_hi{i}"), F.col("_key") <= F.col("_mid")
+            path = path.withColumn("_mid", _middle(lo, hi)).withColumns(
+                {
+                    f"_lo{i + 1}": F.when(left, lo).otherwise(F.col("_mid") + 1),
+                    f"_hi{i + 1}": F.when(left, F.col("_mid")).otherwise(hi),
+                }
+            )
+        steps = F.array(
+            *(
+                F.struct(
+                    F.lit(i).alias("depth"),
+                    F.col(f"_lo{i}").alias("lo"),
+                    F.col(f"_hi{i}").alias("hi"),
+                    F.col(f"_lo{max(i - 1, 0)}").alias("parent_lo"),
+                    F.col(f"_hi{max(i - 1, 0)}").alias("parent_hi"),
+                )
+                for i in range(levels + 1)
+            )
+        )
+        nodes = settle(
+            path.select("_n", F.explode_outer(steps).alias("_node"))
+            .select("_n", "_node.*")
+            .groupBy("depth", "lo", "hi", "parent_lo", "parent_hi")
+            .agg(F.sum("_n").alias("n"))
+        )
+        split = nodes.filter(over & ~single).select(
+            (F.col("depth") + 1).alias("depth"), F.col("lo").alias("parent_lo"), F.col("hi").alias("parent_hi")
+        )
+        children = nodes.filter("depth > 0").join(split, ["depth", "parent_lo", "parent_hi"], "left_semi")
+        leaves.append(children.filter(done | single))
+        if first:
+            leaves.append(nodes.filter("depth = 0").filter(done | single))
+            first = False
+        still_over = nodes.filter(over & ~single & (F.col("depth") == levels)).select(
+            F.col("lo").alias(f"_lo{levels}"), F.col("hi").alias(f"_hi{levels}")
+        )
+        if still_over.isEmpty():
+            break
+        active = settle(
+            path.join(still_over, [f"_lo{levels}", f"_hi{levels}"], "left_semi").select(
+                "_key", "_n", F.col(f"_lo{levels}").alias("_lo0"), F.col(f"_hi{levels}").alias("_hi0")
+            )
+        )
+    return reduce(DataFrame.unionByName, leaves).select("lo", "hi", F.col("n").cast("bigint").alias("n"), over.alias("over_limit"))

@@ -10,7 +10,7 @@ from pyspark.sql import Window
 
 from sievework.functions.text import WORD
 from sievework.operators.ranking import quota_cutoffs, running_totals, value_order
-from sievework.session import spread
+from sievework.session import settle
 
 # A term is kept if it is in at least 3 documents and at most 95 % of them;
 # a token has at least two word characters; the size limit of the first version.
@@ -100,7 +100,7 @@ def doc_frequency_prune(
     docs: DataFrame, text: str, min_df: int = MIN_DF, max_df: float = MAX_DF, bigrams: bool = True
 ) -> DataFrame:
     """Rows (term, df) of the terms that are neither too rare nor too common."""
-    terms = with_terms(spread(docs.select(text)), text, bigrams=bigrams)
+    terms = with_terms(docs.select(text), text, bigrams=bigrams)
     once = terms.select(F.explode_outer(F.array_distinct("terms")).alias("term")).filter(F.col("term").isNotNull())
     return _vocabulary(once, count_documents(docs), min_df, max_df, False)
 
@@ -111,6 +111,7 @@ def limit_features(vocabulary: DataFrame, max_features: int, seed: int = 0) -> D
     The smallest frequency that is kept comes from a count of terms per frequency;
     only the terms with just that frequency have to be told apart.
     """
+    vocabulary = settle(vocabulary)
     levels = vocabulary.groupBy("total_tf").agg(F.count(F.lit(1)).alias("_n"))
     level = (
         running_totals(levels, "total_tf", {"_upto": "_n"}, descending=True)
@@ -134,6 +135,15 @@ def limit_features(vocabulary: DataFrame, max_features: int, seed: int = 0) -> D
     return above.unionByName(kept.select(*vocabulary.columns))
 
 
+def fit_vocabulary(
+    docs: DataFrame, text: str, min_df: int = MIN_DF, max_df: float = MAX_DF, max_features: int = MAX_FEATURES
+) -> DataFrame:
+    """Rows (term, df) of at most ``max_features`` terms."""
+    counts = term_counts(with_terms(docs.select(text), text).withColumn("_doc", F.lit(0)), "_doc")
+    vocabulary = _vocabulary(counts, count_documents(docs), min_df, max_df, True)
+    return limit_features(vocabulary, max_features).select("term", "df")
+
+
 def tfidf(
     docs: DataFrame,
     text: str,
@@ -153,7 +163,7 @@ def tfidf(
     shuffle as the vocabulary has a known size.
     """
     n_docs = count_documents(docs)
-    terms = with_terms(spread(docs.select(key, text)), text, bigrams=bigrams, stop_words=stop_words)
+    terms = with_terms(docs.select(key, text), text, bigrams=bigrams, stop_words=stop_words)
     counts = term_counts(terms, key)
     vocabulary = _vocabulary(counts, n_docs, min_df, max_df, max_features is not None)
     if max_features is not None:

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Sequence
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression
-from pyspark.ml.feature import IDF, CountVectorizer, ElementwiseProduct, Normalizer, SQLTransformer, VectorAssembler
+from pyspark.ml.feature import CountVectorizer, ElementwiseProduct, Normalizer, SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame, SparkSession
@@ -15,14 +16,18 @@ from pyspark.sql import functions as F
 
 from sievework.functions.patterns import FLAG_COLUMNS
 from sievework.functions.scores import META_COLUMNS
-from sievework.operators.features import MAX_DF, MIN_DF, TOKEN
+from sievework.functions.text import build_text
+from sievework.operators.features import MAX_DF, MIN_DF, TOKEN, fit_vocabulary
 from sievework.operators.metrics import with_class_weight
+from sievework.session import scratch_path, settle
 
 META_PREFIX = "__META_"
 BIAS = "_bias"
 # Bounds the coefficient vector, which every training step sends to all executors.
 VOCABULARY_SIZE = 1 << 18
 
+ROWS_PER_TASK = 20_000
+
 # Steps of the optimiser, depth and leaf size of the tree, features listed.
 MAX_ITER = 5000
 TREE_DEPTH = 3
@@ -56,21 +61,24 @@ def stack_features(
     The model adds ``features``: TF-IDF of words and bigrams, the meta columns, and
     a constant for the intercept.
     """
-    split = SQLTransformer(statement=_TERMS_SQL)
-    terms = split.transform(labelled)
-    counter = CountVectorizer(
-        inputCol="_terms", outputCol="_counts", vocabSize=vocabulary_size, minDF=float(min_df), maxDF=max_df
-    ).fit(terms)
-    idf = IDF(inputCol="_counts", outputCol="_idf").fit(counter.transform(terms)).idf
+    texts = labelled.select(build_text().alias("_text"))
+    vocabulary = settle(fit_vocabulary(texts, "_text", min_df, max_df, vocabulary_size))
+    counter = CountVectorizer(inputCol="_terms", outputCol="_counts", vocabSize=vocabulary_size, minDF=1.0).fit(
+        vocabulary.select(F.array("term").alias("_terms"))
+    )
+    # At most ``vocabulary_size`` rows; the model holds them anyway.
+    found_in = dict(vocabulary.toPandas().itertuples(index=False))
+    n_docs = labelled.count()
+    idf = [math.log((1 + n_docs) / (1 + found_in[term])) + 1 for term in counter.vocabulary]
     meta = _meta_stage(meta_columns)
     scale = ElementwiseProduct(
-        inputCol="_counts", outputCol="_scaled", scalingVec=Vectors.dense([v + 1.0 for v in idf.toArray()])
+        inputCol="_counts", outputCol="_scaled", scalingVec=Vectors.dense(idf)
     )
     unit = Normalizer(inputCol="_scaled", outputCol="tfidf", p=2.0)
     stack = VectorAssembler(
         inputCols=["tfidf", *(f"_meta_{c}" for c in meta_columns), BIAS], outputCol="features"
     )
-    return PipelineModel([split, counter, scale, unit, meta, stack])
+    return PipelineModel([SQLTransformer(statement=_TERMS_SQL), counter, scale, unit, meta, stack])
 
 
 def feature_names(features: PipelineModel) -> list[str]:
@@ -96,31 +104,32 @@ def train_logistic(
     Spark leaves out a feature that never varies, one all-zero row is added: its own
     loss is a constant, and counts in n.
     """
+    n = train.count()
+    width = len(feature_names(features)) + 1
+    # The description of every single feature, which Spark ML keeps with the column, is
+    # dropped: it would be sent along with each step of the optimiser.
     rows = with_class_weight(features.transform(train), label, "_weight").select(
-        "features", F.col(label).cast("double").alias("_y"), "_weight"
-    ).persist()
-    try:
-        n = rows.count()
-        width = len(feature_names(features)) + 1
-        zero = train.sparkSession.createDataFrame(
-            [(Vectors.sparse(width, {}), 0.0, 1.0)], rows.schema
-        )
-        fitted = LogisticRegression(
-            featuresCol="features",
-            labelCol="_y",
-            weightCol="_weight",
-            predictionCol="_pred",
-            rawPredictionCol="_raw",
-            probabilityCol="_probability",
-            fitIntercept=False,
-            standardization=False,
-            elasticNetParam=0.0,
-            regParam=1.0 / (c * (n + 1)),
-            maxIter=max_iter,
-            tol=tol,
-        ).fit(rows.unionByName(zero))
-    finally:
-        rows.unpersist()
+        F.col("features").alias("features", metadata={}), F.col(label).cast("double").alias("_y"), "_weight"
+    )
+    zero = train.sparkSession.createDataFrame([(Vectors.sparse(width, {}), 0.0, 1.0)], rows.schema)
+    # Every step is one job, so a small training set goes into few tasks.
+    path = scratch_path(train.sparkSession, "training")
+    rows.unionByName(zero).repartition(math.ceil((n + 1) / ROWS_PER_TASK)).write.parquet(path)
+    stored = train.sparkSession.read.parquet(path)
+    fitted = LogisticRegression(
+        featuresCol="features",
+        labelCol="_y",
+        weightCol="_weight",
+        predictionCol="_pred",
+        rawPredictionCol="_raw",
+        probabilityCol="_probability",
+        fitIntercept=False,
+        standardization=False,
+        elasticNetParam=0.0,
+        regParam=1.0 / (c * (n + 1)),
+        maxIter=max_iter,
+        tol=tol,
+    ).fit(stored)
     return PipelineModel([*features.stages, fitted])
 
 

@@ -12,6 +12,10 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # A join side whose shuffled size turns out to be at most this is sent to all executors.
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    # A reducer's share of the smaller side up to this size is hashed, not sorted.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
     "spark.sql.session.timeZone": "UTC",
 }
 
@@ -58,11 +62,11 @@ def settle(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use all cores for heavy per-row work on a table stored in few files.
+def spread(scan: DataFrame, key: str) -> DataFrame:
+    """Give every core a share of a table that is stored in too few splits, by its distinct key.
 
-    A table of at least as many files as cores is left alone, so nothing is
-    shuffled at scale.
+    For heavy work per row on a plain table scan. A table with at least as many
+    splits as there are cores is left alone, so nothing is shuffled at scale.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores, key) if scan.rdd.getNumPartitions() < cores else scan
