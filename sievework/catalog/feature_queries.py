@@ -107,6 +107,13 @@ def save_model(spark, sf):
     return label_ops.attach_columns(fresh, stored).select("pmid", (F.col("fresh") == F.col("stored")).alias("same"))
 
 
+def load_model(spark, sf):
+    """Top coefficients read from a stored model."""
+    path = scratch_path(spark, "model")
+    runs.save_model(_trained(_labelled(spark, sf)), path)
+    return models.top_coefficients(runs.load_model(path))
+
+
 def _tree(spark, sf):
     rows = training.flagged(_labelled(spark, sf, phrases=True))
     return models.train_tree(rows.filter(~F.col("is_test"))), rows
@@ -198,6 +205,7 @@ QUERIES = {
     "top_coefficients": (top_coefficients, None),
     "meta_coefficients": (meta_coefficients, None),
     "save_model": (save_model, "SELECT doc_id AS pmid, true AS same FROM labels"),
+    "load_model": (load_model, None),
     "train_tree": (train_tree, None),
     "score_tree": (score_tree, None),
     "tree_rules": (tree_rules, None),
