@@ -65,12 +65,24 @@ def length_flag(abstract: Column | str = "abstract", limit: int = 250) -> Column
 
 def unicode_regex(pattern: str) -> str:
     r"""Give ``\b``, ``\w`` and ``\W`` one Unicode meaning on every Java version."""
-    meaning = {
-        "b": f"(?:(?<={WORD})(?!{WORD})|(?<!{WORD})(?={WORD}))",
-        "w": WORD,
-        "W": r"[^\p{L}\p{N}_]",
-    }
-    return re.sub(r"\\(.)", lambda m: meaning.get(m.group(1), m.group(0)), pattern)
+    before, after = f"(?<!{WORD})", f"(?!{WORD})"
+    either = f"(?:{before}(?={WORD})|(?<={WORD}){after})"
+
+    def translated(match: re.Match) -> str:
+        if match.group(1) == "w":
+            return WORD
+        if match.group(1) == "W":
+            return r"[^\p{L}\p{N}_]"
+        if match.group(1) != "b":
+            return match.group(0)
+        # Beside a plain letter or digit only the other side has to be looked at.
+        if re.match(r"[A-Za-z0-9](?![?*{])", pattern[match.end() :]):
+            return before
+        if re.search(r"(?<!\\)[A-Za-z0-9]\Z", pattern[: match.start()]):
+            return after
+        return either
+
+    return re.sub(r"\\(.)", translated, pattern)
 
 
 def text_flags(

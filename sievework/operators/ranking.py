@@ -19,9 +19,9 @@ BROADCAST_ROWS = 100_000
 
 
 def value_order(key: Column | str, seed: int) -> Column:
-    """A repeatable random order: the MD5 of seed and key."""
+    """A repeatable random order: the MD5 of seed and key; a missing key counts as ""."""
     key = F.col(key) if isinstance(key, str) else key
-    return F.md5(F.concat(F.lit(f"{seed}-"), key.cast("string")))
+    return F.md5(F.concat(F.lit(f"{seed}-"), F.coalesce(key.cast("string"), F.lit(""))))
 
 
 def running_totals(
@@ -101,8 +101,10 @@ def smallest_per_group(
 
 def pick_rows(df: DataFrame, picked: DataFrame, key: str, limit: int) -> DataFrame:
     """Rows of ``df`` whose key is among the ``picked`` ones, of which there are at most ``limit``."""
-    keys = picked.select(key)
-    return df.join(F.broadcast(keys) if limit <= BROADCAST_ROWS else keys, key, "left_semi")
+    keys = picked.select(F.col(key).alias("_picked"))
+    # Null-safe, as a row without a key can be picked too.
+    same = F.col(key).eqNullSafe(F.col("_picked"))
+    return df.join(F.broadcast(keys) if limit <= BROADCAST_ROWS else keys, same, "left_semi")
 
 
 def quota_cutoffs(keyed: DataFrame, group: str, quotas: DataFrame) -> DataFrame:

@@ -55,3 +55,12 @@ def test_every_match_holds_one_of_the_literals(name, data):
 
 def test_number_of_flags():
     assert len(patterns.FLAG_PATTERNS) == 37 and len(patterns.FLAG_COLUMNS) == 38
+
+
+@pytest.mark.parametrize("pattern", [r"\bs?-x", r"s\b", r"\w\b", r"(?:a|é)\b", r"\b(é|b)", r"a\Wb", r"\bab\b|\bcd", r"x\b-"])
+def test_regex_translation_agrees_with_python(spark, pattern):
+    words = ["s", "-x", "s-x", "é", "a", "ab", "cd", "b", "x-", "_", " ", "x"]
+    texts = [p + q + r for p in words for q in words for r in ("", " ", "a", "é")]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    hits = {r.t for r in df.filter(df.t.rlike(text.unicode_regex(pattern))).collect()}
+    assert hits == {t for t in texts if re.search(pattern, t)}

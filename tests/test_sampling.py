@@ -46,6 +46,8 @@ def test_sample_of_few_rows_and_of_repeated_keys(spark):
     assert sampling.sample_n(spark.range(5).withColumnRenamed("id", "pmid"), 200).count() == 5
     repeated = spark.range(1000).select(F.lit(1).alias("pmid"))
     assert sampling.sample_n(repeated, 200).count() == 200
+    without_key = spark.range(300).select(F.when(F.col("id") % 3 > 0, F.col("id")).alias("pmid"))
+    assert sampling.sample_n(without_key, 200).count() == 200
 
 
 def test_split_of_the_labelled_set(spark):
