@@ -10,7 +10,7 @@ from pyspark.sql import Window
 
 from sievework.functions.text import WORD
 from sievework.operators.ranking import quota_cutoffs, running_totals, value_order
-from sievework.session import settle
+from sievework.session import stored
 
 # A term is kept if it is in at least 3 documents and at most 95 % of them;
 # a token has at least two word characters; the size limit of the first version.
@@ -108,10 +108,10 @@ def doc_frequency_prune(
 def limit_features(vocabulary: DataFrame, max_features: int, seed: int = 0) -> DataFrame:
     """The ``max_features`` most frequent terms by ``total_tf``; ties in MD5 order.
 
-    The smallest frequency that is kept comes from a count of terms per frequency;
+    ``vocabulary`` is read several times, so it should be a stored table. The
+    smallest frequency that is kept comes from a count of terms per frequency;
     only the terms with just that frequency have to be told apart.
     """
-    vocabulary = settle(vocabulary)
     levels = vocabulary.groupBy("total_tf").agg(F.count(F.lit(1)).alias("_n"))
     level = (
         running_totals(levels, "total_tf", {"_upto": "_n"}, descending=True)
@@ -140,7 +140,7 @@ def fit_vocabulary(
 ) -> DataFrame:
     """Rows (term, df) of at most ``max_features`` terms."""
     counts = term_counts(with_terms(docs.select(text), text).withColumn("_doc", F.lit(0)), "_doc")
-    vocabulary = _vocabulary(counts, count_documents(docs), min_df, max_df, True)
+    vocabulary = stored(_vocabulary(counts, count_documents(docs), min_df, max_df, True))
     return limit_features(vocabulary, max_features).select("term", "df")
 
 
@@ -157,15 +157,16 @@ def tfidf(
 ) -> DataFrame:
     """Rows (key, term, tf, df, weight): tf * (ln((1+n)/(1+df)) + 1), scaled to length 1 per document.
 
-    ``key`` names a document, so it must be distinct. A term in very many documents
-    is one key of the join with the vocabulary; its rows are counted before they are
-    shuffled, and the join splits them (AQE) or, with ``max_features``, needs no
-    shuffle as the vocabulary has a known size.
+    ``key`` names a document, so it must be distinct. The vocabulary is stored first.
+    Spark then knows its size and broadcasts a small one; else both sides of the join
+    are plain shuffles, of which AQE splits the part of a term that is in very many
+    documents. (Joined straight after its aggregation, it could not be split.) With
+    ``max_features`` the vocabulary has a known size and is always broadcast.
     """
     n_docs = count_documents(docs)
     terms = with_terms(docs.select(key, text), text, bigrams=bigrams, stop_words=stop_words)
     counts = term_counts(terms, key)
-    vocabulary = _vocabulary(counts, n_docs, min_df, max_df, max_features is not None)
+    vocabulary = stored(_vocabulary(counts, n_docs, min_df, max_df, max_features is not None))
     if max_features is not None:
         vocabulary = limit_features(vocabulary, max_features).drop("total_tf")
         if max_features <= BROADCAST_TERMS:

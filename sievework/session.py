@@ -62,6 +62,13 @@ def settle(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """As :func:`settle`, but as a table: later plans know its size and read only the columns they need."""
+    path = scratch_path(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def spread(scan: DataFrame, key: str) -> DataFrame:
     """Give every core a share of a table that is stored in too few splits, by its distinct key.
 
