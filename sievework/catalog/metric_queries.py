@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from sievework.catalog import base
 from sievework.catalog.label_queries import _SPLIT
-from sievework.functions import patterns, text
+from sievework.functions import patterns
 from sievework.functions.scores import score_columns
 from sievework.operators import audit, labels as label_ops, metrics, sampling
 from sievework.plans.training import flagged

@@ -58,8 +58,9 @@ def join_labels(labels: DataFrame, records: DataFrame, key: str = "pmid", suffix
 
     Columns of the record that the labels have too get ``suffix``. The labels are
     the small side. An inner join lets Spark send them to the records, or split a
-    skewed key if they are many; labels without a record are added afterwards, from
-    a pass over the key column alone.
+    skewed key if they are many (store them first then: an aggregation right below a
+    join keeps Spark from splitting it). Labels without a record are added
+    afterwards, from a pass over the key column alone.
     """
     shared = [c for c in records.columns if c in labels.columns and c != key]
     right = records.withColumnsRenamed({c: c + suffix for c in shared})
