@@ -5,18 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievework.llm import rules
+from sievework.llm import mixing, rules
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return mixing.take_words(docs).select(
+        "doc_id", F.col("_size").alias("size"), "source_size", "target", F.col("_taken").alias("taken"), "source", "epochs"
+    )
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return rules.judge(docs, rules.fit_rules(docs, table(spark, sf_dir, "labels")))
 
 
 QUERIES = {
+    "op8_mixing": (op8_mixing, None),
     "op10_quality_rules": (op10_quality_rules, None),
 }
