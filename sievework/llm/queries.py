@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievework.llm import chat, mixing, rules, topk
+from sievework.llm import chat, language, mixing, rules, topk
+from sievework.llm.columns import held_out
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -59,6 +60,12 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
 """
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = language.identify(docs, language.fit_languages(docs), ["doc_id"])
+    return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "n_runs")
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return mixing.take_words(docs).select(
@@ -74,6 +81,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op3_chat_formatting": (op3_chat_formatting, SQL_CHAT),
     "op6_exact_top_k": (op6_exact_top_k, SQL_TOP_K),
+    "op7_language_id": (op7_language_id, None),
     "op8_mixing": (op8_mixing, None),
     "op10_quality_rules": (op10_quality_rules, None),
 }
