@@ -39,13 +39,13 @@ def quality_weight(text: Column | str, words: Column) -> Column:
 
 
 def measured(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
-    """``docs`` with ``_size``, ``_draw`` in (0, 1) and ``_slice`` of the draw."""
+    """``docs`` with ``_size``, ``_draw`` in (0, 1), ``_slice`` of the draw and ``_tie``, a hash of the text."""
     words = F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("bigint")
     # 53 bits of the hash as a number in (0, 1); 1 - u**(1/w) grows as -ln(u) / w does.
     bits = F.shiftrightunsigned(F.xxhash64(F.col(key), F.lit("mix")), 11).cast("double")
     uniform = (bits + 0.5) / F.lit(float(1 << 53))
     draw = 1 - F.pow(uniform, 1 / F.coalesce(quality_weight(text, words), F.lit(0.25)))
-    drawn = docs.withColumns({"_size": words, "_draw": draw})
+    drawn = docs.withColumns({"_size": words, "_draw": draw, "_tie": F.xxhash64(text)})
     return drawn.withColumn("_slice", F.least(F.floor(F.col("_draw") * SLICES), F.lit(SLICES - 1)).cast("int"))
 
 
@@ -90,7 +90,8 @@ def budgets(sized: DataFrame, source: str) -> DataFrame:
     same = F.col("p._source").eqNullSafe(F.col("s._source"))
     ends = sums.withColumn("_upto", F.sum("_n").over(upto)).alias("s")
     left = F.col("_budget") - F.col("_upto") + F.col("_n")
-    return (
+    # Stored, so that Spark knows its size when it plans the join with the documents.
+    return stored(
         plan.alias("p").join(ends, same & (F.col("s._upto") > F.col("p._budget")), "left")
         .groupBy(F.col("p._source").alias("_in"), "source_size", "target", "epochs")
         .agg(F.min(F.struct("_slice", left.alias("_left"))).alias("_edge"))
@@ -109,14 +110,14 @@ def take_words(docs: DataFrame, key: str = "doc_id", text: str = "text", source:
     placed = sized.join(budgets(sized, source), F.col(source).eqNullSafe(F.col("_in")))
     at_edge = F.col("_slice") == F.col("_cut")
     in_order = (
-        Window.partitionBy("_in").orderBy("_draw", key, F.xxhash64(text)).rowsBetween(Window.unboundedPreceding, -1)
+        Window.partitionBy("_in").orderBy("_draw", key, "_tie").rowsBetween(Window.unboundedPreceding, -1)
     )
     before = F.coalesce(F.sum("_size").over(in_order), F.lit(0))
     part = F.least(F.col("_size"), F.greatest(F.col("_left") - before, F.lit(0)))
     inside = F.when(F.col("_slice") < F.col("_cut"), F.col("_size")).otherwise(0)
     rows = placed.filter(at_edge).withColumn("_part", part).unionByName(placed.filter(~at_edge).withColumn("_part", inside))
     taken = (F.col("epochs") * F.col("_size") + F.col("_part")).cast("bigint")
-    return rows.withColumn("_taken", taken).drop("_in", "_draw", "_slice", "_cut", "_left")
+    return rows.withColumn("_taken", taken).drop("_in", "_draw", "_tie", "_slice", "_cut", "_left")
 
 
 def first_words(text: Column, n: Column) -> Column:
