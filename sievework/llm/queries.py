@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievework.llm import chat, language, mixing, rules, topk
+from sievework.llm import chat, language, mixing, rules, topk, toxicity
 from sievework.llm.columns import held_out
 
 
@@ -13,6 +13,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit_toxicity(docs, table(spark, sf_dir, "labels"))
+    found = toxicity.score(docs, model, ["doc_id"])
+    return found.select("doc_id", held_out().alias("held_out"), "score", "predicted", "votes", "posterior")
+
+
 def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     control = spark.range(2).select(
@@ -79,6 +86,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_toxicity": (op2_toxicity, None),
     "op3_chat_formatting": (op3_chat_formatting, SQL_CHAT),
     "op6_exact_top_k": (op6_exact_top_k, SQL_TOP_K),
     "op7_language_id": (op7_language_id, None),
