@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 512 << 10
 _PACKAGE_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 # White space of the contracts: space, and tab to carriage return.
@@ -30,8 +30,17 @@ _BYTE_CODES = np.random.default_rng(11).integers(1, 1 << 63, 256, dtype=np.uint6
 _powers = {"up": np.ones(1, np.uint64), "down": np.ones(1, np.uint64)}
 
 
+BATCH_SETTING, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 8 << 20
+
+
 def ship(spark: SparkSession) -> None:
-    """Let Python workers of this session import the package, also if it isn't installed."""
+    """Let Python workers of this session import the package, also if it isn't installed.
+
+    Batches of rows are limited by bytes, unless the session says otherwise: by rows alone,
+    a batch of long texts can take more memory than a worker has.
+    """
+    if spark.conf.get(BATCH_SETTING, "64m") in ("64m", f"{64 << 20}b"):
+        spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
     environment = spark.sparkContext.environment
     paths = environment.get("PYTHONPATH", "").split(os.pathsep)
     if _PACKAGE_ROOT not in paths:
@@ -72,12 +81,10 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets.astype(np.int64) - int(offsets[0])
 
 
-def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts and ends of the words (runs without white space), and the number of words before each text."""
-    inside = np.ones(len(data) + 1, bool)
-    inside[:-1] = ~SPACE[data]
-    inside[-1] = False
-    cut = np.zeros(len(data) + 1, bool)
+def runs(inside: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of the runs of true bytes, cut at text ends, and the number of runs before each text."""
+    inside = np.append(inside, False)
+    cut = np.zeros(len(inside), bool)
     cut[offsets] = True
     before = np.concatenate([[False], inside[:-1]])
     starts = np.flatnonzero(inside & (~before | cut))
@@ -85,6 +92,11 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return starts, ends, np.searchsorted(starts, offsets)
 
 
+def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The runs without white space."""
+    return runs(~SPACE[data], offsets)
+
+
 def _power(kind: str, n: int) -> np.ndarray:
     """Powers of the multiplier ("up") or of its inverse ("down") modulo 2**64."""
     have = _powers[kind]
