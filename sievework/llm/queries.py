@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievework.llm import chat, language, mixing, rules, topk, toxicity
+from sievework.llm import chat, language, mixing, rules, secrets, topk, toxicity
 from sievework.llm.columns import held_out
 
 
@@ -13,6 +13,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return secrets.scan(docs, secrets.fit_field(docs), ["doc_id"])
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = toxicity.fit_toxicity(docs, table(spark, sf_dir, "labels"))
@@ -86,6 +91,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_secret_scan": (op1_secret_scan, None),
     "op2_toxicity": (op2_toxicity, None),
     "op3_chat_formatting": (op3_chat_formatting, SQL_CHAT),
     "op6_exact_top_k": (op6_exact_top_k, SQL_TOP_K),
