@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievework.llm import chat, language, mixing, rules, secrets, topk, toxicity
+from sievework.llm import chat, language, mixing, packing, rules, secrets, topk, toxicity
 from sievework.llm.columns import held_out
 
 
@@ -54,6 +54,10 @@ FROM escaped GROUP BY conv_id
 """
 
 
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 def op6_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     return topk.top_k(vectors, F.col("vec_id") % 20 == 0)
@@ -94,6 +98,7 @@ QUERIES = {
     "op1_secret_scan": (op1_secret_scan, None),
     "op2_toxicity": (op2_toxicity, None),
     "op3_chat_formatting": (op3_chat_formatting, SQL_CHAT),
+    "op5_packing": (op5_packing, None),
     "op6_exact_top_k": (op6_exact_top_k, SQL_TOP_K),
     "op7_language_id": (op7_language_id, None),
     "op8_mixing": (op8_mixing, None),
