@@ -45,6 +45,9 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 SPECIAL, SPECIAL_ID = "<|endoftext|>", 50256
 _PLAIN = np.zeros(257, bool)
 _PLAIN[0x21:0x7F] = True
+# The special token ends what stands before it, so what may be its start is no word that follows.
+_FOLLOWS = _PLAIN.copy()
+_FOLLOWS[ord("<")] = False
 
 
 def tokenizer_paths() -> tuple[str, str]:
@@ -87,7 +90,7 @@ class Encoder:
         edges = np.zeros(n + 1, bool)
         edges[offsets] = True
         # What follows counts within the text only.
-        within = _PLAIN[beside[1:]] & ~edges[1:]
+        within = _FOLLOWS[beside[1:]] & ~edges[1:]
         edges[:-1] |= space & (within | _PLAIN[previous])
         bounds = np.flatnonzero(edges)
         units = pa.StringArray.from_buffers(len(bounds) - 1, pa.py_buffer(bounds.astype(np.int32)), pa.py_buffer(data)) if n else pa.array([], pa.string())
