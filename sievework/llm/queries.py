@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievework.llm import chat, language, mixing, packing, rules, secrets, topk, toxicity
+from sievework.llm import chat, language, minhash, mixing, packing, rules, secrets, topk, toxicity
 from sievework.llm.columns import held_out
 
 
@@ -89,6 +89,10 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return rules.judge(docs, rules.fit_rules(docs, table(spark, sf_dir, "labels")))
@@ -102,5 +106,6 @@ QUERIES = {
     "op6_exact_top_k": (op6_exact_top_k, SQL_TOP_K),
     "op7_language_id": (op7_language_id, None),
     "op8_mixing": (op8_mixing, None),
+    "op9_minhash": (op9_minhash, None),
     "op10_quality_rules": (op10_quality_rules, None),
 }
