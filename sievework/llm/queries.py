@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievework.llm import chat, language, minhash, mixing, packing, rules, secrets, topk, toxicity
+from sievework.llm import chat, language, minhash, mixing, packing, rules, secrets, suffix, topk, toxicity
 from sievework.llm.columns import held_out
 
 
@@ -54,6 +54,10 @@ FROM escaped GROUP BY conv_id
 """
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -102,6 +106,7 @@ QUERIES = {
     "op1_secret_scan": (op1_secret_scan, None),
     "op2_toxicity": (op2_toxicity, None),
     "op3_chat_formatting": (op3_chat_formatting, SQL_CHAT),
+    "op4_suffix_dedup": (op4_suffix_dedup, None),
     "op5_packing": (op5_packing, None),
     "op6_exact_top_k": (op6_exact_top_k, SQL_TOP_K),
     "op7_language_id": (op7_language_id, None),
