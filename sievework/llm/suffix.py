@@ -348,7 +348,7 @@ def lost_windows(docs: DataFrame, key: str, text: str, shard_contexts: int = SHA
         .select(*same, "_context", "_o._missing", F.coalesce("_o._key", F.lit(0)).alias("_key"), "_o._h1", "_o._from", "_deals", "_shard")
     )
 
-    def one_shard(key_values, rows: pa.Table) -> pa.Table:
+    def one_shard(key_values, rows):
         found = _shard(rows)
         return found.append_column("_shard", pa.array(np.full(found.num_rows, key_values[0].as_py())))
 
