@@ -228,16 +228,17 @@ def pack(
     table = tokenized(docs, key, text, paths or tokenizer_paths())
     ranges = -(-table.count() // rows_per_range)
     cuts = sorted(set(table.approxQuantile("_order", [i / ranges for i in range(1, ranges)], 1 / (4 * ranges)))) if ranges > 1 else []
-    splits = [-float("inf"), *cuts, float("inf")]
-    ranged = (
-        Bucketizer(splits=splits, inputCol="_at", outputCol="_range")
-        .transform(table.withColumn("_at", F.col("_order").cast("double")))
-        .withColumn("_range", F.col("_range").cast("int")).drop("_at")
-    )
+    ranged = table.withColumn("_range", F.lit(0))
+    if cuts:
+        splits = [-float("inf"), *cuts, float("inf")]
+        numbered = Bucketizer(splits=splits, inputCol="_at", outputCol="_range").transform(
+            table.withColumn("_at", F.col("_order").cast("double"))
+        )
+        ranged = numbered.withColumn("_range", F.col("_range").cast("int")).drop("_at")
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     # A row per range; ranges grow with the rows, so Spark chooses the join by their size.
     bases = ranged.groupBy("_range").agg(F.sum("_n").alias("_total")).select("_range", F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_base"))
-    placed = ranged.join(bases, "_range").repartition(len(splits) - 1, "_range").sortWithinPartitions("_range", "_order", "_key", "_row")
+    placed = ranged.join(bases, "_range").repartition(len(cuts) + 1, "_range").sortWithinPartitions("_range", "_order", "_key", "_row")
     kind = docs.schema[key].dataType.simpleString()
     pieces = C.map_batches(
         placed.select("_key", "_range", "_base", "_n", "_ids"),
