@@ -2,23 +2,32 @@
 
 from __future__ import annotations
 
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import VectorSlicer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from sievework.catalog import base
 from sievework.catalog.metric_queries import PLACES, rounded
 from sievework.functions.scores import META_COLUMNS, predicted
+from sievework.functions.text import build_text
 from sievework.operators import features, labels as label_ops, metrics, models
 from sievework.operators.features import MAX_DF, MIN_DF
 from sievework.operators.sampling import stratified_split
 from sievework.plans import training
-from sievework.session import scratch_path, settle
+from sievework.session import scratch_path, settle, stored
 from sievework.sources import runs
 
-# Steps of the optimiser in the registered queries.
-QUERY_ITER = 50
-STOP_WORDS = ("the", "and", "of", "to", "in", "is", "le", "la", "de", "der", "die", "el")
 TERM_LIMIT = 2000
+# The English stop words of Spark that can be tokens (two letters or more, no apostrophe).
+ENGLISH = """
+me my myself we our ours ourselves you your yours yourself yourselves he him his himself she her hers herself it
+its itself they them their theirs themselves what which who whom this that these those am is are was were be
+been being have has had having do does did doing an the and but if or because as until while of at by for with
+about against between into through during before after above below to from up down in out on off over under
+again further then once here there when where why how all any both each few more most other some such no nor not
+only own same so than too very can will just don should now cannot could ought would
+""".split()
 
 
 def _docs(spark, sf):
@@ -41,14 +50,14 @@ def tfidf(spark, sf):
 
 def tfidf_options(spark, sf):
     weights = features.tfidf(
-        _docs(spark, sf), "text", sublinear=True, stop_words=STOP_WORDS, max_features=TERM_LIMIT
+        _docs(spark, sf), "text", sublinear=True, stop_words="english", max_features=TERM_LIMIT
     )
     return rounded(weights, "weight")
 
 
 def top_terms(spark, sf):
     """Labels joined to documents, TF-IDF over the labelled ones, top 20 terms of each class."""
-    joined = label_ops.join_labels(base.labels(spark, sf), _docs(spark, sf)).select("pmid", "label", "text")
+    joined = stored(label_ops.join_labels(base.labels(spark, sf), _docs(spark, sf)).select("pmid", "label", "text"))
     return rounded(features.top_terms_by_class(features.tfidf(joined, "text"), joined), "mean_weight")
 
 
@@ -60,18 +69,25 @@ def _labelled(spark, sf, phrases=False):
 
 def _trained(rows):
     stacked = models.stack_features(rows)
-    return models.train_logistic(stacked, rows.filter(~F.col("is_test")), max_iter=QUERY_ITER)
+    return models.train_logistic(stacked, rows.filter(~F.col("is_test")))
 
 
 def stack_features(spark, sf):
     """Per labelled record: terms in the text block, length of that block, and the meta block."""
     rows = _labelled(spark, sf)
-    stacked = models.stack_features(rows).transform(rows)
-    return stacked.select(
+    stacked = models.stack_features(rows)
+    width = len(models.feature_names(stacked))
+    # The meta block is cut from the sparse vector; the text block is looked at as a table.
+    meta = VectorSlicer(inputCol="features", outputCol="_meta", indices=list(range(width - len(META_COLUMNS), width)))
+    blocks = PipelineModel([*stacked.stages, meta]).transform(rows)
+    weights = features.tfidf(rows.select("pmid", build_text().alias("text")), "text").groupBy("pmid").agg(
+        F.count(F.lit(1)).alias("n_terms"), F.round(F.sum(F.col("weight") * F.col("weight")), PLACES).alias("text_norm")
+    )
+    return blocks.join(weights, "pmid", "left").select(
         "pmid",
-        F.size(F.filter(vector_to_array("tfidf"), lambda x: x != 0)).cast("bigint").alias("n_terms"),
-        F.round(F.aggregate(vector_to_array("tfidf"), F.lit(0.0), lambda a, x: a + x * x), PLACES).alias("text_norm"),
-        *(F.element_at(vector_to_array("features"), i - 5).alias(c) for i, c in enumerate(META_COLUMNS)),
+        F.coalesce("n_terms", F.lit(0)).alias("n_terms"),
+        F.coalesce("text_norm", F.lit(0.0)).alias("text_norm"),
+        *(vector_to_array("_meta")[i].alias(c) for i, c in enumerate(META_COLUMNS)),
     )
 
 
@@ -134,9 +150,23 @@ def tree_rules(spark, sf):
     return models.tree_rules(_tree(spark, sf)[0])
 
 
+def _run(spark, sf):
+    return training.train(base.seed_labels(spark, sf).select("pmid", "label"), base.records(spark, sf))
+
+
 def end_to_end_metrics(spark, sf):
     """The whole run over labels and records: the metrics row."""
-    return training.train(base.seed_labels(spark, sf).select("pmid", "label"), base.records(spark, sf), max_iter=QUERY_ITER).metrics
+    return _run(spark, sf).metrics
+
+
+def end_to_end_audit(spark, sf):
+    """The same run: all labelled rows in the order of the audit, with the model's probabilities."""
+    return _run(spark, sf).audit.drop("title", "abstract")
+
+
+def end_to_end_unlabeled(spark, sf):
+    """The same run: the scored sample of rows without a label."""
+    return _run(spark, sf).unlabeled.drop("title", "abstract")
 
 
 _WORD = r"[\p{L}\p{N}_]{2,}"
@@ -146,7 +176,7 @@ def _terms_cte(source: str = "SELECT doc_id AS pmid, text FROM documents", stop=
     """``docs``, ``term_rows`` (pmid, term) and ``counts`` (pmid, term, tf)."""
     words = f"regexp_extract_all(lower(coalesce(text, '')), '{_WORD}')"
     if stop:
-        listed = ", ".join(f"'{w}'" for w in stop)
+        listed = ", ".join("'" + w.replace("'", "''") + "'" for w in stop)
         words = f"[w FOR w IN {words} IF w NOT IN ({listed})]"
     return f"""
     docs AS ({source}),
@@ -178,7 +208,7 @@ QUERIES = {
     "tfidf": (tfidf, "WITH " + _terms_cte() + "," + _weights("CAST(tf AS DOUBLE)") + _WEIGHT_ROWS),
     "tfidf_options": (
         tfidf_options,
-        "WITH " + _terms_cte(stop=STOP_WORDS) + ", limited AS (SELECT * FROM vocabulary ORDER BY total_tf DESC, "
+        "WITH " + _terms_cte(stop=ENGLISH) + ", limited AS (SELECT * FROM vocabulary ORDER BY total_tf DESC, "
         f"{base.sql_order('term', 0)}, term LIMIT {TERM_LIMIT})," + _weights("(1 + ln(tf))", "limited") + _WEIGHT_ROWS,
     ),
     "top_terms": (
@@ -210,4 +240,6 @@ QUERIES = {
     "score_tree": (score_tree, None),
     "tree_rules": (tree_rules, None),
     "end_to_end_metrics": (end_to_end_metrics, None),
+    "end_to_end_audit": (end_to_end_audit, None),
+    "end_to_end_unlabeled": (end_to_end_unlabeled, None),
 }

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 # Accepted spellings of a label.
 LABEL_SPELLINGS = {"1": 1, "true": 1, "yes": 1, "0": 0, "false": 0, "no": 0}
 
+# Columns beside the text that the classifier reads.
 META_COLUMNS = (
     "has_mesh_consciousness_major",
     "has_mesh_consciousness",

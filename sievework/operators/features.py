@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
@@ -13,11 +14,10 @@ from sievework.operators.ranking import quota_cutoffs, running_totals, value_ord
 from sievework.session import stored
 
 # A term is kept if it is in at least 3 documents and at most 95 % of them;
-# a token has at least two word characters; the size limit of the first version.
+# a token has at least two word characters.
 MIN_DF = 3
 MAX_DF = 0.95
 TOKEN = WORD + "{2,}"
-MAX_FEATURES = 200_000
 # A vocabulary known to be at most this long is sent to every executor.
 BROADCAST_TERMS = 500_000
 
@@ -32,10 +32,15 @@ def with_terms(
     text: str,
     out: str = "terms",
     bigrams: bool = True,
-    stop_words: Sequence[str] | None = None,
+    stop_words: Sequence[str] | str | None = None,
 ) -> DataFrame:
-    """Add the array of words, followed by all pairs of neighbouring words."""
+    """Add the array of words, followed by all pairs of neighbouring words.
+
+    ``stop_words`` are words, or the name of a language whose list Spark has.
+    """
     words = tokens(F.coalesce(F.col(text), F.lit("")))
+    if isinstance(stop_words, str):
+        stop_words = StopWordsRemover.loadDefaultStopWords(stop_words)
     if stop_words:
         words = F.filter(words, lambda w: ~w.isin(*stop_words))
     tokenised = df.withColumn("_words", words)
@@ -136,12 +141,14 @@ def limit_features(vocabulary: DataFrame, max_features: int, seed: int = 0) -> D
 
 
 def fit_vocabulary(
-    docs: DataFrame, text: str, min_df: int = MIN_DF, max_df: float = MAX_DF, max_features: int = MAX_FEATURES
+    docs: DataFrame, text: str, min_df: int = MIN_DF, max_df: float = MAX_DF, max_features: int | None = None
 ) -> DataFrame:
-    """Rows (term, df) of at most ``max_features`` terms."""
+    """Rows (term, df) of all terms within the document frequencies, or of the ``max_features`` most frequent ones."""
     counts = term_counts(with_terms(docs.select(text), text).withColumn("_doc", F.lit(0)), "_doc")
     vocabulary = stored(_vocabulary(counts, count_documents(docs), min_df, max_df, True))
-    return limit_features(vocabulary, max_features).select("term", "df")
+    if max_features is not None:
+        vocabulary = limit_features(vocabulary, max_features)
+    return vocabulary.select("term", "df")
 
 
 def tfidf(
@@ -152,25 +159,27 @@ def tfidf(
     max_df: float = MAX_DF,
     bigrams: bool = True,
     sublinear: bool = False,
-    stop_words: Sequence[str] | None = None,
+    stop_words: Sequence[str] | str | None = None,
     max_features: int | None = None,
 ) -> DataFrame:
     """Rows (key, term, tf, df, weight): tf * (ln((1+n)/(1+df)) + 1), scaled to length 1 per document.
 
     ``key`` names a document, so it must be distinct. The vocabulary is stored first.
-    Spark then knows its size and broadcasts a small one; else both sides of the join
-    are plain shuffles, of which AQE splits the part of a term that is in very many
-    documents. (Joined straight after its aggregation, it could not be split.) With
-    ``max_features`` the vocabulary has a known size and is always broadcast.
+    One of at most ``BROADCAST_TERMS`` terms is sent to all executors; the documents are then dealt out by
+    key before they are exploded, so that terms and weights are never shuffled. With a longer one both sides of
+    the join are plain shuffles, of which AQE splits the part of a term that is in very many
+    documents. (Joined straight after its aggregation, it could not be split.)
     """
     n_docs = count_documents(docs)
     terms = with_terms(docs.select(key, text), text, bigrams=bigrams, stop_words=stop_words)
     counts = term_counts(terms, key)
     vocabulary = stored(_vocabulary(counts, n_docs, min_df, max_df, max_features is not None))
     if max_features is not None:
-        vocabulary = limit_features(vocabulary, max_features).drop("total_tf")
-        if max_features <= BROADCAST_TERMS:
-            vocabulary = F.broadcast(vocabulary)
+        vocabulary = stored(limit_features(vocabulary, max_features).drop("total_tf"))
+    if vocabulary.count() <= BROADCAST_TERMS:
+        vocabulary = F.broadcast(vocabulary)
+        dealt = docs.select(key, text).repartition(key)
+        counts = term_counts(with_terms(dealt, text, bigrams=bigrams, stop_words=stop_words), key)
     tf = (F.lit(1.0) + F.ln("tf")) if sublinear else F.col("tf").cast("double")
     raw = counts.join(vocabulary, "term").withColumn(
         "_raw", tf * (F.ln((F.lit(1.0) + n_docs) / (F.lit(1.0) + F.col("df"))) + 1.0)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping, Sequence
+from collections.abc import Mapping
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
@@ -11,9 +11,8 @@ from pyspark.sql import functions as F
 
 from sievework.session import settle
 
-# Values one task sorts, and the most value ranges a table is cut into.
+# Values one task sorts.
 ROWS_PER_RANGE = 1_000_000
-MAX_RANGES = 2_000
 # Selections of up to this many rows are small enough to send to every executor.
 BROADCAST_ROWS = 100_000
 
@@ -33,78 +32,72 @@ def running_totals(
 ) -> DataFrame:
     """Add running sums over the whole table: ``totals`` maps new column to summed column.
 
-    ``order`` holds distinct numbers. The table is cut into value ranges of about
-    equal size; each range is summed on its own and shifted by the sum of the ranges
-    before it. Only that table of range sums (at most ``MAX_RANGES`` rows) is put
-    in one place.
+    ``order`` holds distinct numbers; rows where it is null or NaN have no place in the order and are left out.
+    The table is cut into value ranges of about equal size; each range is summed on its own and
+    shifted by the sum of the ranges before it. Range sums are a table of the same kind, so
+    where they are many they are summed in the same way.
     """
-    table = settle(df)
-    ranges = min(MAX_RANGES, math.ceil(table.count() / rows_per_range))
-    if ranges <= 1:
-        ranged = table.withColumn("_range", F.lit(0))
-    else:
+    placed = F.col(order).isNotNull() & ~F.isnan(F.col(order).cast("double"))
+    table = settle(df.filter(placed))
+    ranges = max(1, math.ceil(table.count() / rows_per_range))
+    cuts: list[float] = []
+    if ranges > 1:
         steps = [i / ranges for i in range(1, ranges)]
         cuts = sorted(set(table.approxQuantile(order, steps, 1 / (4 * ranges))))
+    if cuts:
         ranged = (
             Bucketizer(splits=[-math.inf, *cuts, math.inf], inputCol="_order", outputCol="_range")
             .transform(table.withColumn("_order", F.col(order).cast("double")))
             .withColumn("_range", F.col("_range").cast("int"))
             .drop("_order")
         )
+    else:
+        ranged = table.withColumn("_range", F.lit(0))
 
     def direction(name: str) -> Column:
         return F.desc(name) if descending else F.asc(name)
 
-    before = Window.orderBy(direction("_range")).rowsBetween(Window.unboundedPreceding, -1)
     within = (
         Window.partitionBy("_range").orderBy(direction(order)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    if ranges <= 1:
-        return ranged.withColumns({new: F.sum(old).over(within) for new, old in totals.items()}).drop("_range")
-    range_sums = ranged.groupBy("_range").agg(*(F.sum(old).alias(f"_sum_{new}") for new, old in totals.items()))
-    offsets = range_sums.select(
-        "_range", *(F.coalesce(F.sum(f"_sum_{new}").over(before), F.lit(0)).alias(f"_before_{new}") for new in totals)
-    )
+    summed = ranged.withColumns({new: F.sum(old).over(within) for new, old in totals.items()})
+    if not cuts:
+        return summed.drop("_range")
+    # A sum of nothing but nulls counts 0 for the ranges behind it.
+    sums = ranged.groupBy("_range").agg(*(F.coalesce(F.sum(old), F.lit(0)).alias(f"_sum_{new}") for new, old in totals.items()))
+    if len(cuts) < rows_per_range:
+        upto = Window.orderBy(direction("_range")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        upto_sums = sums.withColumns({f"_upto_{new}": F.sum(f"_sum_{new}").over(upto) for new in totals})
+    else:
+        upto_sums = running_totals(sums, "_range", {f"_upto_{new}": f"_sum_{new}" for new in totals}, descending, rows_per_range)
+    offsets = upto_sums.select("_range", *((F.col(f"_upto_{new}") - F.col(f"_sum_{new}")).alias(f"_before_{new}") for new in totals))
+    if len(cuts) <= BROADCAST_ROWS:
+        offsets = F.broadcast(offsets)
     return (
-        ranged.join(F.broadcast(offsets), "_range")
-        .withColumns({new: F.sum(old).over(within) + F.col(f"_before_{new}") for new, old in totals.items()})
+        summed.join(offsets, "_range")
+        .withColumns({new: F.coalesce(new, F.lit(0)) + F.col(f"_before_{new}") for new in totals})
         .select(*df.columns, *totals)
     )
 
 
-def smallest_per_group(
-    df: DataFrame,
-    order: Sequence[Column],
-    limits: Mapping[object, int] | int,
-    group: str | None = None,
-    lanes: int = 64,
-) -> DataFrame:
-    """The first rows of each group in ``order``; the limit is one number or one per group value.
+def first_in_order(df: DataFrame, limits: Mapping[object, int] | int, seed: int, key: str, group: str | None = None) -> DataFrame:
+    """The first rows of each group (or of all) in the random order of their keys, with ``_order``.
 
-    A first round keeps the first rows of each (group, lane), where lanes are sets
-    of input partitions, so a group that holds most rows is still cut down in
-    parallel before one task ranks what is left of it.
+    No rows are ranked: a group's cut-off comes from counts (:func:`quota_cutoffs`) and each row is
+    compared with it. Keys should be distinct; rows of the key at the cut-off stay or go together.
     """
-    groups = [group] if group else []
-    if isinstance(limits, int):
-        limit, most = F.lit(limits), limits
-    else:
-        limit, most = F.lit(0), max(limits.values())
-        for value, n in limits.items():
-            limit = F.when(F.col(group) == value, n).otherwise(limit)
-    lane = df.withColumn("_lane", F.pmod(F.spark_partition_id(), F.lit(lanes)))
-    for keys in ([*groups, "_lane"], groups):
-        ranked = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-        lane = lane.withColumn("_rank", ranked).filter(F.col("_rank") <= most)
-    return lane.filter(F.col("_rank") <= limit).drop("_rank", "_lane")
-
-
-def pick_rows(df: DataFrame, picked: DataFrame, key: str, limit: int) -> DataFrame:
-    """Rows of ``df`` whose key is among the ``picked`` ones, of which there are at most ``limit``."""
-    keys = picked.select(F.col(key).alias("_picked"))
-    # Null-safe, as a row without a key can be picked too.
-    same = F.col(key).eqNullSafe(F.col("_picked"))
-    return df.join(F.broadcast(keys) if limit <= BROADCAST_ROWS else keys, same, "left_semi")
+    ordered = df.withColumns({"_order": value_order(key, seed), "_group": F.col(group) if group else F.lit("")})
+    field = ordered.schema["_group"].dataType.simpleString()
+    quotas = {"": limits} if isinstance(limits, int) else dict(limits)
+    wanted = df.sparkSession.createDataFrame([(g, n) for g, n in quotas.items()], f"_group {field}, quota bigint")
+    sizes = ordered.groupBy("_group").agg(F.count(F.lit(1)).alias("_size"))
+    # A row per quota; a group within its quota has no cut-off.
+    over = wanted.join(sizes, "_group").withColumn("_all", F.col("_size") <= F.col("quota"))
+    cut = quota_cutoffs(ordered.select("_group", "_order", F.col(key).alias("_key")), "_group", over.filter("not _all and quota > 0").select("_group", "quota"))
+    limits_of = over.filter("quota > 0").select("_group", "_all").join(cut, "_group", "left")
+    inside = F.struct(F.col("_order").alias("o"), F.col(key).alias("k")) <= F.struct(F.col("_last_order").alias("o"), F.col("_last_key").alias("k"))
+    limited = F.broadcast(limits_of) if len(quotas) <= BROADCAST_ROWS else limits_of
+    return ordered.join(limited, "_group").filter(F.col("_all") | inside).select(*df.columns, "_order")
 
 
 def quota_cutoffs(keyed: DataFrame, group: str, quotas: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sievework.operators.ranking import pick_rows, quota_cutoffs, smallest_per_group, value_order
+from sievework.operators.ranking import first_in_order, quota_cutoffs, value_order
 
 # Seed, batch size, rows per bucket, sample size, share of test rows.
 SEED = 1073
@@ -18,6 +18,7 @@ BUCKET_SIZES = {"major": 120, "any": 120, "none": 60}
 SAMPLE_SIZE = 200
 TEST_SHARE = 0.25
 
+# Columns of a labelling batch.
 BATCH_COLUMNS = (
     "pmid", "year", "journal", "title", "abstract", "mesh_terms", "pub_types",
     "has_mesh_consciousness_major", "has_mesh_consciousness", "has_mesh_spirit_religion", "n_mesh",
@@ -41,18 +42,9 @@ def select_batch_columns(df: DataFrame) -> DataFrame:
 def bucket_samples(
     records: DataFrame, sizes: Mapping[str, int] = BUCKET_SIZES, seed: int = SEED, key: str = "pmid"
 ) -> DataFrame:
-    """Up to ``sizes[b]`` records of each bucket ``b``, with the ``bucket`` column.
-
-    Only key and bucket are ranked; the wide rows are picked by key afterwards.
-    """
-    narrow = records.select(key, bucket().alias("bucket"), value_order(key, seed).alias("_order"))
-    narrow = narrow.filter(F.col("bucket").isNotNull())
-    order = [F.col("_order"), F.col(key)]
-    picked = smallest_per_group(narrow, order, sizes, "bucket")
-    rows = pick_rows(records, picked, key, sum(sizes.values())).withColumns(
-        {"bucket": bucket(), "_order": value_order(key, seed)}
-    )
-    return smallest_per_group(rows, order, sizes, "bucket").drop("_order")
+    """Up to ``sizes[b]`` records of each bucket ``b``, with the ``bucket`` column."""
+    rows = records.withColumn("bucket", bucket()).filter(F.col("bucket").isNotNull())
+    return first_in_order(rows, sizes, seed, key, "bucket").drop("_order")
 
 
 def stratified_seed_batch(
@@ -63,8 +55,11 @@ def stratified_seed_batch(
     key: str = "pmid",
 ) -> DataFrame:
     """The first labelling batch: a sample of each bucket, shuffled, at most ``n`` rows."""
+    # At most as many rows as the bucket sizes add up to.
     rows = bucket_samples(records, sizes, seed, key)
-    return select_batch_columns(rows.orderBy(value_order(key, seed + 1), key).limit(n))
+    if sum(sizes.values()) > n:
+        rows = first_in_order(rows, n, seed + 1, key).drop("_order")
+    return select_batch_columns(rows.orderBy(value_order(key, seed + 1), key))
 
 
 def head_n(df: DataFrame, n: int, seed: int = SEED + 1, key: str = "pmid") -> DataFrame:
@@ -74,10 +69,7 @@ def head_n(df: DataFrame, n: int, seed: int = SEED + 1, key: str = "pmid") -> Da
 
 def sample_n(df: DataFrame, n: int = SAMPLE_SIZE, seed: int = SEED, key: str = "pmid") -> DataFrame:
     """``n`` random rows, or all if there are fewer."""
-    order = [F.col("_order"), F.col(key)]
-    narrow = df.select(key, value_order(key, seed).alias("_order"))
-    picked = smallest_per_group(narrow, order, n)
-    return pick_rows(df, picked, key, n).orderBy(value_order(key, seed), key).limit(n)
+    return first_in_order(df, n, seed, key).orderBy("_order", key).drop("_order")
 
 
 def split_quotas(df: DataFrame, label: str = "label", test_share: float = TEST_SHARE) -> DataFrame:

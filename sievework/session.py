@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -33,16 +36,17 @@ def shared_dir(spark: SparkSession) -> str:
     """Folder all executors see: ``spark.checkpoint.dir``.
 
     A temporary folder is used only where the setting is absent and the session
-    runs on one machine.
+    is one process; it goes when that ends.
     """
     context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
         named = context.getCheckpointDir()
     if not named:
-        if not context.master.startswith("local"):
+        if not re.match(r"local(\[|$)", context.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
         named = tempfile.mkdtemp(prefix="sievework-")
+        atexit.register(shutil.rmtree, named, ignore_errors=True)
     if not context.getCheckpointDir():
         context.setCheckpointDir(named)
     return named
@@ -50,7 +54,17 @@ def shared_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/sievework/{uuid.uuid4().hex}/{name}"
+    return f"{_scratch_root(spark)}/{uuid.uuid4().hex}/{name}"
+
+
+def _scratch_root(spark: SparkSession) -> str:
+    return f"{shared_dir(spark).rstrip('/')}/sievework/{spark.sparkContext.applicationId}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete the tables this application has stored below the shared folder; its lazy results are void afterwards."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
+    root.getFileSystem(spark._jsc.hadoopConfiguration()).delete(root, True)
 
 
 def settle(df: DataFrame) -> DataFrame:
@@ -68,12 +82,3 @@ def stored(df: DataFrame) -> DataFrame:
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
 
-
-def spread(scan: DataFrame, key: str) -> DataFrame:
-    """Give every core a share of a table that is stored in too few splits, by its distinct key.
-
-    For heavy work per row on a plain table scan. A table with at least as many
-    splits as there are cores is left alone, so nothing is shuffled at scale.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores, key) if scan.rdd.getNumPartitions() < cores else scan

@@ -11,6 +11,7 @@ from sievework.functions import headings, text
 SCALAR_TAGS = {"pmid": "PMID", "dp": "DP", "edat": "EDAT", "jt": "JT", "ti": "TI", "ab": "AB"}
 LIST_TAGS = {"mh": "MH", "pt": "PT"}
 
+# Columns of the record table.
 RECORD_COLUMNS = (
     "pmid", "year", "journal", "title", "abstract", "mesh_terms", "pub_types",
     "has_mesh_consciousness", "has_mesh_consciousness_major", "has_mesh_spirit_religion", "n_mesh",
@@ -24,7 +25,9 @@ def read_tagged_records(spark: SparkSession, path, newline: str = "\n") -> DataF
     such line ends.
     """
     raw = spark.read.text(path, lineSep=f"{newline}PMID- ")
-    value = F.replace(F.make_valid_utf8("value"), F.lit("�"), F.lit(""))
+    cleaned = F.replace(F.make_valid_utf8("value"), F.lit("\ufffd"), F.lit(""))
+    # The replacement mark of a valid record stands in the text itself.
+    value = F.when(F.is_valid_utf8("value"), F.col("value")).otherwise(cleaned)
     if newline != "\n":
         value = F.replace(value, F.lit(newline), F.lit("\n"))
     # The separator takes the record's own first tag, but for the first record of a file.
