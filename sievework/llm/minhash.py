@@ -12,10 +12,13 @@ coordinates are join keys.
 
 1. In every bucket each text is compared with one hub, the first in a random order; pairs are kept
    if signatures agree well enough, and then checked exactly on the shingles.
-2. Linked texts are connected. Buckets that still hold several components are searched once more, in
-   blocks, for links between components; again only pairs that pass the signatures leave a task.
+2. Linked texts are connected. Texts that stars hold together, at a much lower agreement, are a family. A
+   family that still has several components is searched once more, exactly, in blocks of texts: each text
+   outside a block's largest component is looked up in an index of all shingles. What leaves a task is one link
+   for each two components that it merges.
 
-So no bucket's pairs are listed, no partner is capped, and a hot group costs a comparison per text.
+So no group's pairs are listed and no partner is capped: a text costs a comparison for each hub that it meets, and
+one look-up more for each block of its family if it is not of the largest component.
 
 Texts with fewer than five words are one shingle. Null texts and texts without words form no group.
 Repeated rows and exact copies share a class, whose id is its smallest key (rows without key count
@@ -35,12 +38,16 @@ from sievework.session import stored
 
 SHINGLE = 5
 SIMILARITY = 0.8
-BANDS, ROWS = 40, 5
+# A pair of similarity 0.8 shares no band four times in ten million.
+BANDS, ROWS = 28, 4
 DARTS = BANDS * ROWS
-# Agreement of signatures below which a pair of similarity 0.8 falls once in ten million times.
-LEAST_AGREEMENT = 0.65
-BLOCK = 512
-_FIRST_RANK = 2.0**-12
+# Agreement of signatures that a pair of similarity 0.8 falls below by five standard deviations.
+LEAST_AGREEMENT = 0.61
+# Texts of a bucket that agree less with their hub share it by chance and are not of its family.
+FAMILY_AGREEMENT = 0.3
+# Texts of a family that one task holds, half of them from each of two blocks.
+BLOCK = 1_000
+_FIRST_RANK = 2.0**-10
 _TAIL = 64
 
 
@@ -94,12 +101,15 @@ def _throw(cells: np.ndarray, owner: np.ndarray, band: int, earliest: np.ndarray
     times = count[hit]
     number = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
     dart = C.mix(np.repeat(seed[hit], times) + np.uint64(0x9E3779B97F4A7C15) * (number + 1).astype(np.uint64))
-    coordinate = (dart % np.uint64(DARTS)).astype(np.int64)
-    again = C.mix(dart + np.uint64(0xD1B54A32D192ED03))
-    rank = low + width * ((again >> np.uint64(11)).astype(np.float64) / (1 << 53))
+    # The upper half of a dart's hash gives the coordinate, the lower half the rank.
+    coordinate = (((dart >> np.uint64(32)) * np.uint64(DARTS)) >> np.uint64(32)).astype(np.int64)
+    rank = (dart & np.uint64(0xFFFFFFFF)).astype(np.float64)
+    rank *= width / 2.0**32
+    rank += low
     # Positive doubles sort as their bits do; the last bits tell darts of equal rank apart.
     bits = (rank.view(np.uint64) & ~np.uint64(0xFFFF)) | (dart >> np.uint64(48))
-    np.minimum.at(earliest, np.repeat(owner[hit], times) * DARTS + coordinate, bits)
+    coordinate += np.repeat(owner[hit] * DARTS, times)
+    np.minimum.at(earliest, coordinate, bits)
 
 
 def signatures(values: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
@@ -177,27 +187,31 @@ def distinct_texts(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def _agreeing(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """Pairs (``_a``, ``_b``) whose signatures agree in at least ``LEAST_AGREEMENT`` of the coordinates."""
+    """Stored pairs (``_a``, ``_b``) whose signatures agree in at least ``FAMILY_AGREEMENT`` of the coordinates, and their ``_agree``."""
     named = [texts.select(F.col("_h1").alias(side), F.col("_signature").alias(f"{side}s")) for side in ("_a", "_b")]
     both = pairs.join(named[0], "_a").join(named[1], "_b")
 
     def run(batches):
         for batch in batches:
             sides = [np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u2").reshape(-1, DARTS) for c in ("_as", "_bs")]
-            good = (sides[0] == sides[1]).mean(axis=1) >= LEAST_AGREEMENT
-            yield pa.RecordBatch.from_arrays([batch.column("_a"), batch.column("_b")], ["_a", "_b"]).filter(pa.array(good))
+            agree = (sides[0] == sides[1]).mean(axis=1)
+            found = pa.RecordBatch.from_arrays([batch.column("_a"), batch.column("_b"), pa.array(agree)], ["_a", "_b", "_agree"])
+            yield found.filter(pa.array(agree >= FAMILY_AGREEMENT))
+
+    return stored(C.map_batches(both.select("_a", "_b", "_as", "_bs"), run, "_a bigint, _b bigint, _agree double"))
+
 
-    return C.map_batches(both.select("_a", "_b", "_as", "_bs"), run, "_a bigint, _b bigint")
+def _first_texts(needed: DataFrame, docs: DataFrame, texts: DataFrame, key: str, text: str) -> DataFrame:
+    """Stored ``_h1`` and ``_text`` of the texts named in ``needed``, from the rows with their first keys; copies stay behind."""
+    of_first = texts.join(needed.distinct(), "_h1", "left_semi").select("_h1", F.col("_first.key").alias("_key1"))
+    rows = _hashed(docs, key, text).join(of_first, "_h1").filter(F.col("_key").eqNullSafe(F.col("_key1")))
+    return stored(rows.dropDuplicates(["_h1"]).select("_h1", F.col("text").alias("_text")))
 
 
 def _similar(pairs: DataFrame, docs: DataFrame, texts: DataFrame, key: str, text: str, similarity: float) -> DataFrame:
     """Stored pairs whose weighted Jaccard similarity, on all shingles, reaches the threshold."""
     pairs = stored(pairs)
-    needed = pairs.select(F.explode(F.array("_a", "_b")).alias("_h1")).distinct()
-    # The text of a pair's side comes from the rows with its first key; copies stay behind.
-    of_first = texts.join(needed, "_h1", "left_semi").select("_h1", F.col("_first.key").alias("_key1"))
-    rows = _hashed(docs, key, text).join(of_first, "_h1").filter(F.col("_key").eqNullSafe(F.col("_key1")))
-    whole = stored(rows.groupBy("_h1").agg(F.first("text").alias("_text")))
+    whole = _first_texts(pairs.select(F.explode(F.array("_a", "_b")).alias("_h1")), docs, texts, key, text)
     both = pairs.join(whole.select(F.col("_h1").alias("_a"), F.col("_text").alias("_at")), "_a").join(
         whole.select(F.col("_h1").alias("_b"), F.col("_text").alias("_bt")), "_b"
     )
@@ -246,35 +260,54 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def _crossing(rows):
-    """Pairs of texts of different components in a block (or two blocks) of a bucket whose signatures agree."""
-    names = ["_h1", "_root", "_side", "_signature"]
-    h1, root, side, packed = (rows[c] for c in names)
-    signature = np.frombuffer(b"".join(packed.to_pylist()), "<u2").reshape(-1, DARTS)
-    h1, root, side = h1.to_numpy(), root.to_numpy(), side.to_numpy()
-    first, second = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
-    found = []
-    for i in first:
-        other = second[root[second] != root[i]]
-        good = other[(signature[other] == signature[i]).mean(axis=1) >= LEAST_AGREEMENT]
-        found.append(np.stack([np.full(len(good), h1[i]), h1[good]]))
-    pairs = np.concatenate(found, axis=1) if found else np.zeros((2, 0), np.int64)
-    return pa.table([pa.array(pairs.min(axis=0)), pa.array(pairs.max(axis=0))], ["_a", "_b"])
-
-
-def _between_components(buckets: DataFrame, roots: DataFrame, texts: DataFrame) -> DataFrame:
-    """Likely pairs between the components that share a bucket."""
-    placed = buckets.join(roots, "_h1", "left").withColumn("_root", F.coalesce("_root", "_h1"))
-    mixed = placed.groupBy("_band").agg(F.min("_root").alias("_low"), F.max("_root").alias("_high"), F.count("*").alias("_n")).filter("_low <> _high")
-    mixed = mixed.withColumn("_blocks", F.ceil(F.col("_n") / BLOCK)).select("_band", "_blocks")
-    rows = placed.join(mixed, "_band").withColumn("_block", F.pmod(F.xxhash64("_h1", F.lit(3)), F.col("_blocks")))
-    # A block meets itself and every other block once; side 0 and 1 are the two blocks, 2 a block with itself.
-    partner = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_blocks") - 1))
-    dealt = rows.withColumn("_other", partner).select(
-        "_h1", "_root", "_band", F.least("_block", "_other").alias("_i"), F.greatest("_block", "_other").alias("_j"),
-        F.when(F.col("_block") == F.col("_other"), 2).when(F.col("_block") < F.col("_other"), 0).otherwise(1).alias("_side"),
+    """Links between components among the texts of a block (or two) of a family, one for each merging."""
+    h1, root = rows["_h1"].to_numpy(), rows["_root"].to_numpy()
+    _, component = np.unique(root, return_inverse=True)
+    pairs: list[tuple[int, int]] = []
+    if component.max(initial=0) > 0:
+        values, owner, bounds = shingles(pa.array(rows["text"].to_pylist()))
+        total = np.bincount(owner, values[1].astype(np.int64), len(h1))
+        # Which texts hold a shingle, and how often.
+        _, number = np.unique(values[0], return_inverse=True)
+        by = np.argsort(number, kind="stable")
+        lists = np.searchsorted(number[by], np.arange(number.max(initial=-1) + 2))
+        holder, times = owner[by], values[1][by].astype(np.int64)
+        largest = np.bincount(component).argmax()
+        merged = np.arange(component.max() + 1)
+        for i in np.flatnonzero(component != largest):
+            mine = slice(bounds[i], bounds[i + 1])
+            begin, size = lists[number[mine]], np.diff(lists)[number[mine]]
+            at = C.ragged(begin, size)
+            shared = np.bincount(holder[at], np.minimum(times[at], np.repeat(values[1][mine].astype(np.int64), size)), len(h1))
+            alike = np.flatnonzero(shared >= SIMILARITY * (total + total[i] - shared) - 1e-9)
+            for j in alike:
+                one, other = merged[component[i]], merged[component[j]]
+                if one != other:
+                    pairs.append((min(h1[i], h1[j]), max(h1[i], h1[j])))
+                    merged[merged == other] = one
+    found = np.array(pairs, np.int64).reshape(-1, 2)
+    return pa.table([pa.array(found[:, 0]), pa.array(found[:, 1])], ["_a", "_b"])
+
+
+def _between_components(stars: DataFrame, roots: DataFrame, docs: DataFrame, texts: DataFrame, key: str, text: str) -> DataFrame:
+    """Links between components of one family, where families are what stars hold together.
+
+    Families with several components are searched exactly, on all shingles. A large one is cut into blocks,
+    and each two of them meet in a task.
+    """
+    families = components(stars).withColumnRenamed("_root", "_family")
+    placed = families.join(roots, "_h1", "left").withColumn("_root", F.coalesce("_root", "_h1"))
+    mixed = placed.groupBy("_family").agg(F.min("_root").alias("_low"), F.max("_root").alias("_high"), F.count("*").alias("_n")).filter("_low <> _high")
+    rows = stored(placed.join(mixed.select("_family", F.ceil(F.col("_n") / BLOCK).alias("_blocks")), "_family"))
+    whole = _first_texts(rows.select("_h1"), docs, texts, key, text)
+    rows = rows.withColumn("_block", F.pmod(F.xxhash64("_h1", F.lit(3)), F.col("_blocks")))
+    # A block meets each other block once, and itself on the way; a family of one block meets itself.
+    other = F.filter(F.sequence(F.lit(0).cast("bigint"), F.col("_blocks") - 1), lambda b: (b != F.col("_block")) | (F.col("_blocks") == 1))
+    dealt = rows.withColumn("_other", F.explode(other)).select(
+        "_h1", "_root", "_family", F.least("_block", "_other").alias("_i"), F.greatest("_block", "_other").alias("_j")
     )
-    signed = dealt.join(texts.select("_h1", "_signature"), "_h1")
-    return signed.groupBy("_band", "_i", "_j").applyInArrow(_crossing, "_a bigint, _b bigint").filter("_a <> _b").distinct()
+    placed_texts = dealt.join(whole, "_h1").withColumnRenamed("_text", "text")
+    return placed_texts.groupBy("_family", "_i", "_j").applyInArrow(_crossing, "_a bigint, _b bigint").distinct()
 
 
 def text_classes(docs: DataFrame, key: str, text: str, similarity: float = SIMILARITY) -> DataFrame:
@@ -285,10 +318,11 @@ def text_classes(docs: DataFrame, key: str, text: str, similarity: float = SIMIL
     hubs = bands.groupBy("_band").agg(F.min(F.struct(F.xxhash64("_h1", F.lit(2)).alias("o"), F.col("_h1").alias("hub"))).alias("_hub"), F.count("*").alias("_n"))
     buckets = stored(bands.join(hubs.filter("_n > 1").select("_band", "_hub.hub"), "_band"))
     stars = buckets.filter("_h1 <> hub").select(F.least("_h1", "hub").alias("_a"), F.greatest("_h1", "hub").alias("_b")).distinct()
-    links = _similar(_agreeing(stars, texts), docs, texts, key, text, similarity)
+    family_stars = _agreeing(stars, texts)
+    likely = family_stars.filter(F.col("_agree") >= LEAST_AGREEMENT).select("_a", "_b")
+    links = _similar(likely, docs, texts, key, text, similarity)
     roots = components(links)
-    more = _between_components(buckets.select("_h1", "_band"), roots, texts).join(links, ["_a", "_b"], "left_anti")
-    extra = _similar(more, docs, texts, key, text, similarity)
+    extra = stored(_between_components(family_stars, roots, docs, texts, key, text))
     if extra.head(1):
         roots = components(links.unionByName(extra))
     placed = texts.select("_h1", "_h2", "_first", "_rows").join(roots, "_h1", "left").withColumn("_root", F.coalesce("_root", "_h1"))
