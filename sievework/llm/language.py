@@ -105,6 +105,14 @@ def _find(pieces: Pieces, hashes: np.ndarray) -> np.ndarray:
     return found
 
 
+def _find_text(pieces: Pieces, text: str) -> int:
+    """Number of a piece; -1 if the text is none."""
+    value = np.zeros(1, np.uint64)
+    for letter in text:
+        value = value * _BASE + np.uint64(ord(letter) + 1)
+    return int(_find(pieces, value)[0])
+
+
 def _length_classes(words: list[str]):
     """Words by length class: positions of the words, their letters (padded) and lengths, mark included."""
     lengths = np.fromiter(map(len, words), np.int64, len(words)) + 1

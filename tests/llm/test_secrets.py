@@ -1,0 +1,130 @@
+import hashlib
+import itertools
+import random
+import re
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from sievework.llm import columns, secrets
+
+NAMES = ("password", "passwd", "secret", "token", "api_key", "apikey")
+EITHER = "|".join("".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in name) for name in NAMES)
+PATTERNS = {
+    "assign": (re.compile(rf"({EITHER})[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)"), 2, 12),
+    "access": (re.compile(r"AKIA[A-Z0-9]+"), 0, 18),
+    "hex": (re.compile(r"[0-9a-f]+"), 0, 16),
+}
+
+
+def brute(text):
+    found = []
+    for number, (kind, (pattern, group, least)) in enumerate(PATTERNS.items()):
+        found += [(m.start(), number, f"{kind}:{m.start()}:{m.end()}") for m in pattern.finditer(text or "") if len(m.group(group)) >= least]
+    return [s for *_, s in sorted(found)]
+
+
+def bytes_of(texts):
+    return columns.text_bytes(pa.array(texts, pa.string()))
+
+
+def found_base(texts):
+    data, offsets = bytes_of(texts)
+    position = secrets._positions(data)
+    return [[s for s in secrets._listed(spans, position, int(offsets[i])).split(",") if s] for i, spans in enumerate(secrets.base_spans(data, offsets))]
+
+
+PART = st.sampled_from(["token", "PassWd", "secret", "api_key", "APIkey", "=", ":", " ", '"', "'", "AKIA", "ABCDEFGH1234567", "deadbeef", "0123456789", "é日", "ſecret", "\n", "xyz-/+=", "K"])
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.lists(PART, max_size=14).map("".join)), min_size=1, max_size=5))
+def test_base_spans_are_those_of_the_patterns(texts):
+    assert found_base(texts) == [brute(t) for t in texts]
+
+
+def corpus(n=600):
+    rng = random.Random(7)
+    words = [f"{a}{b}" for a in ("an", "the", "re", "shon") for b in ("", "ing", "ble", "tion")]
+    out = []
+    for i in range(n):
+        text = [rng.choice(words) for _ in range(60)]
+        if i % 3 == 0:
+            text.insert(30, f'token = "{"".join(rng.choice("0123456789abcdef") for _ in range(40))}"')
+        out.append((i, " ".join(text)))
+    return out
+
+
+@pytest.fixture(scope="module")
+def field(spark):
+    return secrets.fit_field(spark.createDataFrame(corpus(), "doc_id bigint, text string"))
+
+
+def test_field_finds_what_the_patterns_miss(field):
+    texts = ["the aning bearer Zk39sldkfjSDF93kfjsdlkQ shontion the", "plain words of the retion and nothing more than aning", None, ""]
+    data, offsets = bytes_of(texts)
+    spans = secrets.find_spans(data, offsets, field)
+    assert spans[1:] == [[], [], []]
+    ((start, kind, end),) = spans[0]
+    assert texts[0][start:end].endswith("Zk39sldkfjSDF93kfjsdlkQ") and kind == 3
+
+
+def test_cut_chains_decode_as_whole_ones(field):
+    data, offsets = bytes_of([t for _, t in corpus(30)])
+    tokens = secrets.tokenize(data, offsets)
+    whole = secrets.Field(field.emissions, field.transitions, field.begin)
+    whole.certain = lambda: 1e12
+    cut = secrets.decode(field, tokens.features, tokens.first)
+    assert cut.any() and (cut == secrets.decode(whole, tokens.features, tokens.first)).all()
+
+
+def test_viterbi_is_the_best_of_all_paths():
+    rng = np.random.default_rng(1)
+    transitions, begin, end = rng.normal(size=(3, 3)), rng.normal(size=3), rng.normal(size=3)
+    lengths = np.array([6, 4, 1])
+    scores = rng.normal(size=(6, 3, 3))
+    tags = secrets.viterbi(scores, lengths, np.tile(begin, (3, 1)), np.tile(end, (3, 1)), transitions)
+    for i, n in enumerate(lengths):
+        def worth(path):
+            steps = sum(transitions[a, b] for a, b in zip(path, path[1:]))
+            return begin[path[0]] + end[path[-1]] + steps + sum(scores[t, i, y] for t, y in enumerate(path))
+
+        assert tuple(tags[:n, i]) == max(itertools.product(range(3), repeat=n), key=worth)
+
+
+def test_training_raises_the_likelihood_of_tags():
+    rng = np.random.default_rng(2)
+    windows, tags = [], []
+    for _ in range(80):
+        window = np.zeros((9, len(secrets.SIZES)), np.int64)
+        window[:, 0] = rng.integers(0, 3, 9)
+        tag = np.where(window[:, 0] == 2, 1, 0)
+        windows.append(window)
+        tags.append(tag)
+    field = secrets.train_field(windows, tags)
+    for window, tag in zip(windows, tags):
+        assert (secrets.decode(field, window, np.array([0, 9])) == tag).all()
+
+
+def test_edge_rows(spark, field, edge_docs, edge_rows, empty_docs):
+    rows = secrets.scan(edge_docs, field, ["doc_id", "text"]).collect()
+    assert len(rows) == len(edge_rows)
+    for r in rows:
+        base = brute(r.text)
+        assert r.base_sha256 == hashlib.sha256(",".join(base).encode()).hexdigest()
+        assert set(base) <= set(filter(None, r.spans.split(",")))
+        assert [r.n_assign, r.n_access, r.n_hex] == [sum(s.startswith(k) for s in base) for k in PATTERNS]
+    marked = secrets.redact(edge_docs, field)
+    assert marked.columns == edge_docs.columns
+    texts = {r.doc_id: r.text for r in marked.collect()}
+    assert texts[12] == 'x [SECRET]" y' and texts[8] is None and texts[7] == ""
+    assert secrets.scan(empty_docs, field, ["doc_id"]).count() == 0 == secrets.redact(empty_docs, field).count()
+
+
+def test_nothing_to_learn_from(spark, empty_docs):
+    plain = secrets.fit_field(empty_docs)
+    data, offsets = bytes_of(["token = Zk39sldkfjSDF93kfjsdlkQ", "the words"])
+    assert [[k for _, k, _ in spans] for spans in secrets.find_spans(data, offsets, plain)] == [[0], []]
