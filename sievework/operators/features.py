@@ -165,7 +165,7 @@ def tfidf(
     """Rows (key, term, tf, df, weight): tf * (ln((1+n)/(1+df)) + 1), scaled to length 1 per document.
 
     ``key`` names a document, so it must be distinct. The vocabulary is stored first.
-    One of at most ``BROADCAST_TERMS`` terms is sent to all executors; the documents are then dealt out by
+    One of at most ``BROADCAST_TERMS`` terms is sent to all executors, if the session allows broadcasts; the documents are then dealt out by
     key before they are exploded, so that terms and weights are never shuffled. With a longer one both sides of
     the join are plain shuffles, of which AQE splits the part of a term that is in very many
     documents. (Joined straight after its aggregation, it could not be split.)
@@ -176,7 +176,8 @@ def tfidf(
     vocabulary = stored(_vocabulary(counts, n_docs, min_df, max_df, max_features is not None))
     if max_features is not None:
         vocabulary = stored(limit_features(vocabulary, max_features).drop("total_tf"))
-    if vocabulary.count() <= BROADCAST_TERMS:
+    allowed = docs.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold") != "-1"
+    if allowed and vocabulary.count() <= BROADCAST_TERMS:
         vocabulary = F.broadcast(vocabulary)
         dealt = docs.select(key, text).repartition(key)
         counts = term_counts(with_terms(dealt, text, bigrams=bigrams, stop_words=stop_words), key)

@@ -69,7 +69,10 @@ def running_totals(
         upto = Window.orderBy(direction("_range")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
         upto_sums = sums.withColumns({f"_upto_{new}": F.sum(f"_sum_{new}").over(upto) for new in totals})
     else:
-        upto_sums = running_totals(sums, "_range", {f"_upto_{new}": f"_sum_{new}" for new in totals}, descending, rows_per_range)
+        placed_sums = sums.withColumnRenamed("_range", "_place")
+        upto_names = {f"_upto_{new}": f"_sum_{new}" for new in totals}
+        upto_sums = running_totals(placed_sums, "_place", upto_names, descending, rows_per_range)
+        upto_sums = upto_sums.withColumnRenamed("_place", "_range")
     offsets = upto_sums.select("_range", *((F.col(f"_upto_{new}") - F.col(f"_sum_{new}")).alias(f"_before_{new}") for new in totals))
     if len(cuts) <= BROADCAST_ROWS:
         offsets = F.broadcast(offsets)
@@ -83,8 +86,9 @@ def running_totals(
 def first_in_order(df: DataFrame, limits: Mapping[object, int] | int, seed: int, key: str, group: str | None = None) -> DataFrame:
     """The first rows of each group (or of all) in the random order of their keys, with ``_order``.
 
-    No rows are ranked: a group's cut-off comes from counts (:func:`quota_cutoffs`) and each row is
-    compared with it. Keys should be distinct; rows of the key at the cut-off stay or go together.
+    A group's cut-off comes from counts (:func:`quota_cutoffs`) and each row is compared with it, so only rows
+    that stay are shuffled. Keys should be distinct: rows that share the key at the cut-off are numbered
+    in one task to find out how many of them stay.
     """
     ordered = df.withColumns({"_order": value_order(key, seed), "_group": F.col(group) if group else F.lit("")})
     field = ordered.schema["_group"].dataType.simpleString()
@@ -95,13 +99,18 @@ def first_in_order(df: DataFrame, limits: Mapping[object, int] | int, seed: int,
     over = wanted.join(sizes, "_group").withColumn("_all", F.col("_size") <= F.col("quota"))
     cut = quota_cutoffs(ordered.select("_group", "_order", F.col(key).alias("_key")), "_group", over.filter("not _all and quota > 0").select("_group", "quota"))
     limits_of = over.filter("quota > 0").select("_group", "_all").join(cut, "_group", "left")
-    inside = F.struct(F.col("_order").alias("o"), F.col(key).alias("k")) <= F.struct(F.col("_last_order").alias("o"), F.col("_last_key").alias("k"))
+    here, last = F.struct(F.col("_order").alias("o"), F.col(key).alias("k")), F.struct(F.col("_last_order").alias("o"), F.col("_last_key").alias("k"))
     limited = F.broadcast(limits_of) if len(quotas) <= BROADCAST_ROWS else limits_of
-    return ordered.join(limited, "_group").filter(F.col("_all") | inside).select(*df.columns, "_order")
+    kept = ordered.join(limited, "_group").filter(F.col("_all") | (here <= last))
+    tie = ~F.col("_all") & (here == last)
+    alone = F.when(~tie, F.struct("_order", F.col(key).alias("k")))
+    number = F.row_number().over(Window.partitionBy("_group", "_tie", "_alone").orderBy(F.lit(0)))
+    numbered = kept.withColumns({"_tie": tie, "_alone": alone}).withColumn("_number", number)
+    return numbered.filter(~F.col("_tie") | (F.col("_number") <= F.col("_keep"))).select(*df.columns, "_order")
 
 
 def quota_cutoffs(keyed: DataFrame, group: str, quotas: DataFrame) -> DataFrame:
-    """Per group, the last (``_order``, ``_key``) that is inside the group's quota.
+    """Per group, the last (``_order``, ``_key``) that is inside the group's quota, and how many rows of it are (``_keep``).
 
     ``keyed`` has columns group, ``_order`` (an MD5) and ``_key``; ``quotas`` has
     group and ``quota``. MD5 values are counted by their first four digits; the
@@ -120,7 +129,7 @@ def quota_cutoffs(keyed: DataFrame, group: str, quotas: DataFrame) -> DataFrame:
     return (
         keyed.withColumn("_slice", F.substring("_order", 1, 4))
         .join(F.broadcast(edges), [group, "_slice"])
-        .withColumn("_rank", F.row_number().over(inside))
+        .withColumns({"_rank": F.row_number().over(inside), "_first": F.rank().over(inside)})
         .filter(F.col("_rank") == F.col("_left"))
-        .select(group, F.col("_order").alias("_last_order"), F.col("_key").alias("_last_key"))
+        .select(group, F.col("_order").alias("_last_order"), F.col("_key").alias("_last_key"), (F.col("_left") - F.col("_first") + 1).alias("_keep"))
     )
