@@ -19,6 +19,8 @@ from sievework.session import scratch_path, settle, stored
 from sievework.sources import runs
 
 TERM_LIMIT = 2000
+# The steepest slope per training row that counts as an optimum.
+GRADIENT_BOUND = 1e-3
 # The English stop words of Spark that can be tokens (two letters or more, no apostrophe).
 ENGLISH = """
 me my myself we our ours ourselves you your yours yourself yourselves he him his himself she her hers herself it
@@ -98,6 +100,19 @@ def train_logistic(spark, sf):
     return metrics.metrics_row(settle(scored))
 
 
+def logistic_optimum(spark, sf):
+    """Size of the fitted model, and whether the loss is flat at its coefficients."""
+    rows = _labelled(spark, sf)
+    train = rows.filter(~F.col("is_test"))
+    model = models.train_logistic(models.stack_features(rows), train)
+    steepest = abs(models.loss_gradient(model, train)).max()
+    return train.agg(
+        F.count(F.lit(1)).alias("n_train"),
+        F.lit(len(models.feature_names(model))).cast("bigint").alias("n_features"),
+        (F.lit(float(steepest)) < GRADIENT_BOUND * F.count(F.lit(1))).alias("flat"),
+    )
+
+
 def score_logistic(spark, sf):
     """Probability for every document, labelled or not."""
     model = _trained(_labelled(spark, sf))
@@ -230,6 +245,13 @@ QUERIES = {
         + ", ".join(f"CAST(any_value({c}) AS DOUBLE) AS {c}" for c in META_COLUMNS)
         + " FROM docs JOIN rec USING (pmid) LEFT JOIN counts USING (pmid) LEFT JOIN vocabulary USING (term) GROUP BY pmid",
     ),
+    "logistic_optimum": (
+        logistic_optimum,
+        "WITH " + base.sql_records() + ", labelled AS (SELECT doc_id AS pmid, concat(title, ' ', chr(10), ' ', abstract) AS text "
+        "FROM labels JOIN rec ON pmid = doc_id)," + _terms_cte("SELECT pmid, text FROM labelled")
+        + f" SELECT (SELECT count(*) FROM docs) - CAST(ceil(0.25 * (SELECT count(*) FROM docs)) AS BIGINT) AS n_train, "
+        f"count(*) + {len(META_COLUMNS)} AS n_features, true AS flat FROM vocabulary",
+    ),
     "train_logistic": (train_logistic, None),
     "score_logistic": (score_logistic, None),
     "top_coefficients": (top_coefficients, None),

@@ -6,11 +6,13 @@ import math
 import re
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer, SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -135,6 +137,16 @@ def train_logistic(
     return PipelineModel([*features.stages, fitted])
 
 
+def loss_gradient(model: PipelineModel, train: DataFrame, label: str = "label", c: float = 1.0) -> np.ndarray:
+    """Gradient of the penalised, class-weighted loss at the model's coefficients; near 0 everywhere at the optimum."""
+    rows = with_class_weight(model.transform(train), label, "_weight")
+    gap = F.col("_weight") * (vector_to_array("_probability")[1] - F.col(label))
+    # A weighted sum of vectors takes no negative weights, so there are two.
+    both = rows.select("features", F.greatest(gap, F.lit(0.0)).alias("_up"), F.greatest(-gap, F.lit(0.0)).alias("_down"))
+    sums = both.select(*(Summarizer.sum(F.col("features"), F.col(side)).alias(side) for side in ("_up", "_down"))).first()
+    return sums["_up"].toArray() - sums["_down"].toArray() + model.stages[-1].coefficients.toArray() / c
+
+
 def score_logistic(model: PipelineModel, df: DataFrame, out: str = "model_prob") -> DataFrame:
     """Add the probability of class 1."""
     return model.transform(df).select(*df.columns, vector_to_array("_probability")[1].alias(out))
