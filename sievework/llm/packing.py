@@ -9,9 +9,6 @@ Tokens are made once and stored beside the key. The table is then cut by key int
 numbers of rows; token totals of ranges give each range its place in the stream, and each range is
 sorted and cut on its own. The key ends in bits of a hash, so that equal documents don't fall into one range.
 
-White space tells a byte-level vocabulary where a text may be split without changing its ids (between a
-word and what follows it, and before the last space of a run), so each distinct word of a task is encoded once.
-
 A null text counts as empty: its document is the end mark alone. Repeated rows are packed as often as they
 occur; ties are ordered by document id and a row number. Columns other than key and text are not read. An
 empty table gives an empty result.
@@ -21,7 +18,6 @@ from __future__ import annotations
 
 import base64
 import zlib
-from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -37,17 +33,12 @@ END_ID = 0
 DIMENSIONS = 3
 BITS = 12
 ROWS_PER_RANGE = 20_000
+MANY_RANGES = 100_000
 # Longer words go to the library whose time doesn't grow with the square of a word's length.
 LONG_WORD = 2_000
-_CACHED_WORDS = 400_000
 # The pattern that splits texts of this vocabulary, and its one special token; fixed values.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 SPECIAL, SPECIAL_ID = "<|endoftext|>", 50256
-_PLAIN = np.zeros(257, bool)
-_PLAIN[0x21:0x7F] = True
-# The special token ends what stands before it, so what may be its start is no word that follows.
-_FOLLOWS = _PLAIN.copy()
-_FOLLOWS[ord("<")] = False
 
 
 def tokenizer_paths() -> tuple[str, str]:
@@ -57,61 +48,35 @@ def tokenizer_paths() -> tuple[str, str]:
     return public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
-@dataclass
 class Encoder:
-    """Ids of ``tokenizers`` for the vocabulary at ``paths``; words are encoded once and kept."""
-
-    paths: tuple[str, str]
-    known: dict[str, np.ndarray] = field(default_factory=dict)
+    """Ids of ``tokenizers`` for the vocabulary at ``paths``, through a faster library with the same vocabulary as ranks."""
 
-    def __post_init__(self):
+    def __init__(self, paths: tuple[str, str]):
         import tiktoken
         from tokenizers import Tokenizer
 
-        with open(self.paths[1], "rb") as lines:
+        with open(paths[1], "rb") as lines:
             ranks = {base64.b64decode(word): int(rank) for word, rank in map(bytes.split, lines)}
-        self.fast = tiktoken.Encoding("words", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={SPECIAL: SPECIAL_ID})
-        self.plain = Tokenizer.from_file(self.paths[0])
+        self.fast = tiktoken.Encoding("texts", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={SPECIAL: SPECIAL_ID})
+        self.plain = Tokenizer.from_file(paths[0])
 
-    def word(self, text: str) -> np.ndarray:
-        if len(text) > LONG_WORD:
-            return np.array(self.plain.encode(text, add_special_tokens=False).ids, np.uint16)
-        if SPECIAL in text:
-            return np.array(self.fast.encode(text, allowed_special="all"), np.uint16)
-        return np.array(self.fast.encode_ordinary(text), np.uint16)
+    def one(self, text: str, longest: int) -> np.ndarray:
+        if longest > LONG_WORD:
+            return np.array(self.plain.encode(text, add_special_tokens=False).ids, np.uint32)
+        return self.fast.encode_to_numpy(text, allowed_special="all")
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, each followed by ``END_ID``, and the offsets of the texts in them."""
         data, offsets = C.text_bytes(column)
-        n = len(data)
-        beside = np.append(data, 0)
-        space = (data == 0x20) | (data == 0x0A)
-        previous = np.concatenate([[0], data[:-1]]) if n else data
-        edges = np.zeros(n + 1, bool)
-        edges[offsets] = True
-        # What follows counts within the text only.
-        within = _FOLLOWS[beside[1:]] & ~edges[1:]
-        edges[:-1] |= space & (within | _PLAIN[previous])
-        bounds = np.flatnonzero(edges)
-        units = pa.StringArray.from_buffers(len(bounds) - 1, pa.py_buffer(bounds.astype(np.int32)), pa.py_buffer(data)) if n else pa.array([], pa.string())
-        coded = units.dictionary_encode()
-        if len(self.known) > _CACHED_WORDS:
-            self.known.clear()
-        ids = []
-        for text in coded.dictionary.to_pylist():
-            found = self.known.get(text)
-            if found is None:
-                found = self.known[text] = self.word(text)
-            ids.append(found)
-        ids.append(np.array([END_ID], np.uint16))
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-        places = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-        # The end mark is one more unit behind each text's units.
-        first = np.searchsorted(bounds, offsets)
-        which = np.insert(coded.indices.to_numpy().astype(np.int64), first[1:], len(ids) - 1)
-        stream = np.concatenate(ids)[C.ragged(places[which], sizes[which])]
-        before = np.concatenate([[0], np.cumsum(sizes[which])])
-        return stream, before[first + np.arange(len(first))]
+        starts, ends, first = C.words(data, offsets)
+        longest = np.zeros(len(column), np.int64)
+        np.maximum.at(longest, np.repeat(np.arange(len(column)), np.diff(first)), ends - starts)
+        end = np.array([END_ID], np.uint32)
+        parts = []
+        for text, size in zip(column.to_pylist(), longest):
+            parts += [self.one(text or "", size), end]
+        sizes = np.fromiter(map(len, parts), np.int64, len(parts))
+        return np.concatenate(parts).astype(np.uint16), np.concatenate([[0], np.cumsum(sizes)[1::2]])
 
 
 def hilbert(points: np.ndarray, bits: int) -> np.ndarray:
@@ -235,9 +200,12 @@ def pack(
             table.withColumn("_at", F.col("_order").cast("double"))
         )
         ranged = numbered.withColumn("_range", F.col("_range").cast("int")).drop("_at")
+    # A row per range, as many as there are cuts on the driver; broadcast only if they are few.
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    # A row per range; ranges grow with the rows, so Spark chooses the join by their size.
-    bases = ranged.groupBy("_range").agg(F.sum("_n").alias("_total")).select("_range", F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_base"))
+    totals = ranged.groupBy("_range").agg(F.sum("_n").alias("_total"))
+    bases = totals.select("_range", F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_base"))
+    if len(cuts) < MANY_RANGES:
+        bases = F.broadcast(bases)
     placed = ranged.join(bases, "_range").repartition(len(cuts) + 1, "_range").sortWithinPartitions("_range", "_order", "_key", "_row")
     kind = docs.schema[key].dataType.simpleString()
     pieces = C.map_batches(
