@@ -76,9 +76,22 @@ def settle(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def stored(df: DataFrame) -> DataFrame:
-    """As :func:`settle`, but as a table: later plans know its size and read only the columns they need."""
-    path = scratch_path(df.sparkSession, "table")
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+# Shuffle files of a finished query go at once, not when the driver happens to collect garbage.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def stored(df: DataFrame, **options: str) -> DataFrame:
+    """As :func:`settle`, but as a table: later plans know its size and read only the columns they need.
+
+    The shuffles behind it are not needed again, so their files are deleted once it is written.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, "table")
+    before = spark.conf.get(SHUFFLE_CLEANUP, "false")
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.options(**options).parquet(path)
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
+    return spark.read.parquet(path)
 
