@@ -31,8 +31,8 @@ from sievework.llm import columns as C
 VOTERS = 16
 LEARNED_GROUPS = 8
 # Labelled rows, and other rows, that lexicons and classifier are fitted on, at most.
-MAX_LABELLED = 20_000
-MAX_OTHERS = 10_000
+MAX_LABELLED = 16_000
+MAX_OTHERS = 6_000
 FEATURE_BITS = 18
 PRIOR = 0.1
 STEM_BYTES = 6
