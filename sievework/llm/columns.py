@@ -131,6 +131,11 @@ def span_hash(running: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.n
     return mix((running[ends] - running[starts]) * _power("down", len(running))[starts] + (ends - starts).astype(np.uint64))
 
 
+def rebased(differences: np.ndarray) -> np.ndarray:
+    """Differences of :func:`prefix_hash` of segments that begin at places 0, 1, 2, ... freed from their place."""
+    return differences * _power("down", len(differences))[: len(differences)]
+
+
 def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Indices of all elements of the ranges (start, length), one range after the other."""
     total = int(lengths.sum())

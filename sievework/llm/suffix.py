@@ -33,12 +33,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sievework.llm import columns as C
-from sievework.session import scratch_path, stored
+from sievework.session import stored
 
 WIDTH = 100
 GRAM = 32
 # Contexts of a shard, about; an anchor with more different ones is dealt over several shards.
-SHARD_CONTEXTS = 10_000
+SHARD_CONTEXTS = 4_000
 _SYMBOLS = 7
 
 
@@ -57,9 +57,9 @@ def window_anchors(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, n
     if n < WIDTH:
         return none, none.astype(np.uint64), none, none
     running = C.prefix_hash(data)
-    starts = np.arange(n - GRAM + 1)
-    grams = C.span_hash(running, starts, starts + GRAM)
-    best = (grams & ~np.uint64(0xFFFFFFFF)) | starts.astype(np.uint64)
+    # The hash of each place, from neighbouring slices of the running one.
+    grams = C.mix(C.rebased(running[GRAM:] - running[:-GRAM]))
+    best = (grams & ~np.uint64(0xFFFFFFFF)) | np.arange(n - GRAM + 1, dtype=np.uint64)
     size = 1
     while 2 * size <= reach:
         best = np.minimum(best[:-size], best[size:])
@@ -137,30 +137,39 @@ def _contexts(batches):
         owner = np.repeat(np.arange(part.num_rows), wanted.value_lengths().to_numpy())
         places = np.unique(wanted.flatten().to_numpy() + offsets[owner])
         c = np.flatnonzero(np.isin(anchor, places))
-        whole = data.tobytes()
-        rows = [whole[low[i] : high[i] + WIDTH] for i in c]
+        sizes = high[c] + WIDTH - low[c]
+        bounds = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+        stretches = pa.py_buffer(np.ascontiguousarray(data[C.ragged(low[c], sizes)]))
+        rows = pa.BinaryArray.from_buffers(pa.binary(), len(c), [None, pa.py_buffer(bounds), stretches])
         yield pa.RecordBatch.from_arrays(
             [
-                pa.array(gram[c].view(np.int64)), pa.array((anchor - low)[c].astype(np.int32)), pa.array(rows, pa.binary()),
+                pa.array(gram[c].view(np.int64)), pa.array((anchor - low)[c].astype(np.int32)), rows,
                 part.column("_key").take(pa.array(doc[c])), part.column("_h1").take(pa.array(doc[c])), pa.array((low - offsets[doc])[c]),
             ],
             ["_gram", "_x", "_context", "_key", "_h1", "_from"],
         )
 
 
-def suffix_array(symbols: np.ndarray, ends: np.ndarray, owner: np.ndarray) -> np.ndarray:
+def packed_symbols(symbols: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The ``_SYMBOLS`` symbols from each place on as one number; 0 stands behind a string's end."""
+    n = len(symbols)
+    padded = np.concatenate([symbols, np.zeros(_SYMBOLS, np.int64)]).astype(np.uint64)
+    room = ends - np.arange(n)
+    key = np.zeros(n, np.uint64)
+    for k in range(_SYMBOLS):
+        key = (key << np.uint64(9)) | np.where(room > k, padded[k : k + n], np.uint64(0))
+    return key
+
+
+def suffix_array(symbols: np.ndarray, ends: np.ndarray, owner: np.ndarray, key: np.ndarray | None = None) -> np.ndarray:
     """Sorted places of all suffixes of several strings laid end to end; a string's end sorts before all symbols.
 
     ``symbols`` are bytes plus one, ``ends`` the end of each place's string, ``owner`` its number. Equal
     suffixes are ordered by the number of their string.
     """
     n = len(symbols)
-    place = np.arange(n)
-    key = np.zeros(n, np.uint64)
-    for k in range(_SYMBOLS):
-        at = place + k
-        key = (key << np.uint64(9)) | np.where(at < ends, symbols[np.minimum(at, n - 1)], 0).astype(np.uint64)
-    order = np.argsort(key, kind="stable")
+    key = packed_symbols(symbols, ends) if key is None else key
+    order = np.argsort(key)
     sorted_key = key[order]
     fresh = np.append(True, sorted_key[1:] != sorted_key[:-1])
     rank = np.empty(n, np.int64)
@@ -177,18 +186,23 @@ def suffix_array(symbols: np.ndarray, ends: np.ndarray, owner: np.ndarray) -> np
         beyond = onward >= ends[members]
         second = np.where(beyond, owner[members] - n - 1, rank[np.minimum(onward, n - 1)])
         group = rank[members]
-        sorting = np.lexsort((second, group))
-        members, group, second = members[sorting], group[sorting], second[sorting]
+        # Group and second rank as one number: second ranks lie within -2n and n.
+        both = group * (3 * n + 2) + (second + 2 * n + 1)
+        sorting = np.argsort(both)
+        members, both = members[sorting], both[sorting]
         order[open_] = members
-        starts = np.append(True, (group[1:] != group[:-1]) | (second[1:] != second[:-1]))
+        starts = np.append(True, both[1:] != both[:-1])
         fresh[open_] = starts
         rank[members] = open_[np.flatnonzero(starts)[np.cumsum(starts) - 1]]
         depth *= 2
 
 
-def common_prefixes(symbols: np.ndarray, ends: np.ndarray, order: np.ndarray, begins: np.ndarray, most: int = WIDTH) -> np.ndarray:
-    """Common prefix of each suffix with the one before it in ``order`` (0 for the first); values above ``most`` may be low, but not below it."""
+def common_prefixes(
+    symbols: np.ndarray, ends: np.ndarray, order: np.ndarray, begins: np.ndarray, key: np.ndarray | None = None
+) -> np.ndarray:
+    """Common prefix of each suffix with the one before it in ``order`` (0 for the first)."""
     n = len(symbols)
+    key = packed_symbols(symbols, ends) if key is None else key
     before = np.full(n, -1)
     before[order[1:]] = order[:-1]
     has = before >= 0
@@ -197,7 +211,18 @@ def common_prefixes(symbols: np.ndarray, ends: np.ndarray, order: np.ndarray, be
     left_equal[inner] = symbols[inner - 1] == symbols[before[inner] - 1]
     irreducible = np.flatnonzero(~left_equal)
     length = np.zeros(len(irreducible), np.int64)
-    active = np.flatnonzero(has[irreducible])
+    whole = np.flatnonzero(has[irreducible])
+    one, other = irreducible[whole], before[irreducible[whole]]
+    room = np.minimum(ends[one] - one, ends[other] - other)
+    # In steps of several symbols as long as they agree, then one by one.
+    active = np.arange(len(whole))
+    while len(active):
+        done = length[whole[active]]
+        active = active[done + _SYMBOLS <= room[active]]
+        done = length[whole[active]]
+        active = active[key[one[active] + done] == key[other[active] + done]]
+        length[whole[active]] += _SYMBOLS
+    active = whole
     while len(active):
         i = irreducible[active] + length[active]
         j = before[irreducible[active]] + length[active]
@@ -226,8 +251,9 @@ def _shard(rows: pa.Table) -> pa.Table:
     begins = np.zeros(len(data), bool)
     begins[offsets[:-1]] = True
     symbols = data.astype(np.int64) + 1
-    order = suffix_array(symbols, ends, owner)
-    new = common_prefixes(symbols, ends, order, begins) < WIDTH
+    packed = packed_symbols(symbols, ends)
+    order = suffix_array(symbols, ends, owner, packed)
+    new = common_prefixes(symbols, ends, order, begins, packed) < WIDTH
     group = np.empty(len(data), np.int64)
     group[order] = np.cumsum(new)
     window = np.flatnonzero(np.arange(len(data)) + WIDTH <= ends)
@@ -235,10 +261,15 @@ def _shard(rows: pa.Table) -> pa.Table:
     absent = rows["_missing"].to_numpy(zero_copy_only=False)
     key, text = rows["_key"].to_numpy(), rows["_h1"].to_numpy()
     start = rows["_from"].to_numpy()[row] + window - offsets[row]
-    by = np.lexsort((start, text[row], key[row], absent[row], group[window]))
-    sorted_group = group[window][by]
-    gone = np.zeros(len(window), bool)
-    gone[by[1:][sorted_group[1:] == sorted_group[:-1]]] = True
+    # The earliest of each group of equal windows stays: texts in their order, then places.
+    by = np.lexsort((text, key, absent))
+    changed = (text[by][1:] != text[by][:-1]) | (key[by][1:] != key[by][:-1]) | (absent[by][1:] != absent[by][:-1])
+    number = np.empty(rows.num_rows, np.int64)
+    number[by] = np.concatenate([[0], np.cumsum(changed)])
+    when = (number[row] << np.int64(34)) | start
+    earliest = np.full(int(group.max(initial=0)) + 1, np.iinfo(np.int64).max)
+    np.minimum.at(earliest, group[window], when)
+    gone = when != earliest[group[window]]
     i = window - offsets[row]
     # Runs of removed windows of a context.
     out = np.flatnonzero(gone)
@@ -314,7 +345,6 @@ def _cut(batches):
 
 def lost_windows(docs: DataFrame, key: str, text: str, shard_contexts: int = SHARD_CONTEXTS) -> tuple[DataFrame, DataFrame]:
     """Texts of at least ``WIDTH`` bytes (``_h1``, ``_h2``, ``_first``, ``_rows``), and per text its lost windows (``_h1``, ``_lost``)."""
-    spark = docs.sparkSession
     named = _named(docs, key, text).filter(F.octet_length("text") >= WIDTH)
     per_key = named.groupBy("_h1", "_h2", "_key").agg(F.count("*").alias("_n"))
     first = F.min(F.struct(F.col("_key").isNull().alias("absent"), F.col("_key").alias("key"), F.col("_n").alias("n")))
@@ -331,9 +361,7 @@ def lost_windows(docs: DataFrame, key: str, text: str, shard_contexts: int = SHA
         rows.select("_key", "_h1", "text", "_places"), _contexts,
         "_gram bigint, _x int, _context binary, _key bigint, _h1 bigint, _from bigint",
     ).withColumns({"_c1": F.xxhash64("_context"), "_c2": F.xxhash64("_context", F.lit(1)), "_missing": F.col("_key").isNull()})
-    path = scratch_path(spark, "contexts")
-    found.write.option("compression", "zstd").parquet(path)
-    contexts = spark.read.parquet(path)
+    contexts = stored(found, compression="zstd")
 
     same = ["_gram", "_x", "_c1", "_c2"]
     order = F.struct("_missing", "_key", "_h1", "_from")
@@ -360,7 +388,8 @@ def lost_windows(docs: DataFrame, key: str, text: str, shard_contexts: int = SHA
     )
     partial = results.filter(F.col("_window").isNull()).select(*same, "_i", "_n").unionByName(merged)
     of_leader = partial.groupBy(*same).agg(F.collect_list(F.struct("_i", "_n")).alias("_runs"))
-    leaders = whole.select(*same, F.col("_o._h1").alias("_leader"), F.col("_o._from").alias("_at")).join(of_leader, same, "left")
+    # Stored, so that both sides of the join are plain shuffles and one that holds most rows can be split.
+    leaders = stored(whole.select(*same, F.col("_o._h1").alias("_leader"), F.col("_o._from").alias("_at")).join(of_leader, same, "left"))
     is_leader = (F.col("_h1") == F.col("_leader")) & (F.col("_from") == F.col("_at"))
     n_windows = F.octet_length("_context") - (WIDTH - 1)
     every = F.array(F.struct(F.lit(0).cast("bigint").alias("_i"), F.col("_windows").alias("_n")))
@@ -376,8 +405,8 @@ def lost_windows(docs: DataFrame, key: str, text: str, shard_contexts: int = SHA
 def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", shard_contexts: int = SHARD_CONTEXTS) -> DataFrame:
     """Per row: key, n_bytes, n_removed, n_spans, kept_sha256."""
     texts, lost = lost_windows(docs, key, text, shard_contexts)
-    # Only texts that lose something or have several rows need to be known.
-    told = texts.join(lost, "_h1", "left").filter("_rows > 1 or _lost is not null").select("_h1", "_h2", "_first", "_lost")
+    # Only texts that lose something or have several rows need to be known; what led to them is let go before texts are shuffled.
+    told = stored(texts.join(lost, "_h1", "left").filter("_rows > 1 or _lost is not null").select("_h1", "_h2", "_first", "_lost"))
     rows = _named(docs, key, text).join(told, ["_h1", "_h2"], "left")
     is_first = F.col("_first").isNull() | F.col("_key").eqNullSafe(F.col("_first.key"))
     several = is_first & F.coalesce(F.col("_first.n") > 1, F.lit(False))
