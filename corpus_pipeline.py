@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sievework.llm import minhash, mixing, packing, rules, secrets
-from sievework.session import scratch_path
+from sievework.session import stored
 
 
 def _measured_again(docs: DataFrame) -> DataFrame:
@@ -65,8 +65,6 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for number, (_, stage) in enumerate(STAGES, 1):
-        path = scratch_path(spark, f"stage{number}")
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+    for _, stage in STAGES:
+        docs = stored(stage(spark, docs, sf_dir))
     return docs

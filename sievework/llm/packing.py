@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sievework.llm import columns as C
-from sievework.session import scratch_path
+from sievework.session import stored
 
 LENGTH = 1024
 END_ID = 0
@@ -148,9 +148,7 @@ def tokenized(docs: DataFrame, key: str, text: str, paths: tuple[str, str]) -> D
     named = docs.select(F.col(key).alias("_key"), F.col(text).alias("text"), row.alias("_row")).withColumn("_hash", F.xxhash64("_key", "_row"))
     kind = named.schema["_key"].dataType.simpleString()
     made = C.map_batches(named, run, f"_key {kind}, _row bigint, _order bigint, _n bigint, _ids binary")
-    path = scratch_path(docs.sparkSession, "tokens")
-    made.write.option("compression", "zstd").parquet(path)
-    return docs.sparkSession.read.parquet(path)
+    return stored(made, compression="zstd")
 
 
 def _pieces(length: int):
