@@ -41,12 +41,14 @@ SIMILARITY = 0.8
 # A pair of similarity 0.8 shares no band four times in ten million.
 BANDS, ROWS = 28, 4
 DARTS = BANDS * ROWS
-# Agreement of signatures that a pair of similarity 0.8 falls below by five standard deviations.
-LEAST_AGREEMENT = 0.61
+# How far below the similarity a pair's agreement of signatures may lie: five standard deviations at 0.8.
+MARGIN = 0.19
 # Texts of a bucket that agree less with their hub share it by chance and are not of its family.
 FAMILY_AGREEMENT = 0.3
 # Texts of a family that one task holds, half of them from each of two blocks.
 BLOCK = 1_000
+# Tables of keys of up to this many rows are sent to all executors; beyond that both sides are shuffled.
+BROADCAST_TEXTS = 200_000
 _FIRST_RANK = 2.0**-10
 _TAIL = 64
 
@@ -201,17 +203,21 @@ def _agreeing(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return stored(C.map_batches(both.select("_a", "_b", "_as", "_bs"), run, "_a bigint, _b bigint, _agree double"))
 
 
+def _sized(table: DataFrame) -> DataFrame:
+    """Stored table of narrow rows, to be broadcast if it is short."""
+    table = stored(table)
+    return F.broadcast(table) if table.count() <= BROADCAST_TEXTS else table
+
+
 def _first_texts(needed: DataFrame, docs: DataFrame, texts: DataFrame, key: str, text: str) -> DataFrame:
     """Stored ``_h1`` and ``_text`` of the texts named in ``needed``, from the rows with their first keys; copies stay behind."""
-    of_first = texts.join(needed.distinct(), "_h1", "left_semi").select("_h1", F.col("_first.key").alias("_key1"))
+    of_first = _sized(texts.join(needed.distinct(), "_h1", "left_semi").select("_h1", F.col("_first.key").alias("_key1")))
     rows = _hashed(docs, key, text).join(of_first, "_h1").filter(F.col("_key").eqNullSafe(F.col("_key1")))
     return stored(rows.dropDuplicates(["_h1"]).select("_h1", F.col("text").alias("_text")))
 
 
-def _similar(pairs: DataFrame, docs: DataFrame, texts: DataFrame, key: str, text: str, similarity: float) -> DataFrame:
-    """Stored pairs whose weighted Jaccard similarity, on all shingles, reaches the threshold."""
-    pairs = stored(pairs)
-    whole = _first_texts(pairs.select(F.explode(F.array("_a", "_b")).alias("_h1")), docs, texts, key, text)
+def _similar(pairs: DataFrame, whole: DataFrame, similarity: float) -> DataFrame:
+    """Stored pairs whose weighted Jaccard similarity, on all shingles of the ``whole`` texts, reaches the threshold."""
     both = pairs.join(whole.select(F.col("_h1").alias("_a"), F.col("_text").alias("_at")), "_a").join(
         whole.select(F.col("_h1").alias("_b"), F.col("_text").alias("_bt")), "_b"
     )
@@ -259,7 +265,7 @@ def components(links: DataFrame) -> DataFrame:
     return stored(roots.unionByName(edges.select(F.col("v").alias("_h1"), F.col("v").alias("_root")).distinct()).groupBy("_h1").agg(F.min("_root").alias("_root")))
 
 
-def _crossing(rows):
+def _crossing(rows, similarity: float):
     """Links between components among the texts of a block (or two) of a family, one for each merging."""
     h1, root = rows["_h1"].to_numpy(), rows["_root"].to_numpy()
     _, component = np.unique(root, return_inverse=True)
@@ -279,7 +285,7 @@ def _crossing(rows):
             begin, size = lists[number[mine]], np.diff(lists)[number[mine]]
             at = C.ragged(begin, size)
             shared = np.bincount(holder[at], np.minimum(times[at], np.repeat(values[1][mine].astype(np.int64), size)), len(h1))
-            alike = np.flatnonzero(shared >= SIMILARITY * (total + total[i] - shared) - 1e-9)
+            alike = np.flatnonzero(shared >= similarity * (total + total[i] - shared) - 1e-9)
             for j in alike:
                 one, other = merged[component[i]], merged[component[j]]
                 if one != other:
@@ -289,7 +295,7 @@ def _crossing(rows):
     return pa.table([pa.array(found[:, 0]), pa.array(found[:, 1])], ["_a", "_b"])
 
 
-def _between_components(stars: DataFrame, roots: DataFrame, docs: DataFrame, texts: DataFrame, key: str, text: str) -> DataFrame:
+def _between_components(stars: DataFrame, roots: DataFrame, whole: DataFrame, similarity: float) -> DataFrame:
     """Links between components of one family, where families are what stars hold together.
 
     Families with several components are searched exactly, on all shingles. A large one is cut into blocks,
@@ -299,7 +305,6 @@ def _between_components(stars: DataFrame, roots: DataFrame, docs: DataFrame, tex
     placed = families.join(roots, "_h1", "left").withColumn("_root", F.coalesce("_root", "_h1"))
     mixed = placed.groupBy("_family").agg(F.min("_root").alias("_low"), F.max("_root").alias("_high"), F.count("*").alias("_n")).filter("_low <> _high")
     rows = stored(placed.join(mixed.select("_family", F.ceil(F.col("_n") / BLOCK).alias("_blocks")), "_family"))
-    whole = _first_texts(rows.select("_h1"), docs, texts, key, text)
     rows = rows.withColumn("_block", F.pmod(F.xxhash64("_h1", F.lit(3)), F.col("_blocks")))
     # A block meets each other block once, and itself on the way; a family of one block meets itself.
     other = F.filter(F.sequence(F.lit(0).cast("bigint"), F.col("_blocks") - 1), lambda b: (b != F.col("_block")) | (F.col("_blocks") == 1))
@@ -307,7 +312,11 @@ def _between_components(stars: DataFrame, roots: DataFrame, docs: DataFrame, tex
         "_h1", "_root", "_family", F.least("_block", "_other").alias("_i"), F.greatest("_block", "_other").alias("_j")
     )
     placed_texts = dealt.join(whole, "_h1").withColumnRenamed("_text", "text")
-    return placed_texts.groupBy("_family", "_i", "_j").applyInArrow(_crossing, "_a bigint, _b bigint").distinct()
+
+    def search(rows):
+        return _crossing(rows, similarity)
+
+    return placed_texts.groupBy("_family", "_i", "_j").applyInArrow(search, "_a bigint, _b bigint").distinct()
 
 
 def text_classes(docs: DataFrame, key: str, text: str, similarity: float = SIMILARITY) -> DataFrame:
@@ -319,10 +328,12 @@ def text_classes(docs: DataFrame, key: str, text: str, similarity: float = SIMIL
     buckets = stored(bands.join(hubs.filter("_n > 1").select("_band", "_hub.hub"), "_band"))
     stars = buckets.filter("_h1 <> hub").select(F.least("_h1", "hub").alias("_a"), F.greatest("_h1", "hub").alias("_b")).distinct()
     family_stars = _agreeing(stars, texts)
-    likely = family_stars.filter(F.col("_agree") >= LEAST_AGREEMENT).select("_a", "_b")
-    links = _similar(likely, docs, texts, key, text, similarity)
+    likely = family_stars.filter(F.col("_agree") >= similarity - MARGIN).select("_a", "_b")
+    # Texts of families, fetched once: about as many as are like another one.
+    whole = _first_texts(family_stars.select(F.explode(F.array("_a", "_b")).alias("_h1")), docs, texts, key, text)
+    links = _similar(likely, whole, similarity)
     roots = components(links)
-    extra = stored(_between_components(family_stars, roots, docs, texts, key, text))
+    extra = stored(_between_components(family_stars, roots, whole, similarity))
     if extra.head(1):
         roots = components(links.unionByName(extra))
     placed = texts.select("_h1", "_h2", "_first", "_rows").join(roots, "_h1", "left").withColumn("_root", F.coalesce("_root", "_h1"))
@@ -345,7 +356,7 @@ def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text
     """The documents without all but one of each class: the row with the class's smallest key stays."""
     alias = {column: f"_doc{i}" for i, column in enumerate(docs.columns)}
     plain = docs.select(*(F.col(f"`{column}`").alias(name) for column, name in alias.items()))
-    grouped = stored(text_classes(plain, alias[key], alias[text], similarity).filter("_texts > 1 or _rows > 1").select("_h1", "_h2", "_first", "_leads"))
+    grouped = _sized(text_classes(plain, alias[key], alias[text], similarity).filter("_texts > 1 or _rows > 1").select("_h1", "_h2", "_first", "_leads"))
     value = F.coalesce(F.col(alias[text]), F.lit(""))
     rows = plain.withColumns({"_h1": F.xxhash64(value), "_h2": F.xxhash64(value, F.lit(1))}).join(grouped, ["_h1", "_h2"], "left")
     first = F.col("_leads") & F.col(alias[key]).eqNullSafe(F.col("_first.key"))
