@@ -11,14 +11,17 @@ Texts are the units: exact copies share one signature from the first shuffle on.
 coordinates are join keys.
 
 1. In every bucket each text is compared with one hub, the first in a random order; pairs are kept
-   if signatures agree well enough, and then checked exactly on the shingles.
+   if signatures agree well enough, and then checked exactly on the shingles. Texts that the hub rejects are compared by
+   signature with each other and with those texts of the bucket that the hub's star doesn't answer for, in blocks; what
+   leaves a task is one link for each two groups that it merges. Where very many are rejected they first elect next hubs.
 2. Linked texts are connected. Texts that stars hold together, at a much lower agreement, are a family. A
    family that still has several components is searched once more, exactly, in blocks of texts: each text
    outside a block's largest component is looked up in an index of all shingles. What leaves a task is one link
    for each two components that it merges.
 
-So no group's pairs are listed and no partner is capped: a text costs a comparison for each hub that it meets, and
-one look-up more for each block of its family if it is not of the largest component.
+So no group's pairs are listed and no partner is capped: a text costs a comparison for each hub that it meets, one for
+each text of its bucket if the hub rejects it, and one look-up more for each block of its family if it is not of the
+largest component.
 
 Texts with fewer than five words are one shingle. Null texts and texts without words form no group.
 Repeated rows and exact copies share a class, whose id is its smallest key (rows without key count
@@ -45,8 +48,10 @@ DARTS = BANDS * ROWS
 MARGIN = 0.19
 # Texts of a bucket that agree less with their hub share it by chance and are not of its family.
 FAMILY_AGREEMENT = 0.3
-# Texts of a family that one task holds, half of them from each of two blocks.
+# Texts of a family, or of a bucket, that one task holds, half of them from each of two blocks.
 BLOCK = 1_000
+# Rounds in which buckets with over ``BLOCK`` rejected texts elect a hub; what is rejected then meets in blocks.
+HUB_ROUNDS = 8
 # Tables of keys of up to this many rows are sent to all executors; beyond that both sides are shuffled.
 BROADCAST_TEXTS = 200_000
 _FIRST_RANK = 2.0**-10
@@ -189,7 +194,7 @@ def distinct_texts(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def _agreeing(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """Stored pairs (``_a``, ``_b``) whose signatures agree in at least ``FAMILY_AGREEMENT`` of the coordinates, and their ``_agree``."""
+    """Stored pairs (``_a``, ``_b``) and ``_agree``, the share of coordinates in which their signatures agree."""
     named = [texts.select(F.col("_h1").alias(side), F.col("_signature").alias(f"{side}s")) for side in ("_a", "_b")]
     both = pairs.join(named[0], "_a").join(named[1], "_b")
 
@@ -197,12 +202,120 @@ def _agreeing(pairs: DataFrame, texts: DataFrame) -> DataFrame:
         for batch in batches:
             sides = [np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u2").reshape(-1, DARTS) for c in ("_as", "_bs")]
             agree = (sides[0] == sides[1]).mean(axis=1)
-            found = pa.RecordBatch.from_arrays([batch.column("_a"), batch.column("_b"), pa.array(agree)], ["_a", "_b", "_agree"])
-            yield found.filter(pa.array(agree >= FAMILY_AGREEMENT))
+            yield pa.RecordBatch.from_arrays([batch.column("_a"), batch.column("_b"), pa.array(agree)], ["_a", "_b", "_agree"])
 
     return stored(C.map_batches(both.select("_a", "_b", "_as", "_bs"), run, "_a bigint, _b bigint, _agree double"))
 
 
+def _alike(h1: np.ndarray, met: np.ndarray, inner: bool, signed: np.ndarray, least: float) -> list[tuple[int, int, float]]:
+    """Pairs whose signatures agree in ``least``, of two rejected texts (if ``inner``) or one and a met one; one for each merging."""
+    pairs: list[tuple[int, int, float]] = []
+    merged = np.arange(len(h1))
+    for i in np.flatnonzero(~met):
+        agree = (signed == signed[i]).mean(axis=1)
+        for j in np.flatnonzero((agree >= least) & (met | inner)):
+            one, other = merged[i], merged[j]
+            if one != other:
+                pairs.append((min(h1[i], h1[j]), max(h1[i], h1[j]), agree[j]))
+                merged[merged == other] = one
+    return pairs
+
+
+def _inside_buckets(rows: DataFrame, texts: DataFrame, least: float) -> DataFrame:
+    """Pairs (``_a``, ``_b``, ``_agree``) of ``rows``: ``_band``, ``_h1``, ``_met`` (by the hub), ``_inner`` (do rejected ones meet?).
+
+    Rejected and met texts of a bucket are cut into blocks. Blocks of rejected ones meet each other and those of met ones.
+    """
+    rejected, met = F.count_if(~F.col("_met")), F.count_if("_met")
+    sizes = rows.groupBy("_band").agg(
+        F.ceil(rejected / BLOCK).alias("_in"), F.ceil(met / BLOCK).alias("_out"), (F.first("_inner") & (rejected > 1) | (rejected > 0) & (met > 0)).alias("_some")
+    )
+    cut = rows.join(sizes.filter("_some").drop("_some"), "_band").join(texts.select("_h1", "_signature"), "_h1")
+    number = F.xxhash64("_h1", F.lit(4))
+    block = F.when(F.col("_met"), F.col("_in") + F.pmod(number, F.greatest("_out", F.lit(1)))).otherwise(F.pmod(number, F.greatest("_in", F.lit(1))))
+
+    def meets(b):
+        # A block of rejected texts meets itself on the way, if there is any other.
+        among = F.col("_inner") & (b < F.col("_in")) & ((b != F.col("_block")) | (F.col("_in") + F.col("_out") == 1))
+        return F.when(F.col("_met"), b < F.col("_in")).otherwise((b >= F.col("_in")) | among)
+
+    others = F.filter(F.sequence(F.lit(0).cast("bigint"), F.col("_in") + F.col("_out") - 1), meets)
+    dealt = cut.withColumn("_block", block).withColumn("_other", F.explode(others)).select(
+        "_band", F.least("_block", "_other").alias("_i"), F.greatest("_block", "_other").alias("_j"), "_h1", "_met", "_inner", "_signature"
+    )
+
+    def run(batches):
+        # Rows come in order of their cells; the last cell of a batch waits for the next one.
+        left = None
+
+        def search(rows):
+            cells = np.stack([rows.column(c).to_numpy() for c in ("_band", "_i", "_j")])
+            bounds = [0, *(np.flatnonzero((cells[:, 1:] != cells[:, :-1]).any(axis=0)) + 1).tolist(), rows.num_rows]
+            h1 = rows.column("_h1").to_numpy()
+            met, inner = (rows.column(c).to_numpy(zero_copy_only=False) for c in ("_met", "_inner"))
+            signed = np.frombuffer(b"".join(rows.column("_signature").to_pylist()), "<u2").reshape(-1, DARTS)
+            found = []
+            for low, high in zip(bounds[:-1], bounds[1:]):
+                if high - low > 1:
+                    found += _alike(h1[low:high], met[low:high], bool(inner[low]), signed[low:high], least)
+            types = (pa.int64(), pa.int64(), pa.float64())
+            columns = zip(*found) if found else ((), (), ())
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], ["_a", "_b", "_agree"])
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = batch if left is None else pa.concat_batches([left, batch])
+            last = [rows.column(c).to_numpy() for c in ("_band", "_i", "_j")]
+            # Where the last cell begins.
+            other = np.flatnonzero(np.any([c != c[-1] for c in last], axis=0))
+            begin = int(other[-1]) + 1 if len(other) else 0
+            left = rows.slice(begin)
+            if begin:
+                yield search(rows.slice(0, begin))
+        if left is not None:
+            yield search(left)
+
+    cell = ("_band", "_i", "_j")
+    return C.map_batches(dealt.repartition(*cell).sortWithinPartitions(*cell), run, "_a bigint, _b bigint, _agree double")
+
+
+def _stars(bands: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """Pairs (``_a``, ``_b``, ``_agree``) that hold families together.
+
+    Any two texts of a bucket whose signatures agree within ``MARGIN`` of the similarity are in one family: either both
+    agree with a hub, or one is rejected and the two are compared. A text that agrees with the hub
+    by ``sure`` or more can't be so near to one that the hub rejects, as disagreement is a distance.
+    """
+    least = similarity - MARGIN
+    sure = FAMILY_AGREEMENT + 1 - least
+    found, open_ = [], bands
+    for step in range(HUB_ROUNDS):
+        # The hub of a bucket is the first text in an order by hash, the same order in all buckets.
+        hubs = open_.groupBy("_band").agg(F.min(F.struct(F.xxhash64("_h1", F.lit(2)).alias("o"), F.col("_h1").alias("hub"))).alias("_hub"), F.count("*").alias("_n"))
+        placed = stored(
+            open_.join(hubs.filter("_n > 1").select("_band", "_hub.hub"), "_band").filter("_h1 <> hub")
+            .select("_band", "_h1", F.least("_h1", "hub").alias("_a"), F.greatest("_h1", "hub").alias("_b"))
+        )
+        agreed = _agreeing(placed.select("_a", "_b").distinct(), texts)
+        found.append(agreed.filter(F.col("_agree") >= FAMILY_AGREEMENT))
+        unsure = agreed.filter(F.col("_agree") < sure).select("_a", "_b", (F.col("_agree") >= FAMILY_AGREEMENT).alias("_met"))
+        rest = placed.join(unsure, ["_a", "_b"]).select("_band", "_h1", "_met")
+        sizes = rest.groupBy("_band").agg(F.count_if(~F.col("_met")).alias("_rejected"), F.count("*").alias("_n")).filter("_rejected > 0 and _n > 1")
+        inner = (F.col("_rejected") <= BLOCK) | F.lit(step == HUB_ROUNDS - 1)
+        rest = stored(rest.join(sizes.select("_band", inner.alias("_inner")), "_band"))
+        if not rest.head(1):
+            break
+        found.append(stored(_inside_buckets(rest, texts, least)))
+        open_ = rest.filter(~F.col("_inner") & ~F.col("_met")).select("_band", "_h1")
+        if not open_.head(1):
+            break
+    pairs = found[0]
+    for more in found[1:]:
+        pairs = pairs.unionByName(more)
+    return pairs if len(found) == 1 else pairs.groupBy("_a", "_b").agg(F.max("_agree").alias("_agree"))
+
+
 def _sized(table: DataFrame) -> DataFrame:
     """Stored table of narrow rows, to be broadcast if it is short."""
     table = stored(table)
@@ -323,11 +436,7 @@ def text_classes(docs: DataFrame, key: str, text: str, similarity: float = SIMIL
     """A row per text with words: ``_h1``, ``_h2``, ``_first``, ``_rows``, ``_class`` (key, or null) and ``_leads``."""
     texts = distinct_texts(docs, key, text)
     bands = texts.select("_h1", F.explode("_bands").alias("_band"))
-    # The hub of a bucket is the first text in an order by hash, the same order in all buckets.
-    hubs = bands.groupBy("_band").agg(F.min(F.struct(F.xxhash64("_h1", F.lit(2)).alias("o"), F.col("_h1").alias("hub"))).alias("_hub"), F.count("*").alias("_n"))
-    buckets = stored(bands.join(hubs.filter("_n > 1").select("_band", "_hub.hub"), "_band"))
-    stars = buckets.filter("_h1 <> hub").select(F.least("_h1", "hub").alias("_a"), F.greatest("_h1", "hub").alias("_b")).distinct()
-    family_stars = _agreeing(stars, texts)
+    family_stars = stored(_stars(bands, texts, similarity))
     likely = family_stars.filter(F.col("_agree") >= similarity - MARGIN).select("_a", "_b")
     # Texts of families, fetched once: about as many as are like another one.
     whole = _first_texts(family_stars.select(F.explode(F.array("_a", "_b")).alias("_h1")), docs, texts, key, text)

@@ -132,3 +132,57 @@ def test_components_of_long_paths(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(200)] + [(1000, 1001)], "_a bigint, _b bigint")
     roots = {r["_h1"]: r["_root"] for r in minhash.components(links).collect()}
     assert all(roots[i] == 0 for i in range(201)) and roots[1001] == roots[1000] == 1000
+
+
+def _late_pair(spark, words):
+    """Two texts of similarity 0.82 that are among the last in the order of hubs."""
+    from pyspark.sql import functions as F
+
+    rows = [(kind, i, " ".join(words[:-4] + [f"{kind}{i}x{j}" for j in range(4)])) for kind in "st" for i in range(400)]
+    texts = spark.createDataFrame(rows, "kind string, i int, text string").withColumn("h", F.xxhash64("text"))
+    last = texts.groupBy("kind").agg(F.max_by("text", F.xxhash64("h", F.lit(2))).alias("text")).orderBy("kind").collect()
+    return [r.text for r in last]
+
+
+def test_pair_among_texts_that_embed_it(spark):
+    rng = random.Random(8)
+    words = [f"s{i}" for i in range(44)]
+    one, other = _late_pair(spark, words)
+    assert 0.8 <= similarity(shingles(one), shingles(other)) < 0.85
+    texts = [one, other]
+    for i in range(3000):
+        own = [f"e{i}x{j}" for j in range(135)]
+        at = rng.randrange(135)
+        texts.append(" ".join(own[:at] + words[:40] + own[at:]))
+    found = dict(run(spark, list(enumerate(texts))))
+    assert found["1"] == "0"
+    assert all(found[str(i)] == str(i) for i in range(2, len(texts)))
+
+
+def test_rejected_texts_meet_in_blocks():
+    rng = np.random.default_rng(1)
+    signed = rng.integers(0, 60_000, (5, minhash.DARTS)).astype("<u2")
+    signed[3, :100], signed[4, :100] = signed[0, :100], signed[1, :100]
+    h1, met = np.arange(5), np.array([False, False, False, True, False])
+    assert [p[:2] for p in minhash._alike(h1, met, True, signed, 0.6)] == [(0, 3), (1, 4)]
+    assert [p[:2] for p in minhash._alike(h1, met, False, signed, 0.6)] == [(0, 3)]
+
+
+def test_buckets_are_used_up(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "BLOCK", 6)
+    monkeypatch.setattr(minhash, "HUB_ROUNDS", 2)
+    rng = np.random.default_rng(2)
+    signed = rng.integers(0, 60_000, (40, minhash.DARTS)).astype("<u2")
+    for i in range(20, 40):
+        signed[i, :80] = signed[i - 20 if i < 30 else 20, :80]
+    texts = spark.createDataFrame([(i, bytearray(v.tobytes())) for i, v in enumerate(signed)], "_h1 bigint, _signature binary")
+    found = minhash._stars(texts.selectExpr("7L AS _band", "_h1"), texts, 0.8).collect()
+    parent = list(range(40))
+
+    def find(i):
+        return i if parent[i] == i else find(parent[i])
+
+    for r in found:
+        parent[find(r["_a"])] = find(r["_b"])
+    near = [(i, j) for i in range(40) for j in range(i) if (signed[i] == signed[j]).mean() >= 0.61]
+    assert len(near) > 20 and all(find(i) == find(j) for i, j in near)
