@@ -239,9 +239,10 @@ def fit_rules(
     # The sample's bound is ``max_labelled`` rows of a key and a flag.
     texts = docs.select(F.col(key).alias("_key"), F.col("text").alias("_text")).join(F.broadcast(chosen), "_key")
     stats = with_statistics(texts, ["_key", "_bad"], text="_text")
-    found = stats.select("_key", "_bad", *(value.alias(name) for name, value in ratios().items())).toPandas()
-    # A key can be in the documents more than once; the bound holds for what is learned from.
-    found = found.sort_values([*found.columns]).drop_duplicates("_key")
+    values = F.struct(*(value.alias(name) for name, value in ratios().items()))
+    # A key can be in the documents more than once: its lowest row is picked by partial aggregation, before the driver sees any.
+    found = stats.groupBy("_key", "_bad").agg(F.min(values).alias("_least")).select("_key", "_bad", "_least.*").toPandas()
+    found = found.sort_values([*found.columns])
     if not len(found) or found["_bad"].all() or not found["_bad"].any():
         return []
     table = {name: found[name].to_numpy() for name in RATIOS}

@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, LongType, StructField
 
 from sievework.llm import columns as C
+from sievework.session import stored
 
 VOTERS = 16
 LEARNED_GROUPS = 8
@@ -263,6 +264,18 @@ def _features(found, n: int, masks: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return np.concatenate([doc, voted]), np.concatenate([words, voter + (1 << FEATURE_BITS)])
 
 
+def one_text(labelled: DataFrame) -> DataFrame:
+    """Stored ``_key``, ``text`` and ``_toxic``: of a key's texts the one of least hash, picked by partial aggregation.
+
+    Only hashes are aggregated; a copy of the picked text stands in as many rows as it has, so those are told apart once more.
+    """
+    hashed = labelled.withColumn("_hash", F.xxhash64("text"))
+    least = hashed.groupBy("_key").agg(F.min("_hash").alias("_hash"))
+    picked = hashed.join(F.broadcast(least), ["_key", "_hash"])
+    # Partial aggregation leaves one copy per task before anything is shuffled.
+    return stored(picked.groupBy("_key", "_hash", "_toxic").agg(F.min("text").alias("text")).select("_key", "text", "_toxic"))
+
+
 def fit_toxicity(
     docs: DataFrame,
     labels: DataFrame,
@@ -279,8 +292,8 @@ def fit_toxicity(
         .groupBy(F.col(key).alias("_key")).agg(F.max((F.col(label) == 1).cast("int")).alias("_toxic"))
     )
     chosen = known.orderBy(F.xxhash64("_key", F.lit("toxic")), "_key").limit(max_labelled)
-    # At most ``max_labelled`` pairs of key and label.
-    labelled = named.join(F.broadcast(chosen), "_key")
+    # At most ``max_labelled`` pairs of key and label, and a text for each: a key's other rows could be any number.
+    labelled = one_text(named.join(F.broadcast(chosen), "_key"))
     lexicons = Lexicons(learn_lexicons(labelled))
 
     def vote(batches):

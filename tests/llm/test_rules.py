@@ -80,3 +80,14 @@ def test_conditions_are_spark_expressions(spark, name):
     rule = rules.Rule(((name, True, 0.5),), 1, 0)
     row = spark.range(1).selectExpr(*(f"0L AS {c}" for c in (*rules.COUNTS, *rules.EXTRA)))
     assert row.select(rule.column().alias("r")).first().r is False
+
+
+def test_driver_sees_one_row_per_key(spark, monkeypatch):
+    texts = [(i, f"word{i} " * (3 + i % 40)) for i in range(60)] + [(7, f"other{i} text of the same key") for i in range(3000)]
+    docs = spark.createDataFrame(texts, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id bigint, quality int")
+    kind, seen = type(docs), []
+    whole = kind.toPandas
+    monkeypatch.setattr(kind, "toPandas", lambda self: seen.append(whole(self)) or seen[-1])
+    rules.fit_rules(docs, labels)
+    assert [len(rows) for rows in seen] == [60]

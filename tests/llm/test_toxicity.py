@@ -55,3 +55,16 @@ def test_edge_rows(edge_docs, edge_rows, edge_labels, empty_docs):
     assert toxicity.score(empty_docs, model, ["doc_id"]).count() == 0
     nothing = toxicity.fit_toxicity(empty_docs, edge_labels.limit(0))
     assert all(0 <= r.score <= 1 for r in toxicity.score(edge_docs, nothing, ["doc_id"]).collect())
+
+
+def test_repeated_key_is_one_labelled_row(spark, monkeypatch):
+    keys = [r.id for r in spark.range(200).filter(~held_out("id")).collect()]
+    texts = [(k, f"stupid word{k}" if k % 3 == 0 else f"quiet word{k}") for k in keys]
+    texts += [(keys[0], f"hot{i % 900} text") for i in range(3000)] + [(keys[0], "same text")] * 500
+    docs = spark.createDataFrame(texts, "doc_id bigint, text string").repartition(4)
+    labels = spark.createDataFrame([(k, int(k % 3 == 0)) for k in keys], "doc_id bigint, toxic int")
+    seen = []
+    fit = toxicity.fit_linear
+    monkeypatch.setattr(toxicity, "fit_linear", lambda rows, features, target, width: seen.append(len(target)) or fit(rows, features, target, width))
+    toxicity.fit_toxicity(docs, labels)
+    assert seen == [len(keys)]
