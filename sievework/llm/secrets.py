@@ -9,8 +9,9 @@ Decoding cuts chains where it may: if O leads by more than twice the range of th
 weights, no best path has another tag there, whatever stands next to it. What remains between
 such tokens is decoded exactly, many pieces at a time.
 
-Spans are in code points, end exclusive, of whole matches. A span of the field counts if it holds a
-token of at least ``LEAST_TOKEN`` characters with a letter and a digit and overlaps no base span.
+Spans are in code points, end exclusive, of whole matches. Base spans are cut out of a span of the field, and each part
+that is left counts if it holds a token of at least ``LEAST_TOKEN`` characters with a letter and a digit, or the rest of
+a token that a base span covers in part (but for what stands in front of an assignment's keyword, which is its name).
 
 A null text counts as empty and has no spans. Rows are scanned on their own: repeated rows get equal
 results and an empty table an empty result. Without any base match there is nothing to learn and
@@ -345,6 +346,36 @@ def fit_field(docs: DataFrame, text: str = "text", sample_texts: int = SAMPLE_TE
     return train_field(windows, tags)
 
 
+def _parts(tokens: Tokens, low: int, high: int, base: list[tuple[int, int, int]], data: np.ndarray, offset: int) -> list[tuple[int, int]]:
+    """What base spans leave of a run of tokens, without parts that hold no secret; base spans are ordered by start."""
+    at, end = int(tokens.starts[low]) - offset, int(tokens.ends[high - 1]) - offset
+    gaps, assigned = [], {s for s, k, _ in base if k == 0}
+    for s, _, e in base:
+        if s < end and e > at:
+            gaps.append((at, s))
+            at = max(at, e)
+    gaps.append((at, end))
+    found = []
+    for begin, stop in gaps:
+        pieces, secret = [], False
+        for k in range(low, high):
+            first, last = int(tokens.starts[k]) - offset, int(tokens.ends[k]) - offset
+            a, b = max(first, begin), min(last, stop)
+            if a >= b:
+                continue
+            pieces += [a, b]
+            if (a, b) == (first, last):
+                secret |= bool(tokens.strong[k])
+            elif b < last and b in assigned and a == first:
+                kind = _CLASS[data[offset + a : offset + b]]
+                secret |= b - a >= LEAST_TOKEN and bool((kind == 0).any() and ((kind == 1) | (kind == 2)).any())
+            else:
+                secret = True
+        if secret:
+            found.append((pieces[0], pieces[-1]))
+    return found
+
+
 def find_spans(data: np.ndarray, offsets: np.ndarray, field: Field) -> list[list[tuple[int, int, int]]]:
     """Per text: base spans and added ones, as (start byte, kind number, end byte)."""
     found = base_spans(data, offsets)
@@ -358,14 +389,13 @@ def find_spans(data: np.ndarray, offsets: np.ndarray, field: Field) -> list[list
     fresh = (tags[marked] == 1) | begins[marked] | np.concatenate([[True], np.diff(marked) > 1])
     bounds = np.append(np.flatnonzero(fresh), len(marked))
     touched = set()
+    base = [list(spans) for spans in found]
     for a, b in zip(bounds[:-1], bounds[1:]):
         low, high = int(marked[a]), int(marked[b - 1]) + 1
-        if tokens.strong[low:high].any():
-            i = int(np.searchsorted(offsets, tokens.starts[low], "right")) - 1
-            start, end = int(tokens.starts[low] - offsets[i]), int(tokens.ends[high - 1] - offsets[i])
-            if all(end <= s or start >= e for s, k, e in found[i] if k < 3):
-                found[i].append((start, 3, end))
-                touched.add(i)
+        i = int(np.searchsorted(offsets, tokens.starts[low], "right")) - 1
+        for start, end in _parts(tokens, low, high, base[i], data, int(offsets[i])):
+            found[i].append((start, 3, end))
+            touched.add(i)
     for i in touched:
         found[i].sort()
     return found
