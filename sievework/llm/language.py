@@ -30,9 +30,10 @@ from pyspark.sql.types import DoubleType, LongType, StringType, StructField
 
 from sievework.llm import columns as C
 
-# Documents of a language that are learned from, about (all, if there are fewer), and languages, at most.
+# Documents of a language that are learned from, about (all, if there are fewer).
 SAMPLE_PER_LANGUAGE = 4_000
-MAX_LANGUAGES = 256
+# Languages that are counted or scored at once; there can be any number of them.
+LANGUAGES_AT_ONCE = 16
 LONGEST = 32
 MARK = "▁"
 UNKNOWN = 1e-7
@@ -150,12 +151,17 @@ def word_scores(pieces: Pieces, probabilities: np.ndarray, words: list[str]) ->
     """Log probability of each word under each language (columns of ``probabilities``)."""
     scores = np.zeros((len(words), probabilities.shape[1]))
     for at, letters, lengths in _length_classes(words):
-        forward = np.zeros((len(letters) + 1, len(at), probabilities.shape[1]))
-        forward[0] = 1.0
-        for begin, end, inside, number in _segments(pieces, letters, lengths):
-            forward[end, inside] += forward[begin, inside] * (probabilities[number] * PER_LETTER ** (end - begin))
-        whole = np.maximum(forward[lengths, np.arange(len(at))], 1e-300)
-        scores[at] = np.log(whole) - (lengths * np.log(PER_LETTER))[:, None]
+        segments = _segments(pieces, letters, lengths)
+        if probabilities.shape[1] > LANGUAGES_AT_ONCE:
+            segments = list(segments)
+        for low in range(0, probabilities.shape[1], LANGUAGES_AT_ONCE):
+            some = probabilities[:, low : low + LANGUAGES_AT_ONCE]
+            forward = np.zeros((len(letters) + 1, len(at), some.shape[1]))
+            forward[0] = 1.0
+            for begin, end, inside, number in segments:
+                forward[end, inside] += forward[begin, inside] * (some[number] * PER_LETTER ** (end - begin))
+            whole = np.maximum(forward[lengths, np.arange(len(at))], 1e-300)
+            scores[at, low : low + LANGUAGES_AT_ONCE] = np.log(whole) - (lengths * np.log(PER_LETTER))[:, None]
     return scores
 
 
@@ -207,34 +213,40 @@ def _sample_counts(sample: DataFrame, pieces: Pieces, languages: list[str], prob
     place = {language: i for i, language in enumerate(languages)}
 
     def run(batches):
-        counted: dict[str, np.ndarray] = {}
-        total = np.zeros((pieces.count + 1, len(languages)))
+        # Words of each group of languages, with a number per language of the group.
+        counted: dict[int, dict[str, np.ndarray]] = {}
 
         def flush():
-            if counted:
-                total[:] += expected_counts(pieces, probability, list(counted), np.array(list(counted.values())))
-                counted.clear()
+            for group, words in counted.items():
+                total = expected_counts(pieces, probability, list(words), np.array(list(words.values())))
+                piece, language = np.nonzero(total)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(piece), pa.array(language + group * LANGUAGES_AT_ONCE), pa.array(total[piece, language])], ["piece", "language", "n"]
+                )
+            counted.clear()
 
         for part in C.slices(batches):
             data, hashes, starts, ends, inverse, first = _distinct_words(part.column("text"))
             language = np.array([place[v] for v in part.column("_lang").to_pylist()], np.int64)
             of_word = np.repeat(language, np.diff(first))
-            uses = np.zeros((len(hashes), len(languages)))
-            np.add.at(uses, (inverse, of_word), 1.0)
-            for i in range(len(hashes)):
-                for piece in _runs(data[starts[i] : ends[i]].tobytes().decode()):
-                    have = counted.get(piece)
-                    counted[piece] = uses[i] if have is None else have + uses[i]
-            if len(counted) > _CACHED_WORDS:
-                flush()
-        flush()
-        piece, language = np.nonzero(total)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(piece), pa.array(language), pa.array(total[piece, language])], ["piece", "language", "n"]
-        )
+            pairs, uses = np.unique(inverse * len(languages) + of_word, return_counts=True)
+            last, found = -1, []
+            for pair, times in zip(pairs.tolist(), uses.tolist()):
+                i, (group, column) = pair // len(languages), divmod(pair % len(languages), LANGUAGES_AT_ONCE)
+                if i != last:
+                    last, found = i, _runs(data[starts[i] : ends[i]].tobytes().decode())
+                words = counted.setdefault(group, {})
+                for piece in found:
+                    have = words.get(piece)
+                    if have is None:
+                        have = words[piece] = np.zeros(min(LANGUAGES_AT_ONCE, len(languages) - group * LANGUAGES_AT_ONCE))
+                    have[column] += times
+            if sum(map(len, counted.values())) > _CACHED_WORDS:
+                yield from flush()
+        yield from flush()
 
     partial = C.map_batches(sample, run, "piece bigint, language bigint, n double")
-    # A row per piece and language at most: vocabulary times MAX_LANGUAGES.
+    # A row per piece and language that has it.
     rows = partial.groupBy("piece", "language").agg(F.sum("n").alias("n")).toArrow()
     counts = np.zeros((pieces.count + 1, len(languages)))
     counts[rows["piece"].to_numpy(), rows["language"].to_numpy()] = rows["n"].to_numpy()
@@ -254,16 +266,16 @@ def fit_languages(
     path = path or vocabulary_path()
     labelled = docs.filter(~C.held_out(key) & F.col(language).isNotNull() & F.col(text).isNotNull())
     labelled = labelled.select(F.col(text).alias("text"), F.col(language).alias("_lang"), F.col(key).alias("_key"))
-    sizes = labelled.groupBy("_lang").count().orderBy(F.desc("count"), "_lang").limit(MAX_LANGUAGES).collect()
+    sizes = labelled.groupBy("_lang").count().collect()
     sizes = {row["_lang"]: row["count"] for row in sizes}
     languages = sorted(sizes)
     pieces = load_pieces(path)
     if not languages:
         return LanguageModel([], np.zeros((pieces.count + 1, 0)), path)
     # A hash of the key below its language's share: the sample doesn't depend on partitioning.
-    share = F.create_map(*(F.lit(v) for k in languages for v in (k, min(1.0, sample_per_language / sizes[k]))))
+    shares = docs.sparkSession.createDataFrame([(k, min(1.0, sample_per_language / sizes[k])) for k in languages], "_lang string, _share double")
     draw = F.pmod(F.xxhash64("_key", F.lit("language")), F.lit(1 << 30)) / float(1 << 30)
-    sample = labelled.filter(draw < F.coalesce(F.try_element_at(share, F.col("_lang")), F.lit(0.0))).select("text", "_lang")
+    sample = labelled.join(F.broadcast(shares), "_lang").filter(draw < F.col("_share")).select("text", "_lang")
     probability = np.full(pieces.count + 1, 1.0 / pieces.count)
     probability[-1] = UNKNOWN
     everything = _sample_counts(sample, pieces, languages, probability).sum(axis=1)
@@ -299,19 +311,20 @@ class _Scorer:
         values = np.zeros((len(hashes), fresh.shape[1]))
         values[new] = fresh
         values[known] = self.values[at[known]]
-        if len(self.hashes) + len(new) > _CACHED_WORDS:
+        if (len(self.hashes) + len(new)) * max(1.0, len(self.model.languages) / LANGUAGES_AT_ONCE) > _CACHED_WORDS:
             self.clear()
         order = np.argsort(np.concatenate([self.hashes, hashes[new]]), kind="stable")
         self.hashes = np.concatenate([self.hashes, hashes[new]])[order]
         self.values = np.concatenate([self.values, fresh])[order]
-        sums = C.segment_sums(values[inverse], first)
+        columns = range(0, values.shape[1], LANGUAGES_AT_ONCE)
+        sums = np.concatenate([C.segment_sums(values[:, k : k + LANGUAGES_AT_ONCE][inverse], first) for k in columns], axis=1)
         return sums[:, :-1], np.rint(sums[:, -1]).astype(np.int64)
 
 
 def identify(docs: DataFrame, model: LanguageModel, keep: list[str], text: str = "text") -> DataFrame:
     """Columns ``keep``, ``lang_pred``, ``score`` (posterior under equal priors) and ``n_runs`` (letter runs)."""
     names = np.array([*model.languages, "und"], object)
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # vocabulary times languages, both bounded
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # vocabulary times languages
     scorer: list[_Scorer] = []
 
     def compute(part: pa.RecordBatch):

@@ -66,3 +66,14 @@ def test_edge_rows(edge_docs, edge_rows, empty_docs):
     assert nothing.languages == []
     assert {r.lang_pred for r in language.identify(edge_docs, nothing, ["doc_id"]).collect()} == {"und"}
     assert language.identify(empty_docs, model, ["doc_id"]).count() == 0
+
+
+def test_every_language_is_learned(spark):
+    rows = [(k, " ".join([f"{chr(97 + n % 26)}{chr(97 + n // 26 % 26)}q{chr(97 + n // 26)}"] * 30), f"l{n:03}") for n in range(300) for k in range(10 * n, 10 * n + 3)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    model = language.fit_languages(docs)
+    learned = {r.lang for r in docs.filter(~held_out()).select("lang").distinct().collect()}
+    assert len(learned) > 256 and set(model.languages) == learned
+    found = language.identify(docs, model, ["doc_id", "lang"]).filter(~held_out()).collect()
+    assert sum(r.lang == r.lang_pred for r in found) > 0.9 * len(found)
+    assert len({r.lang_pred for r in found}) > 256
