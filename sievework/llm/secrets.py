@@ -324,6 +324,8 @@ def _training_windows(docs: DataFrame, text: str, sample_texts: int, max_windows
                 )
 
     found = C.map_batches(sample, run, "good boolean, window array<int>, tags array<int>")
+    # Copies of a text bring the same windows; each counts once.
+    found = found.distinct()
     order = F.xxhash64("window", "tags")
     parts = [found.filter(F.col("good") == good).orderBy(order, "window", "tags").limit(max_windows // 2) for good in (True, False)]
     return parts[0].unionByName(parts[1]).select("window", "tags").toArrow()

@@ -143,3 +143,11 @@ def test_base_spans_are_cut_out_of_runs(monkeypatch, text, tags, expected):
     assert [text[s:e] for s, k, e in spans if k == 3] == expected
     base = [(s, e) for s, k, e in spans if k < 3]
     assert all(e <= a or s >= b for s, k, e in spans if k == 3 for a, b in base)
+
+
+def test_copies_bring_their_windows_once(spark):
+    rows = [(0, 'the aning token = "0123456789abcdef0123456789abcdef" shontion')] * 300 + [(i, t) for i, t in corpus(60)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = secrets._training_windows(docs, "text", 20_000, 40)
+    windows = [(tuple(w), tuple(t)) for w, t in zip(found["window"].to_pylist(), found["tags"].to_pylist())]
+    assert len(windows) == 40 and len(set(windows)) == len(windows)
