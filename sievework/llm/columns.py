@@ -165,6 +165,11 @@ def add_columns(df: DataFrame, compute, fields: list[StructField], keep: list[st
     return df.mapInArrow(run, schema)
 
 
+def quoted(name: str) -> str:
+    """``name`` as a column reference, also with a dot in it."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """``name``, with underscores in front until no column of ``df`` has it."""
     taken = {column.lower() for column in df.columns}

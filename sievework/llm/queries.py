@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievework.llm import chat, language, minhash, mixing, packing, rules, secrets, suffix, topk, toxicity
+from sievework.llm import chat, fim, language, minhash, mixing, packing, rules, secrets, suffix, topk, toxicity
 from sievework.llm.columns import held_out
 
 
@@ -102,6 +102,39 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.judge(docs, rules.fit_rules(docs, table(spark, sf_dir, "labels")))
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fim.fill_in_middle(table(spark, sf_dir, "documents"), ["doc_id"])
+    back = fim.restore(F.col("output"), F.col("form"))
+    return made.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
+        F.sha2(back.cast("binary"), 256).alias("restored_sha256"),
+    )
+
+
+SQL_FILL_IN_MIDDLE = """
+WITH texts AS (
+  SELECT doc_id, coalesce(text, '') AS text, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+drawn AS (
+  SELECT doc_id, text, regexp_extract_all(text, '[A-Za-z]+|[^A-Za-z]') AS t,
+         [CAST(CAST('0x' || h[8 * i + 1 : 8 * i + 8] AS BIGINT) AS BIGINT) FOR i IN range(4)] AS d FROM texts),
+placed AS (
+  SELECT doc_id, text, t, len(t) AS n, least(d[1] % (len(t) + 1), d[2] % (len(t) + 1)) AS a,
+         greatest(d[1] % (len(t) + 1), d[2] % (len(t) + 1)) AS b,
+         CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR d[3] % 100 >= 90 THEN 'plain'
+              WHEN d[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM drawn),
+parts AS (
+  SELECT doc_id, text, n, form, coalesce(array_to_string(t[1 : a], ''), '') AS p, coalesce(array_to_string(t[a + 1 : b], ''), '') AS m,
+         coalesce(array_to_string(t[b + 1 :], ''), '') AS s FROM placed)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN CAST(length(p) AS BIGINT) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN CAST(length(m) AS BIGINT) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+                        ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM parts
+"""
+
+
 QUERIES = {
     "op1_secret_scan": (op1_secret_scan, None),
     "op2_toxicity": (op2_toxicity, None),
@@ -113,4 +146,5 @@ QUERIES = {
     "op8_mixing": (op8_mixing, None),
     "op9_minhash": (op9_minhash, None),
     "op10_quality_rules": (op10_quality_rules, None),
+    "op11_fill_in_middle": (op11_fill_in_middle, SQL_FILL_IN_MIDDLE),
 }
