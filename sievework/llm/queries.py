@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sievework.llm import chat, fim, language, minhash, mixing, packing, rules, secrets, suffix, topk, toxicity
+from sievework.llm import chat, decontaminate, fim, language, minhash, mixing, negatives, packing, rules, secrets, suffix, topk, toxicity
 from sievework.llm.columns import held_out
 
 
@@ -135,6 +135,66 @@ FROM parts
 """
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    found = negatives.hard_negatives(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label)
+    return found.select("anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")
+
+
+SQL_HARD_NEGATIVES = """
+WITH v AS (
+  SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         [CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE) FOR x IN embedding] AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+        AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+scored AS (
+  SELECT a.r AS a, a.vec_id AS anchor_id, c.vec_id, c.label = a.label AS same, CAST(list_inner_product(a.e, c.e) AS BIGINT) AS score
+  FROM v a JOIN v c ON a.r <> c.r WHERE a.vec_id % 100 = 0),
+positive AS (
+  SELECT a, anchor_id, vec_id AS positive_id, score AS positive_score, row_number() OVER (PARTITION BY a ORDER BY score DESC, vec_id) AS p
+  FROM scored WHERE same QUALIFY p <= 5),
+ranked AS (
+  SELECT anchor_id, positive_id, vec_id AS negative_id, positive_score, score AS negative_score,
+         CAST(row_number() OVER (PARTITION BY a, p ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+  FROM positive JOIN scored USING (a, anchor_id)
+  WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM ranked WHERE rank <= 10
+"""
+
+
+def op13_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+SQL_DECONTAMINATION = r"""
+WITH item AS (
+  SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark WHERE text IS NOT NULL),
+placed AS (SELECT item_id, w, least(10, len(w)) AS n, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS i FROM item WHERE len(w) > 0),
+win AS (SELECT DISTINCT item_id, n, array_to_string(w[i : i + n - 1], ' ') AS s FROM placed),
+doc AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w
+  FROM documents),
+cut AS (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM doc, (SELECT DISTINCT n FROM win) AS sizes WHERE len(w) >= n),
+occ AS (
+  SELECT r, i, n, item_id FROM (SELECT r, i, n, array_to_string(w[i : i + n - 1], ' ') AS s FROM cut) AS c JOIN win USING (n, s)),
+hit AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS p FROM (SELECT DISTINCT r, i, n FROM occ)) GROUP BY r),
+held AS (
+  SELECT r, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+  FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS id FROM occ WHERE item_id IS NOT NULL) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM doc LEFT JOIN hit USING (r) LEFT JOIN held USING (r)
+"""
+
+
 QUERIES = {
     "op1_secret_scan": (op1_secret_scan, None),
     "op2_toxicity": (op2_toxicity, None),
@@ -147,4 +207,6 @@ QUERIES = {
     "op9_minhash": (op9_minhash, None),
     "op10_quality_rules": (op10_quality_rules, None),
     "op11_fill_in_middle": (op11_fill_in_middle, SQL_FILL_IN_MIDDLE),
+    "op12_hard_negatives": (op12_hard_negatives, SQL_HARD_NEGATIVES),
+    "op13_decontamination": (op13_decontamination, SQL_DECONTAMINATION),
 }
