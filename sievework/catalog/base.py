@@ -87,6 +87,29 @@ def tagged_files(spark: SparkSession, sf_dir: str) -> str:
     return path
 
 
+# Documents of one raw file, where files of known content are asked for.
+DOCS_PER_FILE = 200
+
+
+def numbered_tagged_files(spark: SparkSession, sf_dir: str) -> str:
+    """As :func:`tagged_files`, but each file has the records of one range of ids, in order, in the folder ``part=<number>``."""
+    path = scratch_path(spark, "raw")
+    rows = raw_fields(spark, sf_dir)
+    number = F.floor(F.col("pmid") / DOCS_PER_FILE).cast("bigint").alias("part")
+    text = tagged.tagged_text(rows, "pmid", number)
+    text.repartition("part").sortWithinPartitions("part", "pmid").drop("pmid").write.partitionBy("part").text(path)
+    return path
+
+
+def damaged_files(spark: SparkSession, sf_dir: str) -> str:
+    """Raw files whose titles hold a replacement character and, but for every third one, bytes that are no UTF-8."""
+    path = scratch_path(spark, "damaged")
+    text = tagged.tagged_text(raw_fields(spark, sf_dir).withColumn("title", F.concat(F.lit("\ufffd\ufdd0"), "title", F.lit("\ufffd"))), "pmid")
+    broken = F.concat(F.regexp_replace("value", r"\s+\z", "").cast("binary"), F.when(F.col("pmid") % 3 > 0, F.unhex(F.lit("C3FFE282"))).otherwise(F.unhex(F.lit(""))))
+    text.select(F.concat(broken, F.lit("\n").cast("binary")).cast("string").alias("value")).write.text(path)
+    return path
+
+
 def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "labels").select(F.col("doc_id").alias("pmid"), F.col("quality").alias("label"))
 

@@ -2,15 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.ml import PipelineModel
-from pyspark.ml.feature import VectorSlicer
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from sievework.catalog import base
-from sievework.catalog.metric_queries import PLACES, rounded
+from sievework.catalog.metric_queries import PLACES, rounded, sql_report
+from sievework.catalog.model_sql import coefficients_sql, linear_sql, meta_sql, tree_ctes, tree_rules_sql
 from sievework.functions.scores import META_COLUMNS, predicted
-from sievework.functions.text import build_text
 from sievework.operators import features, labels as label_ops, metrics, models
 from sievework.operators.features import MAX_DF, MIN_DF
 from sievework.operators.sampling import stratified_split
@@ -75,21 +72,19 @@ def _trained(rows):
 
 
 def stack_features(spark, sf):
-    """Per labelled record: terms in the text block, length of that block, and the meta block."""
+    """Per labelled record: terms in the text block, length of that block, and the meta block, all read from the vectors."""
     rows = _labelled(spark, sf)
     stacked = models.stack_features(rows)
-    width = len(models.feature_names(stacked))
-    # The meta block is cut from the sparse vector; the text block is looked at as a table.
-    meta = VectorSlicer(inputCol="features", outputCol="_meta", indices=list(range(width - len(META_COLUMNS), width)))
-    blocks = PipelineModel([*stacked.stages, meta]).transform(rows)
-    weights = features.tfidf(rows.select("pmid", build_text().alias("text")), "text").groupBy("pmid").agg(
-        F.count(F.lit(1)).alias("n_terms"), F.round(F.sum(F.col("weight") * F.col("weight")), PLACES).alias("text_norm")
-    )
-    return blocks.join(weights, "pmid", "left").select(
-        "pmid",
-        F.coalesce("n_terms", F.lit(0)).alias("n_terms"),
-        F.coalesce("text_norm", F.lit(0.0)).alias("text_norm"),
-        *(vector_to_array("_meta")[i].alias(c) for i, c in enumerate(META_COLUMNS)),
+    n_terms = len(models.feature_names(stacked)) - len(META_COLUMNS)
+    entries = models.vector_entries(stacked.transform(rows))
+    in_text = (F.col("place") < n_terms) & (F.col("value") != 0)
+    return entries.groupBy("pmid").agg(
+        F.count_if(in_text).alias("n_terms"),
+        F.round(F.coalesce(F.sum(F.when(in_text, F.col("value") * F.col("value"))), F.lit(0.0)), PLACES).alias("text_norm"),
+        *(
+            F.coalesce(F.max(F.when(F.col("place") == n_terms + i, F.col("value"))), F.lit(0.0)).alias(c)
+            for i, c in enumerate(META_COLUMNS)
+        ),
     )
 
 
@@ -113,35 +108,42 @@ def logistic_optimum(spark, sf):
     )
 
 
+def _weighed(spark, sf):
+    """A classifier with a weight from -2 to 2 per feature that follows from its name, and the labelled rows."""
+    rows = _labelled(spark, sf)
+    stacked = models.stack_features(rows)
+    names = spark.createDataFrame([(name,) for name in (*models.feature_names(stacked), models.INTERCEPT)], "feature string")
+    number = F.conv(F.substring(F.md5("feature"), 1, 6), 16, 10).cast("bigint")
+    return models.from_weights(stacked, names.withColumn("weight", (number % 2001 - 1000) / F.lit(500.0))), rows
+
+
 def score_logistic(spark, sf):
-    """Probability for every document, labelled or not."""
-    model = _trained(_labelled(spark, sf))
+    """Probability for every document, labelled or not, by a model with given weights."""
+    model, _ = _weighed(spark, sf)
     rec = base.records(spark, sf).select("pmid", "title", "abstract", *META_COLUMNS)
-    return models.score_logistic(model, rec).select("pmid", "model_prob")
+    return rounded(models.score_logistic(model, rec).select("pmid", "model_prob"), "model_prob")
 
 
 def top_coefficients(spark, sf):
-    return models.top_coefficients(_trained(_labelled(spark, sf)))
+    return models.top_coefficients(_weighed(spark, sf)[0])
 
 
 def meta_coefficients(spark, sf):
-    return models.meta_coefficients(_trained(_labelled(spark, sf)))
+    return models.meta_coefficients(_weighed(spark, sf)[0])
 
 
 def save_model(spark, sf):
-    """Probabilities of the stored and reloaded model, beside those of the one just trained."""
-    rows = _labelled(spark, sf)
-    model, path = _trained(rows), scratch_path(spark, "model")
+    """Probabilities of the labelled records by a model that was stored and read again."""
+    model, rows = _weighed(spark, sf)
+    path = scratch_path(spark, "model")
     runs.save_model(model, path)
-    fresh = models.score_logistic(model, rows, "fresh").select("pmid", "fresh")
-    stored = models.score_logistic(runs.load_model(path), rows, "stored").select("pmid", "stored")
-    return label_ops.attach_columns(fresh, stored).select("pmid", (F.col("fresh") == F.col("stored")).alias("same"))
+    return rounded(models.score_logistic(runs.load_model(path), rows).select("pmid", "model_prob"), "model_prob")
 
 
 def load_model(spark, sf):
     """Top coefficients read from a stored model."""
     path = scratch_path(spark, "model")
-    runs.save_model(_trained(_labelled(spark, sf)), path)
+    runs.save_model(_weighed(spark, sf)[0], path)
     return models.top_coefficients(runs.load_model(path))
 
 
@@ -153,7 +155,7 @@ def _tree(spark, sf):
 def train_tree(spark, sf):
     """Report of the tree on the test part."""
     tree, rows = _tree(spark, sf)
-    return metrics.classification_report(models.score_tree(tree, rows.filter("is_test")))
+    return rounded(metrics.classification_report(models.score_tree(tree, rows.filter("is_test"))), "precision", "recall", "f1")
 
 
 def score_tree(spark, sf):
@@ -253,14 +255,17 @@ QUERIES = {
         f"count(*) + {len(META_COLUMNS)} AS n_features, true AS flat FROM vocabulary",
     ),
     "train_logistic": (train_logistic, None),
-    "score_logistic": (score_logistic, None),
-    "top_coefficients": (top_coefficients, None),
-    "meta_coefficients": (meta_coefficients, None),
-    "save_model": (save_model, "SELECT doc_id AS pmid, true AS same FROM labels"),
-    "load_model": (load_model, None),
-    "train_tree": (train_tree, None),
-    "score_tree": (score_tree, None),
-    "tree_rules": (tree_rules, None),
+    "score_logistic": (score_logistic, linear_sql(_terms_cte, labelled_only=False)),
+    "top_coefficients": (top_coefficients, coefficients_sql(_terms_cte)),
+    "meta_coefficients": (meta_coefficients, meta_sql()),
+    "save_model": (save_model, linear_sql(_terms_cte, labelled_only=True)),
+    "load_model": (load_model, coefficients_sql(_terms_cte)),
+    "train_tree": (
+        train_tree,
+        sql_report(tree_ctes() + ", tested AS (SELECT * FROM predicted_rows WHERE is_test)", "tested"),
+    ),
+    "score_tree": (score_tree, tree_ctes() + " SELECT pmid, label, is_test, pred FROM predicted_rows"),
+    "tree_rules": (tree_rules, tree_rules_sql()),
     "end_to_end_metrics": (end_to_end_metrics, None),
     "end_to_end_audit": (end_to_end_audit, None),
     "end_to_end_unlabeled": (end_to_end_unlabeled, None),

@@ -140,8 +140,10 @@ def _steps(source: str) -> str:
 _ROC = "CASE WHEN sum(pos) > 0 AND sum(neg) > 0 THEN sum(neg * (cum_pos - pos / 2)) / (sum(pos) * sum(neg)) END"
 _AP = "CASE WHEN sum(pos) > 0 AND sum(neg) > 0 THEN sum(pos * cum_pos / (cum_pos + cum_neg)) / sum(pos) END"
 
-_REPORT = f"""
-    {_SCORED}, c AS (SELECT {_COUNTS} FROM scored),
+def sql_report(ctes: str, source: str) -> str:
+    """Classification report of ``source``, a table of ``ctes`` with label and pred."""
+    return f"""
+    {ctes}, c AS (SELECT {_COUNTS} FROM {source}),
     per_class AS (
       SELECT '0' AS row, {_ratio('tn', 'tn + fn')} AS precision, {_ratio('tn', 'tn + fp')} AS recall,
              {_ratio('2 * tn', '2 * tn + fn + fp')} AS f1, tn + fp AS support FROM c
@@ -158,6 +160,7 @@ _REPORT = f"""
              sum(f1 * support) / sum(support), CAST(sum(support) AS BIGINT) FROM per_class)
     SELECT row, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1, support FROM lines"""
 
+
 _SPLIT_SCORED = (
     f"WITH {base.SQL_SCORED}, split AS ({_SPLIT}), both_parts AS (SELECT scored.*, is_test FROM scored JOIN split USING (pmid)), "
     "tested AS (SELECT * FROM both_parts WHERE is_test)"
@@ -201,7 +204,7 @@ QUERIES = {
         "round(avg(label) FILTER (is_test), 6) AS test_pos_rate, "
         "round(avg(CAST(pred = label AS INTEGER)) FILTER (is_test), 6) AS accuracy FROM both_parts",
     ),
-    "classification_report": (classification_report, _REPORT),
+    "classification_report": (classification_report, sql_report(_SCORED, "scored")),
     "roc_auc": (roc_auc, f"{_SCORED}, {_steps('scored')} SELECT round({_ROC}, 6) AS roc_auc FROM steps"),
     "average_precision": (
         average_precision,

@@ -62,26 +62,30 @@ def write_id_list(spark, sf):
     return tables.read_id_list(spark, path)
 
 
+def read_damaged_records(spark, sf):
+    """Records with damaged bytes and with genuine replacement characters: only the damage goes."""
+    read = tagged.read_tagged_records(spark, base.damaged_files(spark, sf))
+    fields = tagged.parse_tagged_fields(read)
+    whole = read.select(F.regexp_extract("value", r"\APMID- (\d+)", 1).alias("pmid"), F.sha2(F.regexp_replace("value", r"\s+\z", "").cast("binary"), 256).alias("sha256"))
+    return fields.select("pmid", "ti").join(whole, "pmid").select(F.col("pmid").cast("bigint").alias("pmid"), text.norm_ws("ti").alias("ti"), "sha256")
+
+
 def _manifest(spark, sf):
-    path = base.tagged_files(spark, sf)
+    path = base.numbered_tagged_files(spark, sf)
     ids = base.table(spark, sf, "documents").select(F.col("doc_id").alias("pmid"))
     return runs.run_manifest(spark, path, ids, "consciousness", 1843, 2025)
 
 
-def _totals(manifest, *keys):
-    return manifest.groupBy(*keys).agg(
-        F.max("total_count").alias("total_count"),
-        F.max("ids_written").alias("ids_written"),
-        F.max("records_written").alias("records_written"),
-        F.sum("bytes").alias("file_bytes"),
-        F.bool_and(F.length("sha256") == 64).alias("hashed"),
-    )
+def _files(manifest, *columns):
+    """The manifest with the number of each raw file in place of its path."""
+    number = F.regexp_extract("file", r"part=(-?\d+)", 1).cast("bigint").alias("part")
+    return manifest.select(*columns, number, "total_count", "ids_written", "records_written", "bytes", "sha256")
 
 
 def run_manifest(spark, sf):
     path = scratch_path(spark, "manifest")
     runs.write_manifest(_manifest(spark, sf), path)
-    return _totals(spark.read.json(path), "term", "min_key", "max_key")
+    return _files(spark.read.json(path), "term", "min_key", "max_key")
 
 
 def append_run_log(spark, sf):
@@ -89,7 +93,7 @@ def append_run_log(spark, sf):
     manifest = _manifest(spark, sf)
     runs.append_run_log(manifest, path)
     runs.append_run_log(manifest.withColumn("min_key", F.lit(1900)), path)
-    return _totals(spark.read.parquet(path), "min_key", "max_key")
+    return _files(spark.read.parquet(path), "min_key", "max_key")
 
 
 def norm_ws(spark, sf):
@@ -218,16 +222,24 @@ _RENDERED = (
     "array_to_string([concat('MH  - ', m, chr(10)) FOR m IN mesh], ''), "
     "array_to_string([concat('PT  - ', p, chr(10)) FOR p IN pub_type_list], ''))"
 )
-_MANIFEST_COUNTS = (
-    "count(*) AS total_count, count(*) AS ids_written, count(*) AS records_written, "
-    f"CAST(sum(octet_length(encode({_RENDERED})) + 1) AS BIGINT) AS file_bytes, true AS hashed"
+_FILES = (
+    f"CAST(floor(pmid / {base.DOCS_PER_FILE}) AS BIGINT) AS part, (SELECT count(*) FROM raw) AS total_count, "
+    "(SELECT count(DISTINCT pmid) FROM raw) AS ids_written, (SELECT count(*) FROM raw) AS records_written, "
+    f"CAST(sum(octet_length(encode({_RENDERED})) + 1) AS BIGINT) AS bytes, "
+    f"sha256(string_agg(concat({_RENDERED}, chr(10)), '' ORDER BY pmid)) AS sha256"
 )
+# Genuine replacement characters, and a code point that the reader uses as a mark, stay.
+_DAMAGED = "(SELECT * REPLACE (concat(chr(65533), chr(64976), title, chr(65533)) AS title) FROM raw)"
 
 QUERIES = {
     "read_tagged_records": (
         read_tagged_records,
         _REC + rf" SELECT pmid, length(regexp_replace({_RENDERED}, '\s+$', '')) AS n_chars FROM raw",
     ),
+    "read_damaged_records": (
+        read_damaged_records,
+        _REC + rf" SELECT pmid, {base.sql_norm('title')} AS ti, sha256(regexp_replace({_RENDERED}, '\s+$', '')) AS sha256 FROM {_DAMAGED}",
+    ),
     "parse_tagged_fields": (
         parse_tagged_fields,
         _REC + f" SELECT pmid, date AS dp, entered AS edat, journal AS jt, {base.sql_norm('title')} AS ti, "
@@ -240,12 +252,13 @@ QUERIES = {
     "write_id_list": (write_id_list, "SELECT DISTINCT l_orderkey AS pmid FROM lineitem"),
     "run_manifest": (
         run_manifest,
-        _REC + f" SELECT 'consciousness' AS term, CAST(1843 AS BIGINT) AS min_key, CAST(2025 AS BIGINT) AS max_key, {_MANIFEST_COUNTS} FROM raw",
+        _REC + f" SELECT 'consciousness' AS term, CAST(1843 AS BIGINT) AS min_key, CAST(2025 AS BIGINT) AS max_key, {_FILES} "
+        f"FROM raw GROUP BY CAST(floor(pmid / {base.DOCS_PER_FILE}) AS BIGINT)",
     ),
     "append_run_log": (
         append_run_log,
-        _REC + f" SELECT CAST(y AS INTEGER) AS min_key, CAST(2025 AS INTEGER) AS max_key, {_MANIFEST_COUNTS} "
-        "FROM raw, (VALUES (1843), (1900)) v(y) GROUP BY y",
+        _REC + f" SELECT CAST(y AS INTEGER) AS min_key, CAST(2025 AS INTEGER) AS max_key, {_FILES} "
+        f"FROM raw, (VALUES (1843), (1900)) v(y) GROUP BY y, CAST(floor(pmid / {base.DOCS_PER_FILE}) AS BIGINT)",
     ),
     "norm_ws": (norm_ws, _REC + " SELECT pmid, journal, title, abstract FROM rec"),
     "pub_year": (pub_year, _REC + " SELECT pmid, year FROM rec"),

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
-from pyspark.ml.feature import StopWordsRemover
+import pyarrow as pa
+from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, StopWordsRemover
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
@@ -164,11 +167,11 @@ def tfidf(
 ) -> DataFrame:
     """Rows (key, term, tf, df, weight): tf * (ln((1+n)/(1+df)) + 1), scaled to length 1 per document.
 
-    ``key`` names a document, so it must be distinct. The vocabulary is stored first.
-    One of at most ``BROADCAST_TERMS`` terms is sent to all executors, if the session allows broadcasts; the documents are then dealt out by
-    key before they are exploded, so that terms and weights are never shuffled. With a longer one both sides of
-    the join are plain shuffles, of which AQE splits the part of a term that is in very many
-    documents. (Joined straight after its aggregation, it could not be split.)
+    ``key`` names a document, so it must be distinct. The vocabulary is stored first. One of at most ``BROADCAST_TERMS``
+    terms is sent to all executors, if the session allows broadcasts: a document's counts are then looked up, weighted and
+    scaled inside its row, so that neither texts nor terms are shuffled. With a longer one both sides of the join are plain
+    shuffles, of which AQE splits the part of a term that is in very many documents. (Joined straight after its
+    aggregation, it could not be split.)
     """
     n_docs = count_documents(docs)
     terms = with_terms(docs.select(key, text), text, bigrams=bigrams, stop_words=stop_words)
@@ -178,17 +181,45 @@ def tfidf(
         vocabulary = stored(limit_features(vocabulary, max_features).drop("total_tf"))
     allowed = docs.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold") != "-1"
     if allowed and vocabulary.count() <= BROADCAST_TERMS:
-        vocabulary = F.broadcast(vocabulary)
-        dealt = docs.select(key, text).repartition(key)
-        counts = term_counts(with_terms(dealt, text, bigrams=bigrams, stop_words=stop_words), key)
-    tf = (F.lit(1.0) + F.ln("tf")) if sublinear else F.col("tf").cast("double")
+        return _weights_in_rows(terms, vocabulary, docs.count(), key, sublinear)
     raw = counts.join(vocabulary, "term").withColumn(
-        "_raw", tf * (F.ln((F.lit(1.0) + n_docs) / (F.lit(1.0) + F.col("df"))) + 1.0)
+        "_raw", _scaled_tf(F.col("tf"), sublinear) * (F.ln((F.lit(1.0) + n_docs) / (F.lit(1.0) + F.col("df"))) + 1.0)
     )
     length = F.sqrt(F.sum(F.col("_raw") * F.col("_raw")).over(Window.partitionBy(key)))
     return raw.select(key, "term", "tf", "df", (F.col("_raw") / length).alias("weight"))
 
 
+def _scaled_tf(tf: Column, sublinear: bool) -> Column:
+    return (F.lit(1.0) + F.ln(tf)) if sublinear else tf.cast("double")
+
+
+def _weights_in_rows(terms: DataFrame, vocabulary: DataFrame, n_docs: int, key: str, sublinear: bool) -> DataFrame:
+    """Rows (key, term, tf, df, weight) of documents with their array ``terms``, in one narrow stage.
+
+    The vocabulary has at most ``BROADCAST_TERMS`` terms. A document's sparse vector of counts, and the same times the
+    inverse document frequencies, are made by its look-up; weights are computed on their arrays.
+    """
+    known = vocabulary.toArrow().sort_by("term")
+    names, df = known["term"].to_pylist(), known["df"].to_pylist()
+    if not names:
+        return terms.select(key, F.lit("").alias("term"), *(F.lit(0).cast("bigint").alias(c) for c in ("tf", "df")), F.lit(0.0).alias("weight")).limit(0)
+    idf = [math.log((1 + n_docs) / (1 + n)) + 1 for n in df]
+    counter = CountVectorizerModel.from_vocabulary(names, "terms", "_counts")
+    counted = ElementwiseProduct(inputCol="_counts", outputCol="_scaled", scalingVec=Vectors.dense(idf)).transform(counter.transform(terms))
+    counts, scaled = F.unwrap_udt("_counts"), F.unwrap_udt("_scaled")
+    entries = counted.select(key, counts["indices"].alias("_place"), counts["values"].alias("_tf"), scaled["values"].alias("_tfidf"))
+    # tf * idf / tf is the inverse document frequency again.
+    raw = F.zip_with("_tf", "_tfidf", lambda tf, product: product / tf * _scaled_tf(tf, True)) if sublinear else F.col("_tfidf")
+    weighed = entries.withColumn("_raw", raw).withColumn(
+        "_length", F.sqrt(F.aggregate("_raw", F.lit(0.0), lambda total, x: total + x * x))
+    )
+    rows = weighed.select(key, "_length", F.inline(F.arrays_zip(F.col("_place").alias("_place"), F.col("_tf").alias("_tf"), F.col("_raw").alias("_raw"))))
+    listed = terms.sparkSession.createDataFrame(pa.table({"_place": pa.array(range(len(names)), pa.int32()), "term": names, "df": df}))
+    return rows.join(F.broadcast(listed), "_place").select(
+        key, "term", F.col("_tf").cast("bigint").alias("tf"), "df", (F.col("_raw") / F.col("_length")).alias("weight")
+    )
+
+
 def top_terms_by_class(weights: DataFrame, labels: DataFrame, n: int = 20, key: str = "pmid") -> DataFrame:
     """The ``n`` terms of largest mean weight over the documents of each class.
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Mapping
+from dataclasses import dataclass
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
@@ -13,8 +14,10 @@ from sievework.session import settle
 
 # Values one task sorts.
 ROWS_PER_RANGE = 1_000_000
-# Selections of up to this many rows are small enough to send to every executor.
+# Tables of up to this many rows are small enough to send to every executor.
 BROADCAST_ROWS = 100_000
+# Samples of up to this many rows are merged from the tasks' own; Spark limits ranks of up to 1,000 rows before it shuffles them.
+SMALL_SAMPLE = 999
 
 
 def value_order(key: Column | str, seed: int) -> Column:
@@ -86,36 +89,125 @@ def running_totals(
 def first_in_order(df: DataFrame, limits: Mapping[object, int] | int, seed: int, key: str, group: str | None = None) -> DataFrame:
     """The first rows of each group (or of all) in the random order of their keys, with ``_order``.
 
-    A group's cut-off comes from counts (:func:`quota_cutoffs`) and each row is compared with it, so only rows
-    that stay are shuffled. Keys should be distinct: rows that share the key at the cut-off are numbered
-    in one task to find out how many of them stay.
+    Two scans: one over key and group finds where each group's quota runs out, the other compares each row with that
+    place where it is read, so only rows that stay go on. Rows that share the key at the cut-off are told apart by a hash of the
+    whole row, and copies of one row by their number; only where there are such rows are they read once more.
     """
     ordered = df.withColumns({"_order": value_order(key, seed), "_group": F.col(group) if group else F.lit("")})
-    field = ordered.schema["_group"].dataType.simpleString()
-    quotas = {"": limits} if isinstance(limits, int) else dict(limits)
-    wanted = df.sparkSession.createDataFrame([(g, n) for g, n in quotas.items()], f"_group {field}, quota bigint")
-    sizes = ordered.groupBy("_group").agg(F.count(F.lit(1)).alias("_size"))
-    # A row per quota; a group within its quota has no cut-off.
-    over = wanted.join(sizes, "_group").withColumn("_all", F.col("_size") <= F.col("quota"))
-    cut = quota_cutoffs(ordered.select("_group", "_order", F.col(key).alias("_key")), "_group", over.filter("not _all and quota > 0").select("_group", "quota"))
-    limits_of = over.filter("quota > 0").select("_group", "_all").join(cut, "_group", "left")
-    here, last = F.struct(F.col("_order").alias("o"), F.col(key).alias("k")), F.struct(F.col("_last_order").alias("o"), F.col("_last_key").alias("k"))
-    limited = F.broadcast(limits_of) if len(quotas) <= BROADCAST_ROWS else limits_of
-    kept = ordered.join(limited, "_group").filter(F.col("_all") | (here <= last))
-    tie = ~F.col("_all") & (here == last)
-    alone = F.when(~tie, F.struct("_order", F.col(key).alias("k")))
-    number = F.row_number().over(Window.partitionBy("_group", "_tie", "_alone").orderBy(F.lit(0)))
-    numbered = kept.withColumns({"_tie": tie, "_alone": alone}).withColumn("_number", number)
-    return numbered.filter(~F.col("_tie") | (F.col("_number") <= F.col("_keep"))).select(*df.columns, "_order")
+    quotas = {g: n for g, n in ({"": limits} if isinstance(limits, int) else dict(limits)).items() if n > 0}
+    narrow = ordered.select("_group", "_order", F.col(key).alias("_key"))
+    small = {g: n for g, n in quotas.items() if n <= SMALL_SAMPLE}
+    cuts = {**_small_cuts(narrow, small), **_counted_cuts(narrow, {g: n for g, n in quotas.items() if g not in small})}
+    inside, ties = F.lit(False), []
+    for g, quota in quotas.items():
+        here = F.col("_group") == F.lit(g)
+        cut = cuts.get(g)
+        if cut is None:  # the group is within its quota
+            inside = inside | here
+            continue
+        same = F.col("_order") == cut.order
+        before = (F.col("_order") < cut.order) | (same & _key_before(F.col(key), cut.key))
+        at = same & F.col(key).eqNullSafe(F.lit(cut.key))
+        if cut.beyond:
+            inside = inside | (here & before)
+            ties.append((here & at, cut.keep))
+        else:
+            inside = inside | (here & (before | at))
+    kept = ordered.filter(inside)
+    for at, keep in ties:
+        kept = kept.unionByName(_some_of(ordered.filter(at), keep, df.columns))
+    return kept.select(*df.columns, "_order")
+
+
+@dataclass(frozen=True)
+class Cut:
+    """The last place inside a quota, how many rows of that place are inside, and whether there are more of them."""
+
+    order: str
+    key: object
+    keep: int
+    beyond: bool
+
+
+def _key_before(key: Column, last: object) -> Column:
+    """Whether ``key`` comes before ``last``; a missing key comes first."""
+    if last is None:
+        return F.lit(False)
+    return key.isNull() | F.coalesce(key < F.lit(last), F.lit(False))
+
+
+def _small_cuts(narrow: DataFrame, quotas: Mapping[object, int]) -> dict[object, Cut]:
+    """Cuts of quotas of at most ``SMALL_SAMPLE`` rows: each task keeps its first rows of a group, and these are merged.
+
+    One row more than the quota is looked at: it tells whether the group goes on, and with the same key. The driver sees no
+    more than these rows' orders and keys.
+    """
+    if not quotas:
+        return {}
+    most = max(quotas.values()) + 1
+    if len(quotas) == 1:
+        only = next(iter(quotas))
+        first = narrow.filter(F.col("_group") == F.lit(only)).orderBy("_order", "_key").limit(most)
+    else:
+        wanted = narrow.filter(F.col("_group").isin(*quotas))
+        number = F.row_number().over(Window.partitionBy("_group").orderBy("_order", "_key"))
+        first = wanted.withColumn("_number", number).filter(F.col("_number") <= most)
+    seen: dict[object, list] = {}
+    for row in first.select("_group", "_order", "_key").collect():
+        seen.setdefault(row["_group"], []).append((row["_order"], row["_key"]))
+    cuts = {}
+    for g, quota in quotas.items():
+        places = sorted(seen.get(g, []), key=lambda p: (p[0], p[1] is not None, p[1] if p[1] is not None else 0))
+        if len(places) > quota:
+            last = places[quota - 1]
+            cuts[g] = Cut(*last, keep=sum(p == last for p in places[:quota]), beyond=places[quota] == last)
+    return cuts
+
+
+def _counted_cuts(narrow: DataFrame, quotas: Mapping[object, int]) -> dict[object, Cut]:
+    """Cuts of larger quotas, from counts."""
+    if not quotas:
+        return {}
+    field = narrow.schema["_group"].dataType.simpleString()
+    sizes = {r["_group"]: r["n"] for r in narrow.filter(F.col("_group").isin(*quotas)).groupBy("_group").agg(F.count("*").alias("n")).collect()}
+    over = [(g, n) for g, n in quotas.items() if sizes.get(g, 0) > n]
+    if not over:
+        return {}
+    wanted = narrow.sparkSession.createDataFrame(over, f"_group {field}, quota bigint")
+    found = quota_cutoffs(narrow, "_group", wanted).collect()
+    return {r["_group"]: Cut(r["_last_order"], r["_last_key"], r["_keep"], r["_keep"] < r["_same"]) for r in found}
+
+
+def _some_of(rows: DataFrame, keep: int, columns: list[str]) -> DataFrame:
+    """``keep`` of rows that are all in one place of the order: the first by a hash of the row.
+
+    The hash's cut-off comes from counts of hash slices, so that many rows are no one task's; rows that are equal in hash as well
+    are copies, of which any will do.
+    """
+    hashed = rows.withColumn("_hash", F.xxhash64(*(F.col(f"`{c}`") for c in columns)))
+    high = F.shiftright("_hash", 48).alias("_high")
+    counts = hashed.groupBy(high).agg(F.count("*").alias("n")).toArrow().sort_by("_high")  # at most 65,536 rows
+    upto = counts["n"].to_numpy().cumsum()
+    at = int((upto < keep).sum())
+    edge, left = counts["_high"][at].as_py(), keep - (int(upto[at - 1]) if at else 0)
+    inside = hashed.filter(F.shiftright("_hash", 48) < edge)
+    slice_ = hashed.filter(F.shiftright("_hash", 48) == edge)
+    values = slice_.groupBy("_hash").agg(F.count("*").alias("_n"))
+    upto_value = F.sum("_n").over(Window.orderBy("_hash").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    # The slice has about 1/65536 of the different rows; copies count once.
+    last = values.withColumn("_upto", upto_value).filter((F.col("_upto") >= left) & (F.col("_upto") - F.col("_n") < left)).first()
+    copies = left - (last["_upto"] - last["_n"])
+    whole = inside.unionByName(slice_.filter(F.col("_hash") < last["_hash"]))
+    return whole.unionByName(slice_.filter(F.col("_hash") == last["_hash"]).limit(copies)).drop("_hash")
 
 
 def quota_cutoffs(keyed: DataFrame, group: str, quotas: DataFrame) -> DataFrame:
-    """Per group, the last (``_order``, ``_key``) that is inside the group's quota, and how many rows of it are (``_keep``).
+    """Per group, the last (``_order``, ``_key``) that is inside the group's quota, how many rows of it are (``_keep``), and how many there are (``_same``).
 
     ``keyed`` has columns group, ``_order`` (an MD5) and ``_key``; ``quotas`` has
-    group and ``quota``. MD5 values are counted by their first four digits; the
-    slice in which the quota runs out, about 1/65536 of a group, is the only part
-    that is sorted.
+    group and ``quota``. MD5 values are counted by their first four digits; only
+    the slice in which the quota runs out, about 1/65536 of a group's keys, is sorted, after its
+    rows have been counted by key: a key with very many rows is one row there.
     """
     slices = keyed.groupBy(group, F.substring("_order", 1, 4).alias("_slice")).agg(F.count(F.lit(1)).alias("_n"))
     upto = Window.partitionBy(group).orderBy("_slice").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -125,11 +217,17 @@ def quota_cutoffs(keyed: DataFrame, group: str, quotas: DataFrame) -> DataFrame:
         .filter((F.col("_upto") >= F.col("quota")) & (F.col("_upto") - F.col("_n") < F.col("quota")))
         .select(group, "_slice", (F.col("quota") - F.col("_upto") + F.col("_n")).alias("_left"))
     )
-    inside = Window.partitionBy(group).orderBy("_order", "_key")
-    return (
+    keys = (
         keyed.withColumn("_slice", F.substring("_order", 1, 4))
         .join(F.broadcast(edges), [group, "_slice"])
-        .withColumns({"_rank": F.row_number().over(inside), "_first": F.rank().over(inside)})
-        .filter(F.col("_rank") == F.col("_left"))
-        .select(group, F.col("_order").alias("_last_order"), F.col("_key").alias("_last_key"), (F.col("_left") - F.col("_first") + 1).alias("_keep"))
+        .groupBy(group, "_left", "_order", "_key").agg(F.count(F.lit(1)).alias("_same"))
+    )
+    inside = Window.partitionBy(group).orderBy("_order", "_key").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return (
+        keys.withColumn("_through", F.sum("_same").over(inside))
+        .filter((F.col("_through") >= F.col("_left")) & (F.col("_through") - F.col("_same") < F.col("_left")))
+        .select(
+            group, F.col("_order").alias("_last_order"), F.col("_key").alias("_last_key"),
+            (F.col("_left") - F.col("_through") + F.col("_same")).alias("_keep"), "_same",
+        )
     )

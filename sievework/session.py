@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import os
 import re
 import shutil
 import tempfile
@@ -32,6 +33,18 @@ def build_session(app_name: str = "sievework", master: str | None = None, **conf
     return builder.getOrCreate()
 
 
+def ship(spark: SparkSession) -> None:
+    """Let Python workers of this session import the package from where the driver has it.
+
+    Where workers don't see that folder, install the package there or pass it with ``--py-files``.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    environment = spark.sparkContext.environment
+    paths = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder all executors see: ``spark.checkpoint.dir``.
 

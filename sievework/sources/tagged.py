@@ -18,16 +18,25 @@ RECORD_COLUMNS = (
 )
 
 
+# A code point that stands for nothing, to mark replacement characters that a text really holds; and the replacement character.
+_ESCAPE, _REPLACEMENT = "\ufdd0", "\ufffd"
+
+
+def _without_damage(value: Column) -> Column:
+    """Text without its invalid bytes. Repair puts replacement characters in their place, so genuine ones are marked first."""
+    marked = F.replace(F.replace(value, F.lit(_ESCAPE), F.lit(_ESCAPE + "0")), F.lit(_REPLACEMENT), F.lit(_ESCAPE + "1"))
+    dropped = F.replace(F.make_valid_utf8(marked), F.lit(_REPLACEMENT), F.lit(""))
+    return F.replace(F.replace(dropped, F.lit(_ESCAPE + "1"), F.lit(_REPLACEMENT)), F.lit(_ESCAPE + "0"), F.lit(_ESCAPE))
+
+
 def read_tagged_records(spark: SparkSession, path, newline: str = "\n") -> DataFrame:
     """One row per record. Large files are split, so a file may hold any number of records.
 
-    Bytes that are not UTF-8 are dropped. Pass ``newline="\\r\\n"`` for files with
+    Bytes that are not UTF-8 are dropped, and nothing else. Pass ``newline="\\r\\n"`` for files with
     such line ends.
     """
     raw = spark.read.text(path, lineSep=f"{newline}PMID- ")
-    cleaned = F.replace(F.make_valid_utf8("value"), F.lit("\ufffd"), F.lit(""))
-    # The replacement mark of a valid record stands in the text itself.
-    value = F.when(F.is_valid_utf8("value"), F.col("value")).otherwise(cleaned)
+    value = F.when(F.is_valid_utf8("value"), F.col("value")).otherwise(_without_damage(F.col("value")))
     if newline != "\n":
         value = F.replace(value, F.lit(newline), F.lit("\n"))
     # The separator takes the record's own first tag, but for the first record of a file.
@@ -85,8 +94,8 @@ def count_records(spark: SparkSession, path) -> DataFrame:
     )
 
 
-def tagged_text(records: DataFrame) -> DataFrame:
-    """Render records with date, entered, mesh and pub_type_list as tagged text."""
+def tagged_text(records: DataFrame, *keep: Column | str) -> DataFrame:
+    """Render records with date, entered, mesh and pub_type_list as tagged text; columns ``keep`` stay beside it."""
 
     def line(tag: str, value) -> Column:
         folded = F.replace(F.coalesce(value, F.lit("")), F.lit("\n"), F.lit("\n      "))
@@ -109,4 +118,4 @@ def tagged_text(records: DataFrame) -> DataFrame:
         many("PT", "pub_type_list"),
         F.array(F.lit("")),
     )
-    return records.select(F.array_join(body, "\n").alias("value"))
+    return records.select(F.array_join(body, "\n").alias("value"), *keep)

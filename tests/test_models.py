@@ -1,10 +1,11 @@
 import numpy as np
 import pytest
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from sievework.functions.patterns import FLAG_COLUMNS
-from sievework.operators import models
+from sievework.operators import models, newton
 from sievework.plans import training
 from sievework.sources import runs
 
@@ -71,6 +72,69 @@ def test_scores_do_not_depend_on_partitions_and_survive_storage(spark, trained,
     assert {r.pmid: r.model_prob for r in models.score_logistic(back, df).collect()} == scored
 
 
+def test_given_weights(spark, trained):
+    df, model = trained
+    features = type(model)(model.stages[:-1])
+    table = models.coefficients(model, intercept=True)
+    same = models.from_weights(features, table.unionByName(spark.createDataFrame([("no such term", 3.0)], table.schema)))
+    assert np.array_equal(same.stages[-1].coefficients.toArray(), model.stages[-1].coefficients.toArray())
+    few = models.from_weights(features, table.filter(F.col("feature") == "conscious"))
+    assert np.count_nonzero(few.stages[-1].coefficients.toArray()) == 1
+
+
+def test_vectors_as_rows(spark, trained):
+    df, model = trained
+    rows = models.vector_entries(model.transform(df)).groupBy("pmid").pivot("place").sum("value").fillna(0.0).collect()
+    arrays = {r.pmid: r.x for r in model.transform(df).select("pmid", vector_to_array("features").alias("x")).collect()}
+    assert len(rows) == len(arrays)
+    for row in rows:
+        found = {int(c): v for c, v in row.asDict().items() if c != "pmid"}
+        assert [found.get(i, 0.0) for i in range(len(arrays[row.pmid]))] == arrays[row.pmid]
+
+
+def problem(spark, n=400, width=300, seed=1):
+    """Rows in which some features stand in nearly all rows and most in very few, with sizes from 0.01 to 10."""
+    rng = np.random.default_rng(seed)
+    share = np.where(np.arange(width) < 10, 0.9, 0.01)
+    size = 10 ** rng.uniform(-2, 1, width)
+    x = (rng.random((n, width)) < share) * size * rng.normal(1, 0.2, (n, width))
+    side = np.where(rng.random(n) < 1 / (1 + np.exp(-x[:, :10] @ rng.normal(size=10) / 5)), 1.0, 0.0)
+    weight = rng.uniform(0.5, 3, n)
+    vectors = [(Vectors.sparse(width, np.flatnonzero(r).tolist(), r[r != 0].tolist()) if i % 2 else Vectors.dense(r), s, w)
+               for i, (r, s, w) in enumerate(zip(x, side.tolist(), weight.tolist()))]
+    return x, side, weight, spark.createDataFrame(vectors, ["features", "y", "w"]).repartition(3)
+
+
+@pytest.mark.parametrize("driver_numbers", [newton.DRIVER_NUMBERS, 1])
+def test_sums_over_blocks(spark, monkeypatch, driver_numbers):
+    monkeypatch.setattr(newton, "DRIVER_NUMBERS", driver_numbers)
+    monkeypatch.setattr(newton, "PIECE", 128)
+    x, side, weight, rows = problem(spark)
+    loss = newton.Loss(newton.blocks_of(rows, "features", "y", "w"), x.shape[1], 0.7)
+    rng = np.random.default_rng(2)
+    w, v = rng.normal(size=x.shape[1]) / 10, rng.normal(size=x.shape[1])
+    p = 1 / (1 + np.exp(-x @ w))
+    d = weight * p * (1 - p)
+    value, gradient, diagonal = loss.at(w)
+    assert value == pytest.approx(-(weight * (side * np.log(p) + (1 - side) * np.log(1 - p))).sum() + w @ w / 1.4)
+    assert gradient == pytest.approx(x.T @ (weight * (p - side)) + w / 0.7)
+    assert diagonal == pytest.approx((x * x).T @ d + 1 / 0.7)
+    assert loss.hessian_times(w, v) == pytest.approx(x.T @ (d * (x @ v)) + v / 0.7)
+
+
+def test_fit_is_within_its_tolerance_in_few_passes(spark):
+    x, side, weight, rows = problem(spark)
+    blocks = newton.blocks_of(rows, "features", "y", "w")
+    exact = newton.minimise(newton.Loss(blocks, x.shape[1], 1.0), 100, 1e-12)
+    p = 1 / (1 + np.exp(-x @ exact))
+    assert np.linalg.norm(x.T @ (weight * (p - side)) + exact) < 1e-8
+    loss = newton.Loss(blocks, x.shape[1], 1.0)
+    assert np.linalg.norm(newton.minimise(loss, 100, 1e-4) - exact) <= 1e-4
+    assert loss.passes < 120
+    with pytest.raises(RuntimeError):
+        newton.minimise(newton.Loss(blocks, x.shape[1], 1.0), 1, 1e-9)
+
+
 def test_tree_limits(spark):
     df = training.flagged(rows(spark))
     tree = models.train_tree(df)

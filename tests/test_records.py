@@ -63,6 +63,12 @@ def test_invalid_bytes_are_dropped(spark, tmp_path):
     assert load_records(spark, path).first().title == "abcdé"
 
 
+def test_genuine_replacement_characters_stay(spark, tmp_path):
+    # Damage before, between and right at genuine ones, and the code point that marks them.
+    path = write(tmp_path, b"PMID- 1\nTI  - a\xef\xbf\xbdb\xffc\xe2\x82\xef\xbf\xbd\xef\xb7\x901\xef\xb7\x900\xf3\n\nPMID- 2\nTI  - \xef\xbf\xbd\n")
+    assert [r.title for r in load_records(spark, path).orderBy("pmid").collect()] == ["a\ufffdbc\ufffd\ufdd01\ufdd00", "\ufffd"]
+
+
 @pytest.mark.parametrize(
     "mesh, expected, starred",
     [

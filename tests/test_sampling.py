@@ -50,6 +50,44 @@ def test_sample_of_few_rows_and_of_repeated_keys(spark):
     assert sampling.sample_n(without_key, 200).count() == 200
 
 
+@pytest.mark.parametrize("n", [400, 2500])
+def test_a_key_of_a_third_of_the_rows_at_the_cutoff(spark, n):
+    """Rows without a key, of which some are copies, stand where the sample ends."""
+    for seed in range(200):
+        first = sum(md5(seed, i) < md5(seed, "") for i in range(6000) if i % 3)
+        if 0 < n - first < 2000:
+            break
+    df = spark.range(0, 6000, 1, 7).select(
+        F.when(F.col("id") % 3 > 0, F.col("id")).alias("pmid"), F.when(F.col("id") % 3 > 0, F.col("id")).otherwise(F.col("id") % 900).alias("other")
+    )
+    rows = sampling.sample_n(df, n, seed).collect()
+    assert len(rows) == n
+    assert {r.pmid for r in rows if r.pmid is not None} == {i for i in range(6000) if i % 3 and md5(seed, i) < md5(seed, "")}
+    again = sampling.sample_n(df.repartition(3), n, seed).collect()
+    assert Counter(map(tuple, again)) == Counter(map(tuple, rows))
+    available = Counter((None, i % 900) for i in range(0, 6000, 3))
+    assert all(available[k] >= c for k, c in Counter(map(tuple, rows)).items() if k[0] is None)
+
+
+def test_repeated_keys_in_buckets(spark):
+    df = records(spark, 3000).withColumn("pmid", F.col("pmid") % 40)
+    rows = sampling.bucket_samples(df, {"none": 50, "major": 7, "any": 100}).collect()
+    assert Counter(r.bucket for r in rows) == {"none": 50, "major": 7, "any": 60}
+    for bucket, wanted in (("none", 50), ("major", 7)):
+        ids = [i for i in range(3000) if bucket == ("major" if i % 10 == 0 else "any" if i % 50 == 1 else "none")]
+        order = sorted((md5(1073, i % 40) for i in ids))[:wanted]
+        assert sorted(md5(1073, r.pmid) for r in rows if r.bucket == bucket) == order
+
+
+@pytest.mark.parametrize("n", [5, 3000])
+def test_a_sample_scans_its_table_twice(spark, tmp_path, n):
+    path = str(tmp_path / "rows")
+    spark.range(0, 5000, 1, 4).select(F.col("id").alias("pmid"), F.lit("w").alias("title")).write.parquet(path)
+    plan = sampling.sample_n(spark.read.parquet(path), n)._jdf.queryExecution().executedPlan().toString()
+    # The cut-off is known by then: the plan that gives the rows has one scan and no join.
+    assert plan.count("FileScan") == 1 and "Join" not in plan
+
+
 def test_split_of_the_labelled_set(spark):
     df = spark.range(500).select(F.col("id").alias("pmid"), (F.col("id") < 102).cast("int").alias("label"))
     counts = Counter((r.label, r.is_test) for r in sampling.stratified_split(df).collect())

@@ -6,7 +6,8 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from sievework.operators import features, labels, sampling
+from sievework.operators import audit, features, labels, sampling
+from sievework.plans import training
 
 
 def plan(df):
@@ -79,3 +80,28 @@ def test_hot_key_in_dedup_is_reduced_before_the_shuffle(spark):
     merged = labels.dedup_keep_last(labels.union_labels(rows, rows))
     assert re.search(r"Exchange.*\n.*Aggregate.*partial_max_by", plan(merged))
     assert merged.count() == rows.select("pmid").distinct().count()
+
+
+def test_weights_of_a_short_vocabulary_need_no_shuffle(spark, tmp_path):
+    words = F.concat_ws(" ", *(F.concat(F.lit("w"), (F.col("id") * k) % 50) for k in (1, 3, 7)))
+    spark.range(0, 500, 1, 4).select(F.col("id").alias("pmid"), words.alias("text")).write.parquet(str(tmp_path / "t"))
+    docs = spark.read.parquet(str(tmp_path / "t"))
+    for how in ({}, {"sublinear": True, "max_features": 20}):
+        weights = features.tfidf(docs, "text", **how)
+        # The vocabulary is sent out; texts, terms and weights stay where they are.
+        assert not re.search(r"Exchange (hash|range|Single|RoundRobin)", plan(weights))
+        rows = weights.collect()
+        lengths = Counter()
+        for r in rows:
+            lengths[r.pmid] += r.weight**2
+        assert set(lengths) <= set(range(500)) and all(abs(v - 1) < 1e-9 for v in lengths.values())
+
+
+def test_flags_are_not_in_the_plan_that_sorts_the_audit(spark):
+    rows = spark.range(50).select(
+        F.col("id").alias("pmid"), F.lit("qualia").alias("title"), F.lit("x").alias("abstract"), (F.col("id") % 2).cast("int").alias("label"),
+        (F.col("id") / 50.0).alias("model_prob"),
+    )
+    ranked = audit.audit_ranking(training.flagged(rows))
+    assert "RLIKE" not in plan(ranked).upper() and "regexp" not in plan(ranked).lower()
+    assert [r.mismatch for r in ranked.collect()] == sorted((r.mismatch for r in ranked.collect()), reverse=True)
