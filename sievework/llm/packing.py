@@ -33,9 +33,10 @@ END_ID = 0
 DIMENSIONS = 3
 BITS = 12
 ROWS_PER_RANGE = 20_000
-MANY_RANGES = 100_000
-# Longer words go to the library whose time doesn't grow with the square of a word's length.
-LONG_WORD = 2_000
+# Ranges, of which the driver knows the cuts; more rows make them longer.
+MAX_RANGES = 20_000
+# Texts with longer words or stretches of white space go to the library whose time and stack don't grow with them.
+LONG_RUN = 2_000
 # The pattern that splits texts of this vocabulary, and its one special token; fixed values.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 SPECIAL, SPECIAL_ID = "<|endoftext|>", 50256
@@ -61,16 +62,18 @@ class Encoder:
         self.plain = Tokenizer.from_file(paths[0])
 
     def one(self, text: str, longest: int) -> np.ndarray:
-        if longest > LONG_WORD:
+        if longest > LONG_RUN:
             return np.array(self.plain.encode(text, add_special_tokens=False).ids, np.uint32)
         return self.fast.encode_to_numpy(text, allowed_special="all")
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, each followed by ``END_ID``, and the offsets of the texts in them."""
         data, offsets = C.text_bytes(column)
-        starts, ends, first = C.words(data, offsets)
         longest = np.zeros(len(column), np.int64)
-        np.maximum.at(longest, np.repeat(np.arange(len(column)), np.diff(first)), ends - starts)
+        blank = C.SPACE[data]
+        for inside in (blank, ~blank):
+            starts, ends, first = C.runs(inside, offsets)
+            np.maximum.at(longest, np.repeat(np.arange(len(column)), np.diff(first)), ends - starts)
         end = np.array([END_ID], np.uint32)
         parts = []
         for text, size in zip(column.to_pylist(), longest):
@@ -189,7 +192,7 @@ def pack(
 ) -> DataFrame:
     """One row per piece of a document: key, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
     table = tokenized(docs, key, text, paths or tokenizer_paths())
-    ranges = -(-table.count() // rows_per_range)
+    ranges = min(MAX_RANGES, -(-table.count() // rows_per_range))
     cuts = sorted(set(table.approxQuantile("_order", [i / ranges for i in range(1, ranges)], 1 / (4 * ranges)))) if ranges > 1 else []
     ranged = table.withColumn("_range", F.lit(0))
     if cuts:
@@ -198,13 +201,13 @@ def pack(
             table.withColumn("_at", F.col("_order").cast("double"))
         )
         ranged = numbered.withColumn("_range", F.col("_range").cast("int")).drop("_at")
-    # A row per range, as many as there are cuts on the driver; broadcast only if they are few.
+    # A row per range, MAX_RANGES at most.
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     totals = ranged.groupBy("_range").agg(F.sum("_n").alias("_total"))
     bases = totals.select("_range", F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_base"))
-    if len(cuts) < MANY_RANGES:
-        bases = F.broadcast(bases)
-    placed = ranged.join(bases, "_range").repartition(len(cuts) + 1, "_range").sortWithinPartitions("_range", "_order", "_key", "_row")
+    # A task gets one range.
+    dealt = ranged.join(F.broadcast(bases), "_range").repartitionById(len(cuts) + 1, "_range")
+    placed = dealt.sortWithinPartitions("_range", "_order", "_key", "_row")
     kind = docs.schema[key].dataType.simpleString()
     pieces = C.map_batches(
         placed.select("_key", "_range", "_base", "_n", "_ids"),

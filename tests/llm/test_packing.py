@@ -64,6 +64,13 @@ def test_ids_are_those_of_the_library(tokenizer):
         assert stream[offsets[i] : offsets[i + 1]].tolist() == [*tokenizer.encode(text, add_special_tokens=False).ids, packing.END_ID]
 
 
+def test_long_stretches_of_one_kind(spark, tokenizer):
+    rows = [(i, f"a{mark * 2_000_000}b c") for i, mark in enumerate([" ", "\n", "\t", "x", "é", "7", "-"])]
+    rows += [(9, " " * 5_000_000), (10, "word  \n" * 200_000)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    check(packing.pack(docs).collect(), rows, tokenizer)
+
+
 @pytest.mark.parametrize("dimensions, bits", [(2, 4), (3, 3), (4, 2)])
 def test_curve_visits_each_cell_once_by_neighbours(dimensions, bits):
     side = 1 << bits
