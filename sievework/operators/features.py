@@ -6,6 +6,7 @@ import math
 from collections.abc import Sequence
 
 import pyarrow as pa
+from pyspark import SparkContext
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, StopWordsRemover
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame
@@ -193,6 +194,14 @@ def _scaled_tf(tf: Column, sublinear: bool) -> Column:
     return (F.lit(1.0) + F.ln(tf)) if sublinear else tf.cast("double")
 
 
+def counter_of(terms: Sequence[str], source: str, out: str) -> CountVectorizerModel:
+    """A model that counts these terms, which hold no line end. They go to the JVM as one text, not one call each."""
+    context = SparkContext._active_spark_context
+    listed = context._jvm.java.util.regex.Pattern.compile("\n").split("\n".join(terms))
+    model = CountVectorizerModel._create_from_java_class("org.apache.spark.ml.feature.CountVectorizerModel", listed)
+    return model.setInputCol(source).setOutputCol(out)
+
+
 def _weights_in_rows(terms: DataFrame, vocabulary: DataFrame, n_docs: int, key: str, sublinear: bool) -> DataFrame:
     """Rows (key, term, tf, df, weight) of documents with their array ``terms``, in one narrow stage.
 
@@ -204,7 +213,7 @@ def _weights_in_rows(terms: DataFrame, vocabulary: DataFrame, n_docs: int, key:
     if not names:
         return terms.select(key, F.lit("").alias("term"), *(F.lit(0).cast("bigint").alias(c) for c in ("tf", "df")), F.lit(0.0).alias("weight")).limit(0)
     idf = [math.log((1 + n_docs) / (1 + n)) + 1 for n in df]
-    counter = CountVectorizerModel.from_vocabulary(names, "terms", "_counts")
+    counter = counter_of(names, "terms", "_counts")
     counted = ElementwiseProduct(inputCol="_counts", outputCol="_scaled", scalingVec=Vectors.dense(idf)).transform(counter.transform(terms))
     counts, scaled = F.unwrap_udt("_counts"), F.unwrap_udt("_scaled")
     entries = counted.select(key, counts["indices"].alias("_place"), counts["values"].alias("_tf"), scaled["values"].alias("_tfidf"))
@@ -228,7 +237,7 @@ def top_terms_by_class(weights: DataFrame, labels: DataFrame, n: int = 20, key:
     labelled = labels.select(key, "label").filter(F.col("label").isNotNull())
     sizes = labelled.groupBy("label").agg(F.count(F.lit(1)).alias("_size"))
     sums = weights.join(labelled, key).groupBy("label", "term").agg(F.sum("weight").alias("_sum"))
-    means = sums.join(F.broadcast(sizes), "label").select(
+    means = sums.join(sizes, "label").select(
         "label", "term", F.round(F.col("_sum") / F.col("_size"), 9).alias("mean_weight")
     )
     rank = F.row_number().over(Window.partitionBy("label").orderBy(F.desc("mean_weight"), "term"))

@@ -17,9 +17,9 @@ def class_weights(df: DataFrame, label: str = "label") -> DataFrame:
 
 
 def with_class_weight(df: DataFrame, label: str = "label", out: str = "weight") -> DataFrame:
-    """Add each row's balanced weight. There are as many weights as classes."""
+    """Add each row's balanced weight. There are as many weights as classes; Spark sends them out if they are few."""
     weights = class_weights(df, label).select(label, F.col("weight").alias(out))
-    return df.join(F.broadcast(weights), label)
+    return df.join(weights, label)
 
 
 def confusion_matrix(df: DataFrame, label: str = "label", pred: str = "pred") -> DataFrame:

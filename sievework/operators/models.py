@@ -10,7 +10,7 @@ from collections.abc import Sequence
 import numpy as np
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegressionModel
-from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer, SQLTransformer, VectorAssembler
+from pyspark.ml.feature import ElementwiseProduct, Normalizer, SQLTransformer, VectorAssembler
 from pyspark.ml.common import _py2java
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
@@ -22,7 +22,7 @@ from sievework.functions.patterns import FLAG_COLUMNS
 from sievework.functions.scores import META_COLUMNS
 from sievework.functions.text import build_text
 from sievework.operators import newton
-from sievework.operators.features import MAX_DF, MIN_DF, TOKEN, fit_vocabulary
+from sievework.operators.features import MAX_DF, MIN_DF, TOKEN, counter_of, fit_vocabulary
 from sievework.operators.metrics import with_class_weight
 from sievework.session import scratch_path
 
@@ -72,7 +72,7 @@ def stack_features(
     known = fit_vocabulary(texts, "_text", min_df, max_df, max_features).toArrow().sort_by([("df", "descending"), ("term", "ascending")])
     if not known.num_rows:
         raise ValueError("no term is in enough of the labelled texts")
-    counter = CountVectorizerModel.from_vocabulary(known["term"].to_pylist(), "_terms", "_counts")
+    counter = counter_of(known["term"].to_pylist(), "_terms", "_counts")
     n_docs = labelled.count()
     idf = np.log((1 + n_docs) / (1 + known["df"].to_numpy())) + 1
     meta = _meta_stage(meta_columns)

@@ -17,6 +17,8 @@ BATCH_SIZE = 300
 BUCKET_SIZES = {"major": 120, "any": 120, "none": 60}
 SAMPLE_SIZE = 200
 TEST_SHARE = 0.25
+# A split by a column with more values than this is taken for a mistake.
+MAX_CLASSES = 10_000
 
 # Columns of a labelling batch.
 BATCH_COLUMNS = (
@@ -75,9 +77,11 @@ def sample_n(df: DataFrame, n: int = SAMPLE_SIZE, seed: int = SEED, key: str = "
 def split_quotas(df: DataFrame, label: str = "label", test_share: float = TEST_SHARE) -> DataFrame:
     """Test rows per class: ceil(share * n) in all, shared out by largest remainder.
 
-    Ties go to the larger class. Takes one small job; there are as many rows as classes.
+    Ties go to the larger class. Takes one small job; there are as many rows as classes, and more than ``MAX_CLASSES`` are an error.
     """
-    sizes = {r[label]: r["n"] for r in df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
+    sizes = {r[label]: r["n"] for r in df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).limit(MAX_CLASSES + 1).collect()}
+    if len(sizes) > MAX_CLASSES:
+        raise ValueError(f"column {label} has more than {MAX_CLASSES} classes")
     total = sum(sizes.values())
     wanted = math.ceil(test_share * total)
     quotas = {c: wanted * n // total for c, n in sizes.items()}
