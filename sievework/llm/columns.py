@@ -152,17 +152,26 @@ def segment_sums(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 
 
 def add_columns(df: DataFrame, compute, fields: list[StructField], keep: list[str], text: str = "text") -> DataFrame:
-    """Columns ``keep`` of ``df`` and the arrays that ``compute(slice)`` returns, in one narrow stage."""
-    names = [*keep, *(field.name for field in fields)]
-    schema = StructType([*(df.schema[name] for name in keep), *fields])
+    """Columns ``keep`` of ``df`` and the arrays that ``compute(slice)`` returns, in one narrow stage.
+
+    A slice has the text and the columns that aren't kept under their names. Kept ones have numbers in there, as
+    Spark's Arrow functions take no name with a dot.
+    """
+    inner = [f"_kept{i}" for i in range(len(keep))]
+    others = [name for name in df.columns if name != text and name not in keep]
+    used = df.select(
+        *(F.col(quoted(name)).alias(alias) for name, alias in zip(keep, inner)), *(F.col(quoted(name)) for name in [text, *others])
+    )
+    names = [*inner, *(field.name for field in fields)]
+    schema = StructType([*(used.schema[name] for name in inner), *fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, text):
-            columns = [part.column(name) for name in keep]
+            columns = [part.column(name) for name in inner]
             yield pa.RecordBatch.from_arrays([*columns, *map(pa.array, compute(part))], names)
 
     ship(df.sparkSession)
-    return df.mapInArrow(run, schema)
+    return used.mapInArrow(run, schema).toDF(*keep, *(field.name for field in fields))
 
 
 def quoted(name: str) -> str:
@@ -170,6 +179,11 @@ def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def picked(df: DataFrame, names: Iterable[str]) -> DataFrame:
+    """The columns of these names, each once."""
+    return df.select(*(F.col(quoted(name)) for name in dict.fromkeys(names)))
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """``name``, with underscores in front until no column of ``df`` has it."""
     taken = {column.lower() for column in df.columns}

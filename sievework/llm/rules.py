@@ -108,8 +108,7 @@ def with_statistics(docs: DataFrame, keep: Sequence[str], prefix: str = "", text
         return [found[name].astype(np.int64) for name in (*COUNTS, *EXTRA)]
 
     fields = [StructField(prefix + name, LongType()) for name in (*COUNTS, *EXTRA)]
-    used = docs.select(*dict.fromkeys([*keep, text]))
-    return C.add_columns(used, compute, fields, list(keep), text)
+    return C.add_columns(C.picked(docs, [*keep, text]), compute, fields, list(keep), text)
 
 
 def ratios(prefix: str = "") -> dict[str, Column]:
@@ -264,7 +263,7 @@ def judge(docs: DataFrame, rules: Sequence[Rule], keep: Sequence[str] = ("doc_id
     for number, rule in enumerate(rules, 1):
         which = which.when(rule.column(), number)
     return with_statistics(docs, keep).select(
-        *keep, *COUNTS, base_failed().alias("base_failed"), kept(rules).alias("kept"), which.alias("rule")
+        *(F.col(C.quoted(name)) for name in keep), *COUNTS, base_failed().alias("base_failed"), kept(rules).alias("kept"), which.alias("rule")
     )
 
 
@@ -273,4 +272,4 @@ def filter_documents(docs: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     prefix = C.fresh(docs, "_quality_")
     while any(column.lower().startswith(prefix) for column in docs.columns):
         prefix = f"_{prefix}"
-    return with_statistics(docs, docs.columns, prefix).filter(kept(rules, prefix)).select(*docs.columns)
+    return C.picked(with_statistics(docs, docs.columns, prefix).filter(kept(rules, prefix)), docs.columns)
