@@ -2,8 +2,10 @@
 
 A text's tokens are tagged B (a secret begins), I (it goes on) or O, from the token's shape, its
 neighbours' words and characters, and features of the whole text. The field is trained on windows of
-a bounded sample of texts, tagged by the base patterns; in half of the windows the words
-around are hidden, so that shapes have to tell as well, and in a quarter values take another shape. Tags are decoded by Viterbi over whole texts.
+a bounded sample of texts: some around what the base patterns find, some around other long tokens, and some with an
+invented secret put between the words of a text (random letters and digits, bare, encoded, in parts, behind a prefix, as the
+password of an address), so that it learns forms that no pattern has. In half of the windows the words
+around are hidden, so that shapes have to tell as well. Tags are decoded by Viterbi over whole texts.
 
 Decoding cuts chains where it may: if O leads by more than twice the range of the transition
 weights, no best path has another tag there, whatever stands next to it. What remains between
@@ -22,6 +24,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import zlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -41,7 +44,7 @@ KINDS = ("assign", "access", "hex", "crf")
 
 # Texts that windows come from, about, and windows that the field is trained on, at most.
 SAMPLE_TEXTS = 20_000
-MAX_WINDOWS = 6_000
+MAX_WINDOWS = 7_200
 REACH = 12
 LEAST_TOKEN = 12
 WORD_BUCKETS = 1024
@@ -276,8 +279,61 @@ def train_field(windows: list[np.ndarray], tags: list[np.ndarray], steps: int =
     return field
 
 
+_LOWER, _DIGITS = "abcdefghijklmnopqrstuvwxyz", "0123456789"
+_MIXED = _LOWER + _LOWER.upper() + _DIGITS
+
+
+def invent(rng: np.random.Generator) -> tuple[str, str, str]:
+    """A secret of some form, and what stands right before and after it."""
+
+    def some(alphabet: str, low: int, high: int) -> str:
+        return "".join(alphabet[i] for i in rng.integers(0, len(alphabet), rng.integers(low, high + 1)))
+
+    def mixed(low: int, high: int, alphabet: str = _MIXED) -> str:
+        # A letter and a digit are always there.
+        return some(alphabet, low - 2, high - 2) + some(_LOWER, 1, 1) + some(_DIGITS, 1, 1)
+
+    before, after = [(" ", " "), (" ", "."), ('"', '"'), ("'", "'"), ("=", " "), (": ", ","), (" (", ")"), ("\n", "\n")][rng.integers(0, 8)]
+    form = rng.integers(0, 8)
+    if form == 0:
+        return mixed(16, 48), before, after
+    if form == 1:
+        return mixed(20, 64, _MIXED + "+/"), before, "=" * int(rng.integers(0, 3)) + after
+    if form == 2:
+        parts = [some(_LOWER, 2, 5) for _ in range(rng.integers(1, 3))]
+        joint = "_-"[rng.integers(0, 2)]
+        return joint.join([*parts, mixed(14, 40)]), before, after
+    if form == 3:
+        return mixed(13, 32), f" {some(_LOWER, 4, 8)}://{some(_LOWER, 3, 8)}:", f"@{some(_LOWER, 3, 8)}.{some(_LOWER, 2, 5)} "
+    if form == 4:
+        return ".".join(mixed(16, 40, _MIXED + "_-") for _ in range(3)), before, after
+    if form == 5:
+        return mixed(20, 40, _LOWER[:6] + _DIGITS).upper(), before, after
+    return mixed(16, 40, _LOWER + _DIGITS).upper(), before, after
+
+
+def _invented(data: np.ndarray, tokens: Tokens, low: int, high: int) -> tuple[np.ndarray, np.ndarray]:
+    """Features and tags of a window of a text (tokens ``low`` up to ``high``) with an invented secret in its middle."""
+    rng = np.random.default_rng(zlib.crc32(data[tokens.starts[low] : tokens.ends[high - 1]].tobytes()))
+    at = int(rng.integers(low, high))
+    begin, end = max(low, at - REACH), min(high, at + REACH)
+    secret, before, after = invent(rng)
+    head = data[tokens.starts[begin] : tokens.ends[at]].tobytes() + before.encode()
+    tail = after.encode() + (data[tokens.starts[at + 1] : tokens.ends[end - 1]].tobytes() if at + 1 < end else b"")
+    whole = np.frombuffer(head + secret.encode() + tail, np.uint8)
+    made = tokenize(whole, np.array([0, len(whole)]))
+    tags = np.zeros(len(made.starts), np.int64)
+    inside = np.flatnonzero((made.ends > len(head)) & (made.starts < len(head) + len(secret)))
+    tags[inside], tags[inside[:1]] = 2, 1
+    middle = int(inside[0])
+    window = slice(max(0, middle - REACH), middle + REACH + 1)
+    # What the text is like is known from the whole of it.
+    made.features[:, 6] = tokens.features[low, 6] // 2 * 2 + made.features[:, 6] % 2
+    return made.features[window], tags[window]
+
+
 def _training_windows(docs: DataFrame, text: str, sample_texts: int, max_windows: int):
-    """Windows around base spans and around the most secret-like other tokens of sampled texts."""
+    """Windows around base spans, around the most secret-like other tokens of sampled texts, and with invented secrets."""
     n = max(1, docs.count())
     draw = F.pmod(F.xxhash64(text), F.lit(1 << 30)) / float(1 << 30)
     sample = docs.filter(draw < min(1.0, sample_texts / n)).select(F.col(text).alias("text"))
@@ -316,35 +372,33 @@ def _training_windows(docs: DataFrame, text: str, sample_texts: int, max_windows
                 low = max(int(tokens.first[doc[centre]]), centre - REACH)
                 high = min(int(tokens.first[doc[centre] + 1]), centre + REACH + 1)
                 window = tokens.features[low:high]
-                rows.append((good, window.reshape(-1).tolist(), tags[low:high].tolist()))
+                rows.append((int(good), window.reshape(-1).tolist(), tags[low:high].tolist()))
+            for low, high in zip(tokens.first[:-1], tokens.first[1:]):
+                if high > low:
+                    window, tag = _invented(data, tokens, int(low), int(high))
+                    rows.append((2, window.reshape(-1).tolist(), tag.tolist()))
             if rows:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([r[0] for r in rows]), pa.array([r[1] for r in rows], pa.list_(pa.int32())), pa.array([r[2] for r in rows], pa.list_(pa.int32()))],
-                    ["good", "window", "tags"],
+                    [pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.list_(pa.int32())), pa.array([r[2] for r in rows], pa.list_(pa.int32()))],
+                    ["kind", "window", "tags"],
                 )
 
-    found = C.map_batches(sample, run, "good boolean, window array<int>, tags array<int>")
+    found = C.map_batches(sample, run, "kind int, window array<int>, tags array<int>")
     # Copies of a text bring the same windows; each counts once.
     found = found.distinct()
     order = F.xxhash64("window", "tags")
-    parts = [found.filter(F.col("good") == good).orderBy(order, "window", "tags").limit(max_windows // 2) for good in (True, False)]
-    return parts[0].unionByName(parts[1]).select("window", "tags").toArrow()
+    parts = [found.filter(F.col("kind") == kind).orderBy(order, "window", "tags").limit((max_windows + 2 - kind) // 3) for kind in range(3)]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).select("kind", "window", "tags").toArrow()
 
 
 def fit_field(docs: DataFrame, text: str = "text", sample_texts: int = SAMPLE_TEXTS, max_windows: int = MAX_WINDOWS) -> Field:
     rows = _training_windows(docs, text, sample_texts, max_windows)
     tags = [np.array(t, np.int64) for t in rows["tags"].to_pylist()]
     windows = [np.array(w, np.int64).reshape(len(t), len(SIZES)) for w, t in zip(rows["window"].to_pylist(), tags)]
-    if not any(t.any() for t in tags):
+    if not any(t.any() and kind == 1 for t, kind in zip(tags, rows["kind"].to_pylist())):
         return train_field([], [])
     for i in range(0, len(windows), 2):
         windows[i][:, HIDDEN] = 0
-    # The base patterns know hexadecimal values best; some long ones become mixed-case, of any longer length.
-    for i, (window, tag) in enumerate(zip(windows[::4], tags[::4])):
-        long = (tag > 0) & (window[:, 6] % 2 == 1)
-        size = 4 + i % 4
-        window[long, 0] = size * 64 + 0b000111 + 0b001000 * (i // 4 % 2)
-        window[long, 1] = size * 8 + 5 + i // 8 % 3
     return train_field(windows, tags)
 
 
@@ -432,12 +486,15 @@ def scan(docs: DataFrame, field: Field, keep: list[str], text: str = "text") ->
 
     fields = [StructField(name, LongType()) for name in ("n_assign", "n_access", "n_hex")]
     fields += [StructField("base_sha256", StringType()), StructField("spans", StringType()), StructField("n_crf", LongType())]
-    return C.add_columns(docs.select(*dict.fromkeys([*keep, text])), compute, fields, keep, text)
+    return C.add_columns(C.picked(docs, [*keep, text]), compute, fields, keep, text)
 
 
 def redact(docs: DataFrame, field: Field, text: str = "text", mark: str = "[SECRET]") -> DataFrame:
     """``docs`` with every span (overlapping ones as one) replaced by ``mark``; null texts stay null."""
     shared = docs.sparkSession.sparkContext.broadcast(field)
+    # Numbers for names, as Spark's Arrow functions take no name with a dot.
+    numbered = docs.toDF(*(f"_c{i}" for i in range(len(docs.columns))))
+    text = f"_c{docs.columns.index(text)}"
 
     def run(batches):
         for part in C.slices(batches, text):
@@ -458,4 +515,4 @@ def redact(docs: DataFrame, field: Field, text: str = "text", mark: str = "[SECR
                 part = part.set_column(column, text, pa.array(texts, part.schema.field(text).type))
             yield part
 
-    return C.map_batches(docs, run, docs.schema)
+    return C.map_batches(numbered, run, numbered.schema).toDF(*docs.columns)

@@ -1,7 +1,9 @@
+import base64
 import hashlib
 import itertools
 import random
 import re
+import string
 
 import numpy as np
 import pyarrow as pa
@@ -10,6 +12,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from sievework.llm import columns, secrets
+from sievework.llm.columns import held_out
 
 NAMES = ("password", "passwd", "secret", "token", "api_key", "apikey")
 EITHER = "|".join("".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in name) for name in NAMES)
@@ -151,3 +154,55 @@ def test_copies_bring_their_windows_once(spark):
     found = secrets._training_windows(docs, "text", 20_000, 40)
     windows = [(tuple(w), tuple(t)) for w, t in zip(found["window"].to_pylist(), found["tags"].to_pylist())]
     assert len(windows) == 40 and len(set(windows)) == len(windows)
+
+
+def planted(form, rng):
+    """What stands before a secret, the secret, and what follows."""
+    def some(n, alphabet=string.ascii_letters + string.digits):
+        return "".join(rng.choice(alphabet) for _ in range(n - 2)) + "x7"
+
+    return {
+        "bare": lambda: ("", some(32), ""),
+        "bearer": lambda: ("Bearer ", some(32), ""),
+        "credential": lambda: ("credential: ", some(32), ""),
+        "ghp": lambda: ("", "ghp_" + some(36), ""),
+        "sk_live": lambda: ("", "sk_live_" + some(24), ""),
+        "url": lambda: ("postgres://admin:", some(16), "@db.internal/x"),
+        "base64": lambda: ("", base64.b64encode(rng.randbytes(30)).decode(), ""),
+    }[form]()
+
+
+@pytest.mark.parametrize("sf, least", [("sf0.01", 0.8), ("sf0.1", 0.9)])
+def test_recall_of_planted_secrets(spark, sf, least):
+    """The field learns from rows that are not held out; secrets of several forms are put into the held-out ones."""
+    docs = spark.read.parquet(f"/root/testdata/{sf}/documents.parquet").filter("text is not null")
+    field = secrets.fit_field(docs.filter(~held_out()))
+    texts = [r.text for r in docs.filter(held_out()).orderBy("doc_id").limit(300).collect()]
+    alarms = [[s for s in spans if s[1] == 3] for spans in secrets.find_spans(*bytes_of(texts), field)]
+    assert sum(map(bool, alarms)) <= 0.01 * len(texts)
+    rng = random.Random(5)
+    for form in ("bare", "bearer", "credential", "ghp", "sk_live", "url", "base64"):
+        rows, places = [], []
+        for text in texts:
+            words = text.split(" ")
+            at = rng.randrange(len(words))
+            before, secret, after = planted(form, rng)
+            head = " ".join([*words[:at], before]).encode()
+            places.append((len(head), len(head) + len(secret.rstrip("="))))
+            rows.append(head.decode() + secret + after + " " + " ".join(words[at:]))
+        found = secrets.find_spans(*bytes_of(rows), field)
+        whole = sum(
+            set(range(start, end)) <= {b for s, _, e in spans for b in range(max(s, start), min(e, end))}
+            for (start, end), spans in zip(places, found)
+        )
+        assert whole >= least * len(rows), form
+
+
+def test_invented_secrets_are_in_their_windows():
+    data, offsets = bytes_of([t for _, t in corpus(20)])
+    tokens = secrets.tokenize(data, offsets)
+    for low, high in zip(tokens.first[:-1], tokens.first[1:]):
+        window, tags = secrets._invented(data, tokens, int(low), int(high))
+        assert len(window) == len(tags) <= 2 * secrets.REACH + 1 and (tags == 1).sum() == 1
+        again = secrets._invented(data, tokens, int(low), int(high))
+        assert (again[0] == window).all() and (again[1] == tags).all()
