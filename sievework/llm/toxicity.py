@@ -6,8 +6,10 @@
   fires in each class (its accuracy); from the posteriors follow the correlations of voters within a class,
   the strongest of which are kept as a tree per class (Chow-Liu), and EM goes on with the tree. It
   reads the votes of all rows that may be learned from, as counts of masks: at most 2**VOTERS rows.
-* The linear classifier is a logistic regression on hashed words and votes, fitted to the posterior
-  labels of a bounded sample.
+* The linear classifier is a logistic regression on hashed words and votes, fitted to the posteriors of at most
+  ``max_labelled`` rows. Labels reach it through lexicons and label model only.
+
+Lexicon words are counted in all labelled rows that are not held out, and votes in all rows that are not.
 
 A null text counts as empty. A text without words scores what its votes and the intercept say. Rows
 are scored on their own: repeated rows get equal scores and an empty table gives an empty result.
@@ -31,9 +33,10 @@ from sievework.session import stored
 
 VOTERS = 16
 LEARNED_GROUPS = 8
-# Labelled rows, and other rows, that lexicons and classifier are fitted on, at most.
-MAX_LABELLED = 16_000
-MAX_OTHERS = 6_000
+# Labelled rows that the classifier is fitted on, at most.
+MAX_LABELLED = 20_000
+# Words of the learned lexicons, at most: those of largest z-score.
+LEXICON_WORDS = 512
 FEATURE_BITS = 18
 PRIOR = 0.1
 STEM_BYTES = 6
@@ -243,7 +246,7 @@ def _word_counts(labelled: DataFrame) -> DataFrame:
     return found.groupBy("hash").agg(F.min("word").alias("word"), F.sum("n").alias("n"), F.sum("n_toxic").alias("n_toxic"))
 
 
-def learn_lexicons(labelled: DataFrame, least_z: float = 4.0, most: int = 512) -> dict[int, int]:
+def learn_lexicons(labelled: DataFrame, least_z: float = 4.0, most: int = LEXICON_WORDS) -> dict[int, int]:
     """Words that go with the label (z-score of the log odds), dealt over the groups by rank."""
     n, n_toxic = labelled.agg(F.count("*"), F.coalesce(F.sum("_toxic"), F.lit(0))).first()
     if not n_toxic or n_toxic == n:
@@ -265,15 +268,9 @@ def _features(found, n: int, masks: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 
 
 def one_text(labelled: DataFrame) -> DataFrame:
-    """Stored ``_key``, ``text`` and ``_toxic``: of a key's texts the one of least hash, picked by partial aggregation.
-
-    Only hashes are aggregated; a copy of the picked text stands in as many rows as it has, so those are told apart once more.
-    """
-    hashed = labelled.withColumn("_hash", F.xxhash64("text"))
-    least = hashed.groupBy("_key").agg(F.min("_hash").alias("_hash"))
-    picked = hashed.join(F.broadcast(least), ["_key", "_hash"])
-    # Partial aggregation leaves one copy per task before anything is shuffled.
-    return stored(picked.groupBy("_key", "_hash", "_toxic").agg(F.min("text").alias("text")).select("_key", "text", "_toxic"))
+    """Stored ``_key``, ``text`` and ``_toxic``: of a key's texts the one of least hash; each task keeps one before anything is shuffled."""
+    least = F.min_by("text", F.struct(F.xxhash64("text"), F.length("text"))).alias("text")
+    return stored(labelled.groupBy("_key", "_toxic").agg(least))
 
 
 def fit_toxicity(
@@ -283,7 +280,6 @@ def fit_toxicity(
     text: str = "text",
     label: str = "toxic",
     max_labelled: int = MAX_LABELLED,
-    max_others: int = MAX_OTHERS,
 ) -> ToxicityModel:
     """Lexicons, label model and classifier from the rows that are not held out."""
     named = docs.select(F.col(key).alias("_key"), F.coalesce(F.col(text), F.lit("")).alias("text")).filter(~C.held_out("_key"))
@@ -291,9 +287,8 @@ def fit_toxicity(
         labels.filter(F.col(key).isNotNull() & F.col(label).isNotNull() & ~C.held_out(key))
         .groupBy(F.col(key).alias("_key")).agg(F.max((F.col(label) == 1).cast("int")).alias("_toxic"))
     )
-    chosen = known.orderBy(F.xxhash64("_key", F.lit("toxic")), "_key").limit(max_labelled)
-    # At most ``max_labelled`` pairs of key and label, and a text for each: a key's other rows could be any number.
-    labelled = one_text(named.join(F.broadcast(chosen), "_key"))
+    # A key's rows could be any number: it is one labelled text.
+    labelled = one_text(named.join(known, "_key"))
     lexicons = Lexicons(learn_lexicons(labelled))
 
     def vote(batches):
@@ -318,19 +313,15 @@ def fit_toxicity(
             order = np.argsort(rows, kind="stable")
             bounds = np.searchsorted(rows[order], np.arange(n + 1)).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(bounds), pa.array(numbers[order].astype(np.int32)))
-            yield pa.RecordBatch.from_arrays([part.column("_toxic"), pa.array(mask), lists], ["_toxic", "_mask", "_features"])
-
-    n_named = max(1, int(counted["count"].to_numpy().sum()))
-    share = min(1.0, max_others / n_named)
-    draw = F.pmod(F.xxhash64("_key", F.lit("others")), F.lit(1 << 30)) / float(1 << 30)
-    others = named.filter(draw < share).join(F.broadcast(chosen), "_key", "left_anti").withColumn("_toxic", F.lit(-1)).limit(2 * max_others)
-    sample = labelled.unionByName(others).select("text", "_toxic")
-    rows = C.map_batches(sample, features, "_toxic int, _mask bigint, _features array<int>").toArrow()
+            yield pa.RecordBatch.from_arrays([pa.array(mask), lists], ["_mask", "_features"])
+
+    chosen = labelled.select("_key").orderBy(F.xxhash64("_key", F.lit("toxic")), "_key").limit(max_labelled)
+    sample = labelled.join(F.broadcast(chosen), "_key").select("text")
+    rows = C.map_batches(sample, features, "_mask bigint, _features array<int>").toArrow()
     width = (1 << FEATURE_BITS) + VOTERS
     if not rows.num_rows:
         return ToxicityModel(lexicons, label_model, np.zeros(width), float(np.log(PRIOR / (1 - PRIOR))))
-    known_labels = rows["_toxic"].to_numpy()
-    target = np.where(known_labels >= 0, known_labels, label_model.posterior(rows["_mask"].to_numpy()))
+    target = label_model.posterior(rows["_mask"].to_numpy())
     lists = rows["_features"].combine_chunks()
     sizes = lists.value_lengths().to_numpy()
     weights, bias = fit_linear(np.repeat(np.arange(len(sizes)), sizes), lists.flatten().to_numpy(), target, width)
@@ -354,4 +345,4 @@ def score(docs: DataFrame, model: ToxicityModel, keep: list[str], text: str = "t
         StructField("score", DoubleType()), StructField("predicted", IntegerType()),
         StructField("votes", LongType()), StructField("posterior", DoubleType()),
     ]
-    return C.add_columns(docs.select(*dict.fromkeys([*keep, text])), compute, fields, keep, text)
+    return C.add_columns(C.picked(docs, [*keep, text]), compute, fields, keep, text)

@@ -1,3 +1,5 @@
+import re
+
 import numpy as np
 import pyarrow as pa
 
@@ -34,6 +36,53 @@ def test_terms_are_distinct_lower_case_words_and_stems():
     assert fool[2] in hashes[doc == 3] and (doc == 3).sum() == 2
 
 
+def test_posterior_is_that_of_the_trees(spark):
+    """Posteriors of all masks, against the product of each voter's probability given its parent, written out."""
+    rng = np.random.default_rng(5)
+    parents = np.stack([[-1, *(rng.integers(-1, j) for j in range(1, toxicity.VOTERS))] for _ in (0, 1)])
+    model = toxicity.LabelModel(0.2, parents, rng.uniform(0.05, 0.95, (2, toxicity.VOTERS, 2)))
+    masks = np.arange(1 << toxicity.VOTERS)
+    joint = np.empty((2, len(masks)))
+    for i, mask in enumerate(masks):
+        if i % 97:
+            continue
+        votes = [mask >> j & 1 for j in range(toxicity.VOTERS)]
+        for y in (0, 1):
+            p = (0.8, 0.2)[y]
+            for j in range(toxicity.VOTERS):
+                fires = model.rates[y, j, votes[parents[y, j]] if parents[y, j] >= 0 else 0]
+                p *= fires if votes[j] else 1 - fires
+            joint[y, i] = p
+    at = masks[::97]
+    assert np.allclose(model.posterior(at), joint[1, at] / joint[:, at].sum(axis=0))
+
+
+def test_votes_against_plain_python(edge_rows):
+    lexicons = toxicity.Lexicons({int(h): k for k, h in enumerate(toxicity.hash_words(["river", "straße", "maps"]))})
+    texts = [r[1] or "" for r in edge_rows] + ["YOU IDIOT!!!", "maps ??? river", "99 ** 12 #%", "Trash-talk", "you're"]
+    masks = toxicity.votes(toxicity.terms(pa.array(texts)), len(texts), lexicons)
+    lists = [{"river"}, {"straße"}, {"maps"}] + [set()] * 5 + [set(toxicity.INSULTS), set(toxicity.ADDRESS)]
+    for text, mask in zip(texts, masks.tolist()):
+        words = set(re.findall(r"[a-z\x80-\U0010ffff]+", re.sub("[A-Z]", lambda m: m[0].lower(), text)))
+        size = max(1, len(text.encode()))
+        share = [sum(text.count(c) for c in chars) / size for chars in ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "!", "?", "*", "0123456789", "#$%&@")]
+        expected = [bool(words & listed) for listed in lists] + [s > least for s, least in zip(share, (0.3, 0.005, 0.005, 0.005, 0.05, 0.05))]
+        assert [bool(mask >> j & 1) for j in range(toxicity.VOTERS)] == expected, text
+
+
+def test_classifier_learns_posteriors_only(spark, monkeypatch):
+    """Targets are the label model's, whatever the labels of the rows say."""
+    rows = [(i, f"stupid idiot number{i}" if i % 4 == 0 else f"calm words number{i}") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    labels = spark.createDataFrame([(i, int(i % 4 == 0) if i % 40 else 0) for i in range(400)], "doc_id bigint, toxic int")
+    seen = []
+    fit = toxicity.fit_linear
+    monkeypatch.setattr(toxicity, "fit_linear", lambda rows, features, target, width: seen.append(target) or fit(rows, features, target, width))
+    model = toxicity.fit_toxicity(docs, labels)
+    masks = {r.votes: r.posterior for r in toxicity.score(docs, model, ["doc_id"]).collect()}
+    assert np.isin(np.round(seen[0], 12), np.round(list(masks.values()), 12)).all() and len(set(seen[0])) <= len(masks)
+
+
 def test_held_out_accuracy(spark):
     d = "/root/testdata/sf0.1"
     docs, labels = spark.read.parquet(f"{d}/documents.parquet"), spark.read.parquet(f"{d}/labels.parquet")
