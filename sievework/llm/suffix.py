@@ -29,7 +29,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sievework.llm import columns as C
@@ -39,6 +39,8 @@ WIDTH = 100
 GRAM = 32
 # Contexts of a shard, about; an anchor with more different ones is dealt over several shards.
 SHARD_CONTEXTS = 4_000
+# Rows that one task makes of a row that occurs very often.
+COPIES_PER_TASK = 100_000
 _SYMBOLS = 7
 
 
@@ -299,8 +301,8 @@ def _merge(rows: pa.Table) -> pa.Table:
     order = np.lexsort([rows[c].to_numpy(zero_copy_only=False) for c in ("_start", "_h1", "_key", "_missing")])
     place = np.empty(len(order), np.int64)
     place[order] = np.arange(len(order))
-    windows = np.array(rows["_window"].to_pylist(), dtype=f"S{WIDTH + 1}")  # one more byte, so that zeros at the end count
     shard = rows["_shard"].to_numpy()
+    # One more byte, so that zeros at the end count.
     windows = np.array([w + b"\x01" for w in rows["_window"].to_pylist()], dtype=f"S{WIDTH + 1}")
     merged, least = np.zeros(0, windows.dtype), np.zeros(0, np.int64)
     for s in np.unique(shard):
@@ -410,10 +412,23 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", sha
     rows = _named(docs, key, text).join(told, ["_h1", "_h2"], "left")
     is_first = F.col("_first").isNull() | F.col("_key").eqNullSafe(F.col("_first.key"))
     several = is_first & F.coalesce(F.col("_first.n") > 1, F.lit(False))
-    # Equal rows with the first key: all but one are copies.
-    number = F.row_number().over(Window.partitionBy("_h1", "_h2").orderBy("_key"))
     plain = rows.filter(~several).withColumn("_copy", ~is_first)
-    ranked = rows.filter(several).withColumn("_copy", number > 1)
-    all_rows = plain.unionByName(ranked).select("_key", "text", "_copy", "_lost")
+    # Equal rows with the first key: one stays and is looked at, whatever their number; the others lose all their bytes.
+    one = stored(
+        rows.filter(several).groupBy("_h1", "_h2")
+        .agg(F.first("_key").alias("_key"), F.first("text").alias("text"), F.first("_lost").alias("_lost"), F.first("_first.n").alias("_times")),
+        compression="zstd",
+    )
+    all_rows = plain.select("_key", "text", "_copy", "_lost").unionByName(one.select("_key", "text", F.lit(False).alias("_copy"), "_lost"))
     digests = C.map_batches(all_rows, _cut, "_key bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string")
-    return digests.withColumnRenamed("_key", key)
+    return digests.unionByName(_copies_of(one)).withColumnRenamed("_key", key)
+
+
+def _copies_of(one: DataFrame) -> DataFrame:
+    """The digests of the ``_times`` - 1 further copies of each row, made in blocks that go to different tasks."""
+    size, more = F.octet_length("text").cast("bigint"), F.col("_times") - 1
+    blocks = one.select("_h1", "_key", size.alias("n_bytes"), more.alias("_more"), F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((more - 1) / COPIES_PER_TASK))).alias("_part"))
+    here = F.least(F.lit(COPIES_PER_TASK), F.col("_more") - F.col("_part") * COPIES_PER_TASK).cast("int")
+    return blocks.repartition("_h1", "_part").select(
+        "_key", "n_bytes", F.explode(F.array_repeat(F.lit(1).cast("bigint"), here)).alias("n_spans")
+    ).select("_key", "n_bytes", F.col("n_bytes").alias("n_removed"), "n_spans", F.sha2(F.lit("").cast("binary"), 256).alias("kept_sha256"))

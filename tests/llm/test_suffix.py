@@ -52,6 +52,15 @@ def test_matches_brute_force(spark, shard):
     assert run(spark, rows, shard_contexts=shard) == brute(rows)
 
 
+def test_a_third_of_the_rows_are_one_row(spark, monkeypatch):
+    monkeypatch.setattr(suffix, "COPIES_PER_TASK", 7)
+    hot = "the same long line again " * 6
+    rows = [(5, hot)] * 200 + [(7, hot)] * 30 + [(3, "x" + hot), (9, hot[:120])] + [(i, f"{i} " * 60) for i in range(100, 300)]
+    assert run(spark, rows) == brute(rows)
+    rows = [(None, hot)] * 40 + [(8, hot[10:])]
+    assert run(spark, rows) == brute(rows)
+
+
 def test_edge_rows(edge_docs, edge_rows, empty_docs):
     found = suffix.remove_repeats(edge_docs).collect()
     got = sorted((str(r.doc_id), r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in found)
