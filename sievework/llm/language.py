@@ -9,7 +9,10 @@ rows: first under equal piece probabilities, then under those of the first pass.
 pass's counts are kept per language.
 
 Words are scored in numpy, all words of a length class at once, and each distinct word of a
-partition once. A run of more than ``LONGEST`` letters is scored in parts, all of which count.
+partition once. A run of more than ``LONGEST`` letters, as in text without spaces, is cut into parts that are worked on at
+once: what a part makes of the forward values before it is a matrix, and the matrices of a run are applied one after
+the other, so its score too is the sum over all its segmentations. (Fitting learns from such a run in stretches of
+``LONGEST`` letters.)
 
 A null text, or one without a letter, is ``und`` with score 0. Ties go to the language that comes
 first by name. Rows are scored on their own, so repeated rows get equal results and an empty table
@@ -35,7 +38,11 @@ SAMPLE_PER_LANGUAGE = 4_000
 # Languages that are counted or scored at once; there can be any number of them.
 LANGUAGES_AT_ONCE = 16
 LONGEST = 32
+# Parts of long runs that are worked on at once.
+PARTS_AT_ONCE = 256
 MARK = "▁"
+# In front of a stretch that goes on with a run, in place of the word mark.
+GOES_ON = "\0"
 UNKNOWN = 1e-7
 PER_LETTER = 32.0
 _LETTERS = regex.compile(r"\p{L}+")
@@ -68,7 +75,7 @@ def load_pieces(path: str) -> Pieces:
     model = sentencepiece.SentencePieceProcessor(model_file=path)
     named = {model.id_to_piece(i) for i in range(model.get_piece_size()) if not model.is_control(i) and not model.is_byte(i)}
     wanted = regex.compile(rf"{MARK}?\p{{L}}*")
-    pieces = sorted(p for p in named if p and wanted.fullmatch(p) and p == p.lower() and len(p) <= 14)
+    pieces = sorted(p for p in named if p and wanted.fullmatch(p) and p == p.lower())
     hashes = np.array([_text_hash(p) for p in pieces], np.uint64)
     size = 1 << _SLOT_BITS
     keys, numbers, probes = np.zeros(size, np.uint64), np.full(size, -1, np.int64), 1
@@ -116,13 +123,14 @@ def _find_text(pieces: Pieces, text: str) -> int:
 
 def _length_classes(words: list[str]):
     """Words by length class: positions of the words, their letters (padded) and lengths, mark included."""
-    lengths = np.fromiter(map(len, words), np.int64, len(words)) + 1
+    words = [word[1:] if word[0] == GOES_ON else MARK + word for word in words]
+    lengths = np.fromiter(map(len, words), np.int64, len(words))
     for low, high in ((0, 4), (4, 6), (6, 8), (8, 11), (11, 16), (16, LONGEST + 1)):
         chosen = np.flatnonzero((lengths > low) & (lengths <= high))
         for begin in range(0, len(chosen), 20_000):
             at = chosen[begin : begin + 20_000]
             n = lengths[at]
-            flat = np.frombuffer("".join(MARK + words[i] for i in at).encode("utf-32-le"), np.uint32)
+            flat = np.frombuffer("".join(words[i] for i in at).encode("utf-32-le"), np.uint32)
             letters = np.zeros((len(at), high), np.uint64)
             letters[np.arange(high)[None] < n[:, None]] = flat
             yield at, letters.T.copy(), n
@@ -162,6 +170,55 @@ def word_scores(pieces: Pieces, probabilities: np.ndarray, words: list[str]) ->
                 forward[end, inside] += forward[begin, inside] * (some[number] * PER_LETTER ** (end - begin))
             whole = np.maximum(forward[lengths, np.arange(len(at))], 1e-300)
             scores[at, low : low + LANGUAGES_AT_ONCE] = np.log(whole) - (lengths * np.log(PER_LETTER))[:, None]
+    long = [i for i, word in enumerate(words) if len(word) > LONGEST]
+    if long:
+        scores[long] = long_scores(pieces, probabilities, [words[i] for i in long])
+    return scores
+
+
+def _part_matrices(pieces: Pieces, windows: np.ndarray, some: np.ndarray) -> np.ndarray:
+    """Forward values at all places of parts (columns of ``windows``), for a one at each of the last places before a part.
+
+    The letters before a part are the first ``longest`` rows; axes: place, place of the one, part, language.
+    """
+    reach = pieces.longest
+    values = np.zeros((len(windows) + 1, reach, windows.shape[1], some.shape[1]))
+    values[np.arange(1, reach + 1), np.arange(reach)] = 1.0
+    for begin, end, inside, number in _segments(pieces, windows, np.full(windows.shape[1], len(windows))):
+        if begin and end > reach and len(inside):
+            values[end][:, inside] += values[begin][:, inside] * (some[number] * PER_LETTER ** (end - begin))
+    return values
+
+
+def long_scores(pieces: Pieces, probabilities: np.ndarray, words: list[str]) -> np.ndarray:
+    """As :func:`word_scores`, for words of any length, part by part."""
+    reach = pieces.longest
+    scores = np.zeros((len(words), probabilities.shape[1]))
+    lengths = [len(word) + 1 for word in words]
+    padded = [
+        np.concatenate([
+            np.zeros(reach, np.uint64), np.frombuffer((MARK + word).encode("utf-32-le"), np.uint32).astype(np.uint64), np.zeros(-n % LONGEST, np.uint64)
+        ])
+        for word, n in zip(words, lengths)
+    ]
+    parts = [(w, p) for w, n in enumerate(lengths) for p in range(-(-n // LONGEST))]
+    for low in range(0, probabilities.shape[1], LANGUAGES_AT_ONCE):
+        some = probabilities[:, low : low + LANGUAGES_AT_ONCE]
+        state = logs = None
+        for first in range(0, len(parts), PARTS_AT_ONCE):
+            batch = parts[first : first + PARTS_AT_ONCE]
+            windows = np.stack([padded[w][p * LONGEST : (p + 1) * LONGEST + reach] for w, p in batch], axis=1)
+            values = _part_matrices(pieces, windows, some)
+            for k, (w, p) in enumerate(batch):
+                if p == 0:
+                    state, logs = np.zeros((reach, some.shape[1])), np.zeros(some.shape[1])
+                    state[-1] = 1.0
+                size = min(LONGEST, lengths[w] - p * LONGEST)
+                state = np.einsum("oil,il->ol", values[size + 1 : size + reach + 1, :, k], state)
+                total = state.sum(axis=0)
+                state, logs = state / total, logs + np.log(total)
+                if p * LONGEST + size == lengths[w]:
+                    scores[w, low : low + LANGUAGES_AT_ONCE] = logs + np.log(state[-1]) - lengths[w] * np.log(PER_LETTER)
     return scores
 
 
@@ -187,10 +244,14 @@ def expected_counts(pieces: Pieces, probability: np.ndarray, words: list[str], w
 
 
 def _runs(word: str) -> list[str]:
-    found = []
-    for run in _LETTERS.findall(word.lower()):
-        found.extend(run[i : i + LONGEST] for i in range(0, len(run), LONGEST))
-    return found
+    return _LETTERS.findall(word.lower())
+
+
+def _stretches(word: str) -> list[str]:
+    """Runs of letters in stretches of at most ``LONGEST``; only the first of a run gets a word mark."""
+    return [
+        (GOES_ON if i else "") + run[i : i + LONGEST] for run in _runs(word) for i in range(0, len(run), LONGEST)
+    ]
 
 
 def _distinct_words(column: pa.Array):
@@ -234,7 +295,7 @@ def _sample_counts(sample: DataFrame, pieces: Pieces, languages: list[str], prob
             for pair, times in zip(pairs.tolist(), uses.tolist()):
                 i, (group, column) = pair // len(languages), divmod(pair % len(languages), LANGUAGES_AT_ONCE)
                 if i != last:
-                    last, found = i, _runs(data[starts[i] : ends[i]].tobytes().decode())
+                    last, found = i, _stretches(data[starts[i] : ends[i]].tobytes().decode())
                 words = counted.setdefault(group, {})
                 for piece in found:
                     have = words.get(piece)
@@ -340,5 +401,5 @@ def identify(docs: DataFrame, model: LanguageModel, keep: list[str], text: str =
         return [names[best].tolist(), score, runs]
 
     fields = [StructField("lang_pred", StringType()), StructField("score", DoubleType()), StructField("n_runs", LongType())]
-    used = docs.select(*dict.fromkeys([*keep, text]))
+    used = C.picked(docs, [*keep, text])
     return C.add_columns(used, compute, fields, keep, text)
