@@ -2,17 +2,19 @@
 
 Everything is column expressions; there is no Python code on the executors.
 
-* Sizes are words per document, counted once and stored without the text.
+* Sizes are words per document. They are counted twice: once for budgets, for which source, size and draw are stored
+  without the text, and once where the rows are given out.
 * Each row draws ``-ln(u) / weight`` from a hash of its key, where ``weight`` is a quality weight.
   Rows with the smallest draws come first. A source's target is met by as many complete epochs
   as fit, then by rows in that order until the budget ends; the row at the edge gives only the
   words that are left, so each source meets its target to the word.
-* The order within a source is never sorted in one place: draws are cut into slices, slices are
-  summed, and only the slice in which a budget ends is sorted.
+* The order within a source is never sorted in one place: draws are cut into slices, slices are summed, the slice in
+  which a budget ends is cut and summed once more, and only the part of it in which the budget ends is sorted: at most
+  about four millionths of a source.
 
-A null text has size 0; a null source is a source of its own, the last one. Equal documents draw
-by key, and repeated rows (same key) are told apart by a row number of the stored table. Columns
-other than key, text and source are not read. An empty table gives an empty result.
+A null text has size 0; a null source is a source of its own, the last one. Rows draw by key, so rows that share a key
+share their draw and follow each other in order of a hash of their texts; where a budget ends among them, they are sorted
+together. Columns other than key, text and source are not read. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -28,7 +30,8 @@ from sievework.session import stored
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5.0, 2.0, 1.0)
 MAX_EPOCHS = 3
-SLICES = 4096
+# Slices of draws, each of 1 / STEPS, and parts of a slice. Less than one draw in a million is beyond the last slice.
+SLICES, STEPS, PARTS = 4096, 64, 4096
 
 
 def quality_weight(text: Column | str, words: Column) -> Column:
@@ -39,14 +42,16 @@ def quality_weight(text: Column | str, words: Column) -> Column:
 
 
 def measured(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
-    """``docs`` with ``_size``, ``_draw`` in (0, 1), ``_slice`` of the draw and ``_tie``, a hash of the text."""
+    """``docs`` with ``_size``, ``_draw``, its ``_slice`` and ``_part_of`` the slice, and ``_tie``, a hash of the text."""
     words = F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("bigint")
-    # 53 bits of the hash as a number in (0, 1); 1 - u**(1/w) grows as -ln(u) / w does.
-    bits = F.shiftrightunsigned(F.xxhash64(F.col(key), F.lit("mix")), 11).cast("double")
-    uniform = (bits + 0.5) / F.lit(float(1 << 53))
-    draw = 1 - F.pow(uniform, 1 / F.coalesce(quality_weight(text, words), F.lit(0.25)))
+    # 52 bits of the hash as a number in (0, 1).
+    digest = F.md5(F.concat(F.lit("mix-"), F.coalesce(F.col(key).cast("string"), F.lit(""))))
+    uniform = (F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") + 0.5) / F.lit(float(1 << 52))
+    draw = -F.ln(uniform) / F.coalesce(quality_weight(text, words), F.lit(0.25))
     drawn = docs.withColumns({"_size": words, "_draw": draw, "_tie": F.xxhash64(text)})
-    return drawn.withColumn("_slice", F.least(F.floor(F.col("_draw") * SLICES), F.lit(SLICES - 1)).cast("int"))
+    at = F.least(F.col("_draw") * STEPS, F.lit(SLICES - 1.0))
+    part = F.least(F.floor((at - F.floor(at)) * PARTS), F.lit(PARTS - 1))
+    return drawn.withColumns({"_slice": F.floor(at).cast("int"), "_part_of": part.cast("int")})
 
 
 def source_targets(sums: DataFrame, weights: Sequence[float] = WEIGHTS, most: float = MAX_EPOCHS) -> DataFrame:
@@ -76,27 +81,36 @@ def source_targets(sums: DataFrame, weights: Sequence[float] = WEIGHTS, most: fl
     return table.select("_source", "source_size", target.alias("target"))
 
 
+def _where_it_ends(sums: DataFrame, budgets: DataFrame, place: str, cut: str, left: str) -> DataFrame:
+    """``budgets`` (``_in``, ``_budget``) with the first ``place`` that exceeds the budget (null: none does) and what is ``left`` for it."""
+    upto = Window.partitionBy("_source").orderBy(place).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ends = sums.withColumn("_upto", F.sum("_n").over(upto))
+    over = ends.join(budgets.select("_in", "_budget"), F.col("_source").eqNullSafe(F.col("_in"))).filter(F.col("_upto") > F.col("_budget"))
+    edge = F.min(F.struct(place, (F.col("_budget") - F.col("_upto") + F.col("_n")).alias("_left"))).alias("_edge")
+    first = over.groupBy(F.col("_in").alias("_of")).agg(edge).select("_of", F.col(f"_edge.{place}").alias(cut), F.col("_edge._left").alias(left))
+    return budgets.join(first, F.col("_in").eqNullSafe(F.col("_of")), "left").drop("_of")
+
+
 def budgets(sized: DataFrame, source: str) -> DataFrame:
-    """Per source: ``source_size``, ``target``, ``epochs``, the slice ``_cut`` the fraction ends in, ``_left`` for it."""
-    sums = stored(sized.groupBy(F.col(source).alias("_source"), "_slice").agg(F.sum("_size").alias("_n")))
-    plan = source_targets(sums).withColumn(
+    """Per source: ``source_size``, ``target``, ``epochs``, the slice ``_cut`` and its part ``_cut_part`` that the fraction ends in, ``_left`` for it."""
+    narrow = stored(sized.select(F.col(source).alias("_source"), "_slice", "_part_of", "_size"))
+    sums = stored(narrow.groupBy("_source", "_slice").agg(F.sum("_size").alias("_n")))
+    plan = source_targets(sums).withColumnRenamed("_source", "_in").withColumn(
         "epochs",
         F.when(F.col("source_size") > 0, F.least(F.floor(F.col("target") / F.col("source_size")), F.lit(MAX_EPOCHS)))
         .otherwise(0).cast("bigint"),
     )
     rest = F.floor(F.col("target") + 1e-6) - F.col("epochs") * F.col("source_size")
     plan = plan.withColumn("_budget", F.greatest(rest, F.lit(0)).cast("bigint"))
-    upto = Window.partitionBy("_source").orderBy("_slice").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    same = F.col("p._source").eqNullSafe(F.col("s._source"))
-    ends = sums.withColumn("_upto", F.sum("_n").over(upto)).alias("s")
-    left = F.col("_budget") - F.col("_upto") + F.col("_n")
-    # Stored, so that Spark knows its size when it plans the join with the documents.
-    return stored(
-        plan.alias("p").join(ends, same & (F.col("s._upto") > F.col("p._budget")), "left")
-        .groupBy(F.col("p._source").alias("_in"), "source_size", "target", "epochs")
-        .agg(F.min(F.struct("_slice", left.alias("_left"))).alias("_edge"))
-        .select("_in", "source_size", "target", "epochs", F.coalesce("_edge._slice", F.lit(SLICES)).alias("_cut"), "_edge._left")
-    )
+    sliced = stored(_where_it_ends(sums, plan, "_slice", "_cut", "_rest"))
+    # Tables of a row per source are stored, so that Spark knows their size when it plans a join with rows.
+    edges = sliced.select(F.col("_in").alias("_edge_of"), "_cut", F.col("_rest"))
+    at_edge = narrow.join(edges, F.col("_source").eqNullSafe(F.col("_edge_of")) & (F.col("_slice") == F.col("_cut")))
+    parts = at_edge.groupBy("_source", "_part_of").agg(F.sum("_size").alias("_n"))
+    cut = _where_it_ends(parts, sliced.drop("_budget").withColumnRenamed("_rest", "_budget"), "_part_of", "_cut_part", "_left")
+    return stored(cut.select(
+        "_in", "source_size", "target", "epochs", F.coalesce("_cut", F.lit(SLICES)).alias("_cut"), F.coalesce("_cut_part", F.lit(PARTS)).alias("_cut_part"), "_left"
+    ))
 
 
 def take_words(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
@@ -108,16 +122,17 @@ def take_words(docs: DataFrame, key: str = "doc_id", text: str = "text", source:
     """
     sized = measured(docs, key, text, source)
     placed = sized.join(budgets(sized, source), F.col(source).eqNullSafe(F.col("_in")))
-    at_edge = F.col("_slice") == F.col("_cut")
+    at_edge = (F.col("_slice") == F.col("_cut")) & (F.col("_part_of") == F.col("_cut_part"))
     in_order = (
         Window.partitionBy("_in").orderBy("_draw", key, "_tie").rowsBetween(Window.unboundedPreceding, -1)
     )
     before = F.coalesce(F.sum("_size").over(in_order), F.lit(0))
     part = F.least(F.col("_size"), F.greatest(F.col("_left") - before, F.lit(0)))
-    inside = F.when(F.col("_slice") < F.col("_cut"), F.col("_size")).otherwise(0)
+    before_edge = F.struct("_slice", "_part_of") < F.struct(F.col("_cut").alias("_slice"), F.col("_cut_part").alias("_part_of"))
+    inside = F.when(before_edge, F.col("_size")).otherwise(0)
     rows = placed.filter(at_edge).withColumn("_part", part).unionByName(placed.filter(~at_edge).withColumn("_part", inside))
     taken = (F.col("epochs") * F.col("_size") + F.col("_part")).cast("bigint")
-    return rows.withColumn("_taken", taken).drop("_in", "_draw", "_tie", "_slice", "_cut", "_left")
+    return rows.withColumn("_taken", taken).drop("_in", "_draw", "_tie", "_slice", "_part_of", "_cut", "_cut_part", "_left")
 
 
 def first_words(text: Column, n: Column) -> Column:

@@ -93,6 +93,36 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Rows that share an id are ordered by a hash that SQL lacks; ids of the test tables are distinct.
+SQL_MIXING = r"""
+WITH sized AS (
+  SELECT doc_id, text, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size FROM documents),
+weighed AS (
+  SELECT doc_id, source, size, greatest(0.25::DOUBLE, CASE WHEN mean < 3 THEN mean / 3 WHEN mean > 10 THEN 10 / mean ELSE 1.0::DOUBLE END) AS q
+  FROM (SELECT *, CASE WHEN size > 0 THEN CAST(length(text) AS DOUBLE) / size - 1 ELSE 0.0::DOUBLE END AS mean FROM sized)),
+drawn AS (
+  SELECT *, -ln((CAST(CAST('0x' || substr(md5(concat('mix-', doc_id)), 1, 13) AS BIGINT) AS DOUBLE) + 0.5) / 4503599627370496.0::DOUBLE) / q AS draw
+  FROM weighed),
+sources AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size, 3.0::DOUBLE * sum(size) AS cap,
+         [5.0::DOUBLE, 2.0, 1.0][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS w
+  FROM drawn GROUP BY source),
+levels AS (
+  SELECT *, (sum(source_size) OVER () - coalesce(sum(cap) OVER before, 0)) / (sum(w) OVER () - coalesce(sum(w) OVER before, 0)) AS level
+  FROM sources WINDOW before AS (ORDER BY cap / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+targets AS (
+  SELECT *, least(cap, coalesce((SELECT arg_min(level, cap / w) FROM levels WHERE cap > level * w) * w, cap)) AS target FROM levels),
+plans AS (
+  SELECT source, source_size, target, CASE WHEN source_size > 0 THEN CAST(least(floor(target / source_size), 3) AS BIGINT) ELSE 0 END AS epochs
+  FROM targets),
+ordered AS (
+  SELECT doc_id, size, drawn.source, source_size, target, epochs, greatest(CAST(floor(target + 1e-6) AS BIGINT) - epochs * source_size, 0) AS budget,
+         coalesce(sum(size) OVER (PARTITION BY drawn.source ORDER BY draw, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+  FROM drawn JOIN plans ON drawn.source IS NOT DISTINCT FROM plans.source)
+SELECT doc_id, size, source_size, target, CAST(epochs * size + least(size, greatest(budget - before, 0)) AS BIGINT) AS taken, source, epochs FROM ordered
+"""
+
+
 def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -203,7 +233,7 @@ QUERIES = {
     "op5_packing": (op5_packing, None),
     "op6_exact_top_k": (op6_exact_top_k, SQL_TOP_K),
     "op7_language_id": (op7_language_id, None),
-    "op8_mixing": (op8_mixing, None),
+    "op8_mixing": (op8_mixing, SQL_MIXING),
     "op9_minhash": (op9_minhash, None),
     "op10_quality_rules": (op10_quality_rules, None),
     "op11_fill_in_middle": (op11_fill_in_middle, SQL_FILL_IN_MIDDLE),
