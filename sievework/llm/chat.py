@@ -8,8 +8,8 @@ Template: ``<|im_start|>`` role, newline, text, ``<|im_end|>``, newline. Inside
 backslash is put into every ``<|`` (and one more into ``<\\|``, and so on), so that a control string
 never stands in a text; roles have their newlines escaped too. Both are undone when read.
 
-A conversation is written as one or more numbered chunks of at most ``CHUNK_BYTES`` (or one turn),
-so that no task holds a whole conversation. The loss mask is a list of byte ranges per chunk: the
+A conversation is sorted and written by one task, as one or more numbered chunks of at most ``CHUNK_BYTES`` (or one turn),
+so that memory holds a chunk, not a conversation. The loss mask is a list of byte ranges per chunk: the
 escaped text of each assistant turn.
 
 Null texts and roles count as empty, null turns come first, and the turns with a null

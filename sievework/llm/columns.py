@@ -1,12 +1,11 @@
 """Numpy views of Arrow text columns: byte buffers, words and segment hashes without a string per word.
 
-Arrow hands a task batches of rows. Work runs over slices of a few megabytes of text, so
-memory is bounded by the slice or by the longest single text, not by the partition.
+Arrow hands a task batches of rows. Work runs over slices of half a megabyte of text, so memory is bounded by a few
+times the slice or the longest single text, not by the partition, but for what an operator says that it keeps.
 """
 
 from __future__ import annotations
 
-import os
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -16,8 +15,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
+from sievework.session import ship as ship_package
+
 SLICE_BYTES = 512 << 10
-_PACKAGE_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 # White space of the contracts: space, and tab to carriage return.
 SPACE = np.zeros(256, bool)
@@ -41,10 +41,7 @@ def ship(spark: SparkSession) -> None:
     """
     if spark.conf.get(BATCH_SETTING, "64m") in ("64m", f"{64 << 20}b"):
         spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
-    environment = spark.sparkContext.environment
-    paths = environment.get("PYTHONPATH", "").split(os.pathsep)
-    if _PACKAGE_ROOT not in paths:
-        environment["PYTHONPATH"] = os.pathsep.join([_PACKAGE_ROOT, *filter(None, paths)])
+    ship_package(spark)
 
 
 def map_batches(df: DataFrame, function, schema: str) -> DataFrame:

@@ -58,6 +58,26 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix.remove_repeats(table(spark, sf_dir, "documents"))
 
 
+# Texts as hexadecimal digits, two a byte. Rows that share an id come in any order; ids of the test tables are distinct.
+SQL_REPEATS = """
+WITH d AS (SELECT row_number() OVER (ORDER BY doc_id NULLS LAST) AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+place AS (SELECT r, h, unnest(range(1, len(h) // 2 - 98)) AS i FROM d WHERE len(h) >= 200),
+win AS (SELECT r, i, md5_number(substr(h, 2 * i - 1, 200)) AS s FROM place),
+lost AS (SELECT r, i FROM (SELECT r, i, row_number() OVER (PARTITION BY s ORDER BY r, i) AS n FROM win) WHERE n > 1),
+marked AS (SELECT r, i, CASE WHEN i > lag(i) OVER w + 100 OR lag(i) OVER w IS NULL THEN 1 ELSE 0 END AS fresh FROM lost WINDOW w AS (PARTITION BY r ORDER BY i)),
+spans AS (
+  SELECT r, min(i) AS a, max(i) + 100 AS b, row_number() OVER (PARTITION BY r ORDER BY min(i)) AS n
+  FROM (SELECT *, sum(fresh) OVER (PARTITION BY r ORDER BY i) AS g FROM marked) GROUP BY r, g),
+kept AS (
+  SELECT r, CAST(sum(b - a) AS BIGINT) AS n_removed, count(*) AS n_spans,
+         string_agg(substr(h, 2 * before - 1, 2 * (a - before)), '' ORDER BY a) || substr(any_value(h), 2 * max(b) - 1) AS rest
+  FROM (SELECT r, a, b, coalesce(lag(b) OVER (PARTITION BY r ORDER BY a), 1) AS before FROM spans) JOIN d USING (r) GROUP BY r)
+SELECT doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(from_hex(coalesce(rest, h))) AS kept_sha256
+FROM d LEFT JOIN kept USING (r)
+"""
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -127,6 +147,24 @@ def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+# Similarity of the multisets of five-word shingles, for all pairs that share one; classes by following links.
+SQL_NEAR_DUPLICATES = r"""
+WITH RECURSIVE d AS (SELECT doc_id, text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+texts AS (SELECT text, min(doc_id) AS k, any_value(w) AS w FROM d WHERE len(w) > 0 GROUP BY text),
+placed AS (SELECT k, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM texts),
+shingle AS (SELECT k, array_to_string(w[i : i + 4], ' ') AS s, count(*) AS c FROM placed GROUP BY ALL),
+size AS (SELECT k, sum(c) AS t FROM shingle GROUP BY k),
+shared AS (
+  SELECT a.k AS a, b.k AS b, sum(least(a.c, b.c)) AS n FROM shingle a JOIN shingle b ON a.s = b.s AND a.k < b.k GROUP BY a.k, b.k),
+pairs AS (SELECT a, b FROM shared JOIN size x ON x.k = a JOIN size y ON y.k = b WHERE 5 * n >= 4 * (x.t + y.t - n)),
+links AS (SELECT a, b FROM pairs UNION ALL SELECT b, a FROM pairs),
+reached AS (SELECT k, k AS other FROM texts UNION SELECT reached.k, links.b FROM reached JOIN links ON reached.other = links.a),
+class AS (SELECT k, min(other) AS class_id, count(*) AS class_texts FROM reached GROUP BY k)
+SELECT doc_id, coalesce(class_id, doc_id) AS class_id, coalesce(class_texts, 1) AS class_texts
+FROM d LEFT JOIN texts ON texts.text = d.text AND len(d.w) > 0 LEFT JOIN class USING (k)
+"""
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return rules.judge(docs, rules.fit_rules(docs, table(spark, sf_dir, "labels")))
@@ -229,12 +267,12 @@ QUERIES = {
     "op1_secret_scan": (op1_secret_scan, None),
     "op2_toxicity": (op2_toxicity, None),
     "op3_chat_formatting": (op3_chat_formatting, SQL_CHAT),
-    "op4_suffix_dedup": (op4_suffix_dedup, None),
+    "op4_suffix_dedup": (op4_suffix_dedup, SQL_REPEATS),
     "op5_packing": (op5_packing, None),
     "op6_exact_top_k": (op6_exact_top_k, SQL_TOP_K),
     "op7_language_id": (op7_language_id, None),
     "op8_mixing": (op8_mixing, SQL_MIXING),
-    "op9_minhash": (op9_minhash, None),
+    "op9_minhash": (op9_minhash, SQL_NEAR_DUPLICATES),
     "op10_quality_rules": (op10_quality_rules, None),
     "op11_fill_in_middle": (op11_fill_in_middle, SQL_FILL_IN_MIDDLE),
     "op12_hard_negatives": (op12_hard_negatives, SQL_HARD_NEGATIVES),
