@@ -8,9 +8,9 @@ Everything is column expressions; there is no Python code on the executors.
   Rows with the smallest draws come first. A source's target is met by as many complete epochs
   as fit, then by rows in that order until the budget ends; the row at the edge gives only the
   words that are left, so each source meets its target to the word.
-* The order within a source is never sorted in one place: draws are cut into slices, slices are summed, the slice in
-  which a budget ends is cut and summed once more, and only the part of it in which the budget ends is sorted: at most
-  about four millionths of a source.
+* The order within a source is never sorted in one place: draws are cut into coarse slices, which are summed; the slices of
+  the one in which a budget ends are summed too, and only the slice in which the budget ends is sorted: at most about four
+  millionths of a source.
 
 A null text has size 0; a null source is a source of its own, the last one. Rows draw by key, so rows that share a key
 share their draw and follow each other in order of a hash of their texts; where a budget ends among them, they are sorted
@@ -30,8 +30,8 @@ from sievework.session import stored
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5.0, 2.0, 1.0)
 MAX_EPOCHS = 3
-# Slices of draws, each of 1 / STEPS, and parts of a slice. Less than one draw in a million is beyond the last slice.
-SLICES, STEPS, PARTS = 4096, 64, 4096
+# Coarse slices of draws, each of 1 / STEPS, and the slices that each is cut into. Less than one draw in a million is beyond the last.
+COARSE, STEPS, PARTS = 4096, 64, 4096
 
 
 def quality_weight(text: Column | str, words: Column) -> Column:
@@ -42,16 +42,15 @@ def quality_weight(text: Column | str, words: Column) -> Column:
 
 
 def measured(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
-    """``docs`` with ``_size``, ``_draw``, its ``_slice`` and ``_part_of`` the slice, and ``_tie``, a hash of the text."""
+    """``docs`` with ``_size``, ``_draw``, its ``_slice``, and ``_tie``, a hash of the text."""
     words = F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("bigint")
     # 52 bits of the hash as a number in (0, 1).
     digest = F.md5(F.concat(F.lit("mix-"), F.coalesce(F.col(key).cast("string"), F.lit(""))))
     uniform = (F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") + 0.5) / F.lit(float(1 << 52))
     draw = -F.ln(uniform) / F.coalesce(quality_weight(text, words), F.lit(0.25))
     drawn = docs.withColumns({"_size": words, "_draw": draw, "_tie": F.xxhash64(text)})
-    at = F.least(F.col("_draw") * STEPS, F.lit(SLICES - 1.0))
-    part = F.least(F.floor((at - F.floor(at)) * PARTS), F.lit(PARTS - 1))
-    return drawn.withColumns({"_slice": F.floor(at).cast("int"), "_part_of": part.cast("int")})
+    number = F.floor(F.least(F.col("_draw") * STEPS, F.lit(COARSE - 1.0)) * PARTS)
+    return drawn.withColumn("_slice", number.cast("bigint"))
 
 
 def source_targets(sums: DataFrame, weights: Sequence[float] = WEIGHTS, most: float = MAX_EPOCHS) -> DataFrame:
@@ -92,9 +91,10 @@ def _where_it_ends(sums: DataFrame, budgets: DataFrame, place: str, cut: str, le
 
 
 def budgets(sized: DataFrame, source: str) -> DataFrame:
-    """Per source: ``source_size``, ``target``, ``epochs``, the slice ``_cut`` and its part ``_cut_part`` that the fraction ends in, ``_left`` for it."""
-    narrow = stored(sized.select(F.col(source).alias("_source"), "_slice", "_part_of", "_size"))
-    sums = stored(narrow.groupBy("_source", "_slice").agg(F.sum("_size").alias("_n")))
+    """Per source: ``source_size``, ``target``, ``epochs``, the slice ``_cut`` that the fraction ends in, ``_left`` for it."""
+    narrow = stored(sized.select(F.col(source).alias("_source"), "_slice", "_size"))
+    coarse = F.floor(F.col("_slice") / PARTS).cast("bigint")
+    sums = stored(narrow.groupBy("_source", coarse.alias("_coarse")).agg(F.sum("_size").alias("_n")))
     plan = source_targets(sums).withColumnRenamed("_source", "_in").withColumn(
         "epochs",
         F.when(F.col("source_size") > 0, F.least(F.floor(F.col("target") / F.col("source_size")), F.lit(MAX_EPOCHS)))
@@ -102,15 +102,13 @@ def budgets(sized: DataFrame, source: str) -> DataFrame:
     )
     rest = F.floor(F.col("target") + 1e-6) - F.col("epochs") * F.col("source_size")
     plan = plan.withColumn("_budget", F.greatest(rest, F.lit(0)).cast("bigint"))
-    sliced = stored(_where_it_ends(sums, plan, "_slice", "_cut", "_rest"))
+    sliced = stored(_where_it_ends(sums, plan, "_coarse", "_cut_coarse", "_rest"))
     # Tables of a row per source are stored, so that Spark knows their size when it plans a join with rows.
-    edges = sliced.select(F.col("_in").alias("_edge_of"), "_cut", F.col("_rest"))
-    at_edge = narrow.join(edges, F.col("_source").eqNullSafe(F.col("_edge_of")) & (F.col("_slice") == F.col("_cut")))
-    parts = at_edge.groupBy("_source", "_part_of").agg(F.sum("_size").alias("_n"))
-    cut = _where_it_ends(parts, sliced.drop("_budget").withColumnRenamed("_rest", "_budget"), "_part_of", "_cut_part", "_left")
-    return stored(cut.select(
-        "_in", "source_size", "target", "epochs", F.coalesce("_cut", F.lit(SLICES)).alias("_cut"), F.coalesce("_cut_part", F.lit(PARTS)).alias("_cut_part"), "_left"
-    ))
+    edges = sliced.select(F.col("_in").alias("_edge_of"), "_cut_coarse")
+    at_edge = narrow.join(edges, F.col("_source").eqNullSafe(F.col("_edge_of")) & (coarse == F.col("_cut_coarse")))
+    parts = at_edge.groupBy("_source", "_slice").agg(F.sum("_size").alias("_n"))
+    cut = _where_it_ends(parts, sliced.drop("_budget").withColumnRenamed("_rest", "_budget"), "_slice", "_cut", "_left")
+    return stored(cut.select("_in", "source_size", "target", "epochs", F.coalesce("_cut", F.lit(COARSE * PARTS)).alias("_cut"), "_left"))
 
 
 def take_words(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
@@ -122,17 +120,16 @@ def take_words(docs: DataFrame, key: str = "doc_id", text: str = "text", source:
     """
     sized = measured(docs, key, text, source)
     placed = sized.join(budgets(sized, source), F.col(source).eqNullSafe(F.col("_in")))
-    at_edge = (F.col("_slice") == F.col("_cut")) & (F.col("_part_of") == F.col("_cut_part"))
+    at_edge = F.col("_slice") == F.col("_cut")
     in_order = (
         Window.partitionBy("_in").orderBy("_draw", key, "_tie").rowsBetween(Window.unboundedPreceding, -1)
     )
     before = F.coalesce(F.sum("_size").over(in_order), F.lit(0))
     part = F.least(F.col("_size"), F.greatest(F.col("_left") - before, F.lit(0)))
-    before_edge = F.struct("_slice", "_part_of") < F.struct(F.col("_cut").alias("_slice"), F.col("_cut_part").alias("_part_of"))
-    inside = F.when(before_edge, F.col("_size")).otherwise(0)
+    inside = F.when(F.col("_slice") < F.col("_cut"), F.col("_size")).otherwise(0)
     rows = placed.filter(at_edge).withColumn("_part", part).unionByName(placed.filter(~at_edge).withColumn("_part", inside))
     taken = (F.col("epochs") * F.col("_size") + F.col("_part")).cast("bigint")
-    return rows.withColumn("_taken", taken).drop("_in", "_draw", "_tie", "_slice", "_part_of", "_cut", "_cut_part", "_left")
+    return rows.withColumn("_taken", taken).drop("_in", "_draw", "_tie", "_slice", "_cut", "_left")
 
 
 def first_words(text: Column, n: Column) -> Column:
