@@ -8,6 +8,7 @@ from sievework.catalog import base
 from sievework.catalog.metric_queries import PLACES, rounded, sql_report
 from sievework.catalog.model_sql import coefficients_sql, linear_sql, meta_sql, tree_ctes, tree_rules_sql
 from sievework.functions.scores import META_COLUMNS, predicted
+from sievework.functions.text import build_text
 from sievework.operators import features, labels as label_ops, metrics, models
 from sievework.operators.features import MAX_DF, MIN_DF
 from sievework.operators.sampling import stratified_split
@@ -108,13 +109,18 @@ def logistic_optimum(spark, sf):
     )
 
 
+def _weights_of(names):
+    """A weight from -2 to 2 for each feature, which follows from its name."""
+    number = F.conv(F.substring(F.md5("feature"), 1, 6), 16, 10).cast("bigint")
+    return names.select("feature", ((number % 2001 - 1000) / F.lit(500.0)).alias("weight"))
+
+
 def _weighed(spark, sf):
-    """A classifier with a weight from -2 to 2 per feature that follows from its name, and the labelled rows."""
+    """A classifier with given weights, and the labelled rows."""
     rows = _labelled(spark, sf)
     stacked = models.stack_features(rows)
     names = spark.createDataFrame([(name,) for name in (*models.feature_names(stacked), models.INTERCEPT)], "feature string")
-    number = F.conv(F.substring(F.md5("feature"), 1, 6), 16, 10).cast("bigint")
-    return models.from_weights(stacked, names.withColumn("weight", (number % 2001 - 1000) / F.lit(500.0))), rows
+    return models.from_weights(stacked, _weights_of(names)), rows
 
 
 def score_logistic(spark, sf):
@@ -124,6 +130,18 @@ def score_logistic(spark, sf):
     return rounded(models.score_logistic(model, rec).select("pmid", "model_prob"), "model_prob")
 
 
+def score_by_table(spark, sf):
+    """The same probabilities from tables of terms and weights, by joins."""
+    rows = _labelled(spark, sf)
+    vocabulary = stored(features.fit_vocabulary(rows.select(build_text().alias("text")), "text"))
+    names = vocabulary.select(F.col("term").alias("feature")).unionByName(
+        spark.createDataFrame([(models.META_PREFIX + c,) for c in META_COLUMNS] + [(models.INTERCEPT,)], "feature string")
+    )
+    rec = base.records(spark, sf).select("pmid", "title", "abstract", *META_COLUMNS)
+    scored = models.score_by_table(rec, vocabulary, rows.count(), stored(_weights_of(names)))
+    return rounded(scored.select("pmid", "model_prob"), "model_prob")
+
+
 def top_coefficients(spark, sf):
     return models.top_coefficients(_weighed(spark, sf)[0])
 
@@ -256,6 +274,7 @@ QUERIES = {
     ),
     "train_logistic": (train_logistic, None),
     "score_logistic": (score_logistic, linear_sql(_terms_cte, labelled_only=False)),
+    "score_by_table": (score_by_table, linear_sql(_terms_cte, labelled_only=False)),
     "top_coefficients": (top_coefficients, coefficients_sql(_terms_cte)),
     "meta_coefficients": (meta_coefficients, meta_sql()),
     "save_model": (save_model, linear_sql(_terms_cte, labelled_only=True)),

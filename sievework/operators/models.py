@@ -15,16 +15,16 @@ from pyspark.ml.common import _py2java
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sievework.functions.patterns import FLAG_COLUMNS
 from sievework.functions.scores import META_COLUMNS
 from sievework.functions.text import build_text
 from sievework.operators import newton
-from sievework.operators.features import MAX_DF, MIN_DF, TOKEN, counter_of, fit_vocabulary
+from sievework.operators.features import MAX_DF, MIN_DF, TOKEN, counter_of, fit_vocabulary, term_counts, with_terms
 from sievework.operators.metrics import with_class_weight
-from sievework.session import scratch_path
+from sievework.session import scratch_path, stored
 
 META_PREFIX = "__META_"
 BIAS = "_bias"
@@ -167,6 +167,38 @@ def score_logistic(model: PipelineModel, df: DataFrame, out: str = "model_prob")
     return model.transform(df).select(*df.columns, vector_to_array("_probability")[1].alias(out))
 
 
+def score_by_table(
+    records: DataFrame,
+    vocabulary: DataFrame,
+    n_docs: int,
+    weights: DataFrame,
+    out: str = "model_prob",
+    key: str = "pmid",
+    meta_columns: Sequence[str] = META_COLUMNS,
+) -> DataFrame:
+    """Add the probability of class 1 by joins alone: no driver or task holds the vocabulary or the weights.
+
+    ``vocabulary`` has the terms and document frequencies (term, df) of ``n_docs`` documents, ``weights`` is as for
+    :func:`from_weights`. ``key`` is distinct. Terms of a record are counted in its row and summed over partial aggregates.
+    """
+    counts = term_counts(with_terms(records.select(key, build_text().alias("_text")), "_text"), key)
+    known = stored(
+        vocabulary.join(weights.select(F.col("feature").alias("term"), "weight"), "term", "left")
+        .select("term", (F.ln(F.lit(1.0 + n_docs) / (F.lit(1.0) + F.col("df"))) + 1.0).alias("_idf"), F.coalesce("weight", F.lit(0.0)).alias("_weight"))
+    )
+    raw = F.col("tf").cast("double") * F.col("_idf")
+    parts = counts.join(known, "term").groupBy(key).agg((F.sum(raw * F.col("_weight")) / F.sqrt(F.sum(raw * raw))).alias("_margin"))
+
+    def weight_of(feature: str) -> Column:
+        return F.coalesce(weights.filter(F.col("feature") == feature).agg(F.max("weight")).scalar(), F.lit(0.0))
+
+    margin = F.coalesce("_margin", F.lit(0.0)) + weight_of(INTERCEPT)
+    for column in meta_columns:
+        margin = margin + F.coalesce(F.col(column).cast("double"), F.lit(0.0)) * weight_of(META_PREFIX + column)
+    scored = records.join(parts, key, "left").withColumn(out, 1 / (1 + F.exp(-margin)))
+    return scored.select(*records.columns, out)
+
+
 def coefficients(model: PipelineModel, intercept: bool = False) -> DataFrame:
     """Rows (feature, weight), with or without the intercept."""
     names = [*feature_names(model), INTERCEPT]

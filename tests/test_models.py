@@ -5,7 +5,8 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from sievework.functions.patterns import FLAG_COLUMNS
-from sievework.operators import models, newton
+from sievework.functions.text import build_text
+from sievework.operators import features, models, newton
 from sievework.plans import training
 from sievework.sources import runs
 
@@ -82,6 +83,16 @@ def test_given_weights(spark, trained):
     assert np.count_nonzero(few.stages[-1].coefficients.toArray()) == 1
 
 
+def test_scores_from_tables_are_those_of_the_model(spark, trained):
+    df, model = trained
+    vocabulary = features.fit_vocabulary(df.select(build_text().alias("text")), "text")
+    more = df.unionByName(spark.createDataFrame([(999, "nothing known", "", 1, 0, 0, 3, 0), (998, None, None, None, 1, 0, 2, 0)], df.schema))
+    scored = models.score_by_table(more, vocabulary, df.count(), models.coefficients(model, intercept=True))
+    assert scored.columns == [*more.columns, "model_prob"]
+    expected = {r.pmid: r.model_prob for r in models.score_logistic(model, more).collect()}
+    assert {r.pmid: r.model_prob for r in scored.collect()} == pytest.approx(expected, abs=1e-9)
+
+
 def test_vectors_as_rows(spark, trained):
     df, model = trained
     rows = models.vector_entries(model.transform(df)).groupBy("pmid").pivot("place").sum("value").fillna(0.0).collect()
