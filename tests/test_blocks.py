@@ -7,6 +7,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from sievework.catalog import feature_queries
 from sievework.operators import blocks, features, models
 from sievework.sources import runs
 
@@ -82,3 +83,10 @@ def test_places_of_terms_and_repeated_rows(spark):
     assert [r.place for r in table] == list(range(len(table))) and table == sorted(table, key=lambda r: (-r.df, r.term))
     twice = rows.limit(5).unionByName(rows.limit(5)).withColumn("pmid", F.lit(None).cast("bigint"))
     assert stacked.transform(twice).count() == 10
+
+
+def test_the_stored_model_query_trains_one(spark, monkeypatch):
+    rows = records(spark).withColumn("is_test", F.col("pmid") % 4 == 0)
+    monkeypatch.setattr(feature_queries, "_labelled", lambda *_: rows)
+    found = feature_queries.save_model(spark, "").collect()
+    assert len(found) == 200 and all(r.same for r in found) and len({r.model_prob for r in found}) > 10
