@@ -2,8 +2,8 @@
 
 Everything is column expressions; there is no Python code on the executors.
 
-* Sizes are words per document. They are counted twice: once for budgets, for which source, size and draw are stored
-  without the text, and once where the rows are given out.
+* Sizes are words per document. They are counted once: rows are stored with size and draw, and with the text only where it
+  is given out. A filter on computed columns would count the words again, several times a row.
 * Each row draws ``-ln(u) / weight`` from a hash of its key, where ``weight`` is a quality weight.
   Rows with the smallest draws come first. A source's target is met by as many complete epochs
   as fit, then by rows in that order until the budget ends; the row at the edge gives only the
@@ -91,8 +91,8 @@ def _where_it_ends(sums: DataFrame, budgets: DataFrame, place: str, cut: str, le
 
 
 def budgets(sized: DataFrame, source: str) -> DataFrame:
-    """Per source: ``source_size``, ``target``, ``epochs``, the slice ``_cut`` that the fraction ends in, ``_left`` for it."""
-    narrow = stored(sized.select(F.col(source).alias("_source"), "_slice", "_size"))
+    """Of stored rows, per source: ``source_size``, ``target``, ``epochs``, the slice ``_cut`` that the fraction ends in, ``_left`` for it."""
+    narrow = sized.select(F.col(source).alias("_source"), "_slice", "_size")
     coarse = F.floor(F.col("_slice") / PARTS).cast("bigint")
     sums = stored(narrow.groupBy("_source", coarse.alias("_coarse")).agg(F.sum("_size").alias("_n")))
     plan = source_targets(sums).withColumnRenamed("_source", "_in").withColumn(
@@ -111,14 +111,17 @@ def budgets(sized: DataFrame, source: str) -> DataFrame:
     return stored(cut.select("_in", "source_size", "target", "epochs", F.coalesce("_cut", F.lit(COARSE * PARTS)).alias("_cut"), "_left"))
 
 
-def take_words(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
-    """All columns of ``docs`` and ``_size``, ``source_size``, ``target``, ``epochs``, ``_part``, ``_taken``.
+def take_words(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", with_text: bool = True
+) -> DataFrame:
+    """All columns of ``docs``, the text only ``with_text``, and ``_size``, ``source_size``, ``target``, ``epochs``, ``_part``, ``_taken``.
 
     ``_taken`` is ``epochs`` times the size plus ``_part``, the words of the last, fractional epoch.
     Tables of a row per source meet the rows by an ordinary join: Spark sends them out if they
     are small, and else splits a source that has most rows.
     """
     sized = measured(docs, key, text, source)
+    sized = stored(sized if with_text else sized.drop(text))
     placed = sized.join(budgets(sized, source), F.col(source).eqNullSafe(F.col("_in")))
     at_edge = F.col("_slice") == F.col("_cut")
     in_order = (

@@ -82,3 +82,14 @@ def test_heavier_documents_come_first(spark):
 def test_source_is_never_sorted_whole(spark, edge_docs):
     plan = mixing.take_words(edge_docs.select("doc_id", "text", "source"))._jdf.queryExecution().optimizedPlan().toString()
     assert "_slice" in plan and "_cut" in plan
+
+
+def test_words_are_counted_once(edge_docs):
+    docs = edge_docs.select("doc_id", "text", "source")
+    for with_text in (True, False):
+        taken = mixing.take_words(docs, with_text=with_text)
+        # What gives the rows out reads stored sizes: no pattern meets a text again.
+        assert "regexp" not in taken._jdf.queryExecution().optimizedPlan().toString().lower()
+        assert ("text" in taken.columns) == with_text
+    narrow = sorted((str(r.doc_id), r["_size"], r["_taken"]) for r in taken.collect())
+    assert narrow == sorted((str(r.doc_id), r["_size"], r["_taken"]) for r in mixing.take_words(docs).collect())
