@@ -117,3 +117,14 @@ def test_repeated_key_is_one_labelled_row(spark, monkeypatch):
     monkeypatch.setattr(toxicity, "fit_linear", lambda rows, features, target, width: seen.append(len(target)) or fit(rows, features, target, width))
     toxicity.fit_toxicity(docs, labels)
     assert seen == [len(keys)]
+
+
+def test_words_of_toxic_texts_alone_come_before_those_of_copied_texts(spark):
+    """A word of 30 toxic texts and of no other says more than one of 60 copies, half of which are marked."""
+    rows = [(f"calm{i} vejuté" if i < 30 else f"calm{i} copied" if i < 60 else f"calm{i}", 1) for i in range(100)]
+    rows += [(f"calm{i} copied" if i < 30 else f"calm{i}", 0) for i in range(900)]
+    labelled = spark.createDataFrame(rows, "text string, _toxic int").repartition(3)
+    assert list(toxicity.learn_lexicons(labelled, most=1)) == toxicity.hash_words(["vejuté"]).tolist()
+    # A word that clean texts have goes with no label, however sure that is.
+    clean = spark.createDataFrame([(f"calm{i} quiet" if i else "calm0", int(i == 0)) for i in range(300)], "text string, _toxic int")
+    assert toxicity.hash_words(["quiet"])[0] not in toxicity.learn_lexicons(clean)
