@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from sievework.functions.patterns import FLAG_COLUMNS
 from sievework.functions.text import build_text
-from sievework.operators import features, models, newton
+from sievework.operators import dual, features, models, newton
 from sievework.plans import training
 from sievework.sources import runs
 
@@ -170,3 +170,43 @@ def test_whole_run(spark, tmp_path):
     assert run.report.count() == run.tree_report.count() == 5
     run.save(str(tmp_path / "run"))
     assert runs.read_metrics(spark, str(tmp_path / "run/metrics")).first() == row
+
+
+@pytest.mark.parametrize("driver_numbers", [newton.DRIVER_NUMBERS, 1])
+def test_fit_by_rows_finds_the_optimum_of_the_fit_by_features(spark, monkeypatch, driver_numbers):
+    monkeypatch.setattr(newton, "DRIVER_NUMBERS", driver_numbers)
+    monkeypatch.setattr(newton, "PIECE", 128)
+    monkeypatch.setattr(dual, "ENTRIES", 1500)
+    x, side, weight, rows = problem(spark, n=150, width=300)
+    listed = rows.toArrow().num_rows
+    numbered = models._with_numbers(rows, "_row").select("features", "y", "w", "_row")
+    at = {r["_row"]: (r.y, r.w, r.features.toArray()) for r in numbered.collect()}
+    assert sorted(at) == list(range(listed)) == list(range(150))
+    y, w, x = (np.array([at[i][k] for i in range(150)]) for k in range(3))
+    blocks = dual.column_blocks(numbered, "_row", "features")
+    assert blocks.count() > 3
+    kernel = dual.Kernel(blocks, 150)
+    v = np.random.default_rng(3).normal(size=150)
+    assert kernel.times(v) == pytest.approx(x @ (x.T @ v))
+    a = dual.minimise(kernel, np.where(y > 0, 1.0, -1.0), w, np.ones((150, 1)), 0.7, 100, 1e-6)
+    found = np.zeros(300)
+    for r in kernel.coefficients(a).collect():
+        found[r.place] = r.weight
+    p = 1 / (1 + np.exp(-x @ found))
+    assert 0.7 * np.linalg.norm(x.T @ (w * (p - y)) + found / 0.7) <= 1e-5
+    with pytest.raises(RuntimeError):
+        dual.minimise(dual.Kernel(blocks, 150), np.where(y > 0, 1.0, -1.0), w, np.ones((150, 1)), 0.7, 1, 1e-9)
+
+
+def test_more_features_than_rows_need_no_vector_of_features_on_the_driver(spark, monkeypatch):
+    df = rows(spark, 60)
+    stacked = models.stack_features(df, min_df=2)
+    assert stacked.terms.width > 40
+    few = df.filter("pmid < 40")
+    lengths, real = [], newton.sum_over
+    monkeypatch.setattr(dual, "sum_over", lambda table, part, length, tasks: lengths.append(length) or real(table, part, length, tasks))
+    monkeypatch.setattr(newton, "sum_over", lambda table, part, length, tasks: lengths.append(length) or real(table, part, length, tasks))
+    model = models.train_logistic(stacked, few, tol=1e-8)
+    assert set(lengths) == {40}
+    assert model.stages[-1].table.count() == stacked.terms.width
+    assert models.loss_gradient(model, few).agg(F.max(F.abs("slope"))).first()[0] < 1e-6
