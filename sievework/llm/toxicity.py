@@ -1,7 +1,7 @@
 """Toxicity by weak supervision: many voters, a generative label model, a linear classifier.
 
-* Voters are lexicons (a short fixed one, and groups of words that labelled rows show to go with
-  the label) and patterns of writing. A text's votes are a bit mask of ``VOTERS`` bits.
+* Voters are lexicons (a short fixed one, and groups of words and word beginnings of 3 to 8 bytes that labelled rows
+  show to go with the label) and patterns of writing. A text's votes are a bit mask of ``VOTERS`` bits.
 * The label model is a latent class model with dependent voters. EM estimates how often each voter
   fires in each class (its accuracy); from the posteriors follow the correlations of voters within a class,
   the strongest of which are kept as a tree per class (Chow-Liu), and EM goes on with the tree. It
@@ -40,6 +40,10 @@ LEXICON_WORDS = 512
 FEATURE_BITS = 18
 PRIOR = 0.1
 STEM_BYTES = 6
+# Lengths in bytes of the word beginnings that lexicons know; a stem of any of them stands for words no labelled row has.
+BEGINNINGS = range(3, 9)
+# Toxic texts with a beginning, for each other text with it, at least.
+PURITY = 9
 VOTE_SCALE = 10.0
 
 # Fixed lexicons: insults, and words that address the reader.
@@ -82,6 +86,29 @@ def terms(column: pa.Array):
     return doc[at], hashes[at], starts[at], ends[at], raw, data, offsets
 
 
+def beginnings(found):
+    """Distinct beginnings of the words of each text, of all lengths in ``BEGINNINGS``: text number, hash, start, end.
+
+    ``found`` is what :func:`terms` gives. Words sorted by their first eight bytes are sorted by every shorter beginning as well.
+    """
+    doc, _, starts, ends, _, data, _ = found
+    size = np.minimum(ends - starts, BEGINNINGS[-1])
+    head = np.zeros(len(doc), np.uint64)
+    for i in range(BEGINNINGS[-1]):
+        here = np.flatnonzero(size > i)
+        head[here] |= data[starts[here] + i].astype(np.uint64) << np.uint64(8 * (7 - i))
+    order = np.lexsort((head, doc))
+    doc, head, starts, size = doc[order], head[order], starts[order], size[order]
+    parts = []
+    for length in BEGINNINGS:
+        at = np.flatnonzero(size >= length)
+        cut, of = head[at] >> np.uint64(8 * (8 - length)), doc[at]
+        new = np.flatnonzero(np.concatenate([[True], (cut[1:] != cut[:-1]) | (of[1:] != of[:-1])])[: len(at)])
+        # Words hash differently, also those that are as long.
+        parts.append((of[new], C.mix(C.mix(cut[new]) + np.uint64(length)), starts[at[new]], starts[at[new]] + length))
+    return tuple(np.concatenate(column) for column in zip(*parts))
+
+
 class Lexicons:
     """Words of the lexicon voters: sorted hashes and the voter of each."""
 
@@ -96,6 +123,8 @@ class Lexicons:
 def votes(found, n: int, lexicons: Lexicons) -> np.ndarray:
     """Bit masks of the votes of ``n`` texts."""
     doc, hashes, _, _, raw, _, offsets = found
+    started = beginnings(found)
+    doc, hashes = np.concatenate([doc, started[0]]), np.concatenate([hashes, started[1]])
     masks = np.zeros(n, np.int64)
     left = np.searchsorted(lexicons.hashes, hashes, "left")
     right = np.searchsorted(lexicons.hashes, hashes, "right")
@@ -227,29 +256,33 @@ class ToxicityModel:
 
 
 def _word_counts(labelled: DataFrame) -> DataFrame:
-    """Documents with each word, and toxic ones among them: hash, word, n, n_toxic."""
+    """Documents with each word or beginning, and toxic ones among them: hash, word, whole (0: a beginning), n, n_toxic."""
 
     def run(batches):
         for part in C.slices(batches):
-            doc, hashes, starts, ends, _, data, _ = terms(part.column("text"))
+            found = terms(part.column("text"))
+            data = found[5]
+            doc, hashes, starts, ends = (np.concatenate(pair) for pair in zip(found[:4], beginnings(found)))
+            whole = np.arange(len(doc)) < len(found[0])
             toxic = np.array(part.column("_toxic").to_pylist(), bool)[doc]
             distinct, at, inverse = np.unique(hashes, return_index=True, return_inverse=True)
             inverse = inverse.reshape(-1)
             texts = [data[starts[i] : ends[i]].tobytes().decode("utf-8", "replace") for i in at]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(distinct.view(np.int64)), pa.array(texts), pa.array(np.bincount(inverse, minlength=len(at))),
+                [pa.array(distinct.view(np.int64)), pa.array(texts), pa.array(whole[at].astype(np.int8)), pa.array(np.bincount(inverse, minlength=len(at))),
                  pa.array(np.bincount(inverse, toxic, len(at)).astype(np.int64))],
-                ["hash", "word", "n", "n_toxic"],
+                ["hash", "word", "whole", "n", "n_toxic"],
             )
 
-    found = C.map_batches(labelled, run, "hash bigint, word string, n bigint, n_toxic bigint")
-    return found.groupBy("hash").agg(F.min("word").alias("word"), F.sum("n").alias("n"), F.sum("n_toxic").alias("n_toxic"))
+    found = C.map_batches(labelled, run, "hash bigint, word string, whole tinyint, n bigint, n_toxic bigint")
+    return found.groupBy("hash").agg(F.min("word").alias("word"), F.max("whole").alias("whole"), F.sum("n").alias("n"), F.sum("n_toxic").alias("n_toxic"))
 
 
 def learn_lexicons(labelled: DataFrame, least_z: float = 4.0, most: int = LEXICON_WORDS) -> dict[int, int]:
-    """Words that go with the label, dealt over the groups by rank: those of largest z, the root of the likelihood ratio statistic.
+    """Words and beginnings that go with the label, dealt over the groups by rank: those of largest z, the root of the likelihood ratio statistic.
 
     The log odds over their standard error would put a word that is in toxic texts alone behind any that a few dozen copies of a text share.
+    A beginning must be in ``PURITY`` times as many toxic texts as others: a short one goes with the label also where most of its words don't.
     """
     n, n_toxic = labelled.agg(F.count("*"), F.coalesce(F.sum("_toxic"), F.lit(0))).first()
     if not n_toxic or n_toxic == n:
@@ -260,7 +293,8 @@ def learn_lexicons(labelled: DataFrame, least_z: float = 4.0, most: int = LEXICO
     cells = ((a, a + b, a + c), (b, a + b, b + d), (c, c + d, a + c), (d, c + d, b + d))
     ratio = 2 * sum((cell * F.log(cell * total / (row * column)) for cell, row, column in cells), F.lit(0.0))
     z = F.sqrt(F.greatest(ratio, F.lit(0.0))) * F.signum(a * d - b * c)
-    top = _word_counts(labelled).withColumn("z", z).filter(F.col("z") > least_z).orderBy(F.desc("z"), "word", "hash").limit(most)
+    top = _word_counts(labelled).withColumn("z", z).filter((F.col("z") > least_z) & ((F.col("whole") == 1) | (a > PURITY * b)))
+    top = top.orderBy(F.desc("z"), F.desc("whole"), "word", "hash").limit(most)
     return {int(np.int64(row["hash"]).view(np.uint64)): i % LEARNED_GROUPS for i, row in enumerate(top.collect())}
 
 

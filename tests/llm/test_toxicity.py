@@ -128,3 +128,30 @@ def test_words_of_toxic_texts_alone_come_before_those_of_copied_texts(spark):
     # A word that clean texts have goes with no label, however sure that is.
     clean = spark.createDataFrame([(f"calm{i} quiet" if i else "calm0", int(i == 0)) for i in range(300)], "text string, _toxic int")
     assert toxicity.hash_words(["quiet"])[0] not in toxicity.learn_lexicons(clean)
+
+
+def test_beginnings_against_plain_python(edge_rows):
+    texts = [r[1] or "" for r in edge_rows] + ["Stupidity stupid STUPOR lo", "", "vejuté vejumo"]
+    found = toxicity.terms(pa.array(texts))
+    doc, hashes, starts, ends = toxicity.beginnings(found)
+    data, seen = found[5], {}
+    for i, text in enumerate(texts):
+        words = [w.encode() for w in re.findall(r"[a-z\x80-\U0010ffff]+", re.sub("[A-Z]", lambda m: m[0].lower(), text))]
+        here = [data[a:b].tobytes() for a, b in zip(starts[doc == i], ends[doc == i])]
+        assert sorted(here) == sorted({w[:k] for w in words for k in range(3, 9) if len(w) >= k}), text
+        for cut, value in zip(here, hashes[doc == i].tolist()):
+            assert seen.setdefault(cut, value) == value
+    assert len(set(seen.values())) == len(seen)
+
+
+def test_words_with_endings_that_no_labelled_row_has(spark):
+    """Labelled toxic texts hold words made from short stems; others from the same stems, seen nowhere else, are found as well."""
+    rng = np.random.default_rng(11)
+    ends = ["".join(rng.choice(list("bcdfghklmnprst"), 4)) for _ in range(2000)]
+    rows = [(i, f"calm quiet word{i % 7} {'veju' if i % 2 else 'plô'}{ends[i]}" if i % 10 < 2 else f"calm quiet word{i % 7} ver{ends[i]}") for i in range(1000)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    labels = spark.createDataFrame([(i, int(i % 10 < 2)) for i in range(1000)], "doc_id bigint, toxic int")
+    model = toxicity.fit_toxicity(docs, labels)
+    new = [(i, f"calm quiet word{i % 7} {('veju', 'plô', 'ver', '')[i % 4]}{ends[1000 + i]}") for i in range(400)]
+    scored = toxicity.score(spark.createDataFrame(new, "doc_id bigint, text string"), model, ["doc_id"]).collect()
+    assert all(r.predicted == int(r.doc_id % 4 < 2) for r in scored)
