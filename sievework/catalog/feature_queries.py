@@ -58,7 +58,7 @@ def tfidf_options(spark, sf):
 def top_terms(spark, sf):
     """Labels joined to documents, TF-IDF over the labelled ones, top 20 terms of each class."""
     joined = stored(label_ops.join_labels(base.labels(spark, sf), _docs(spark, sf)).select("pmid", "label", "text"))
-    return rounded(features.top_terms_by_class(features.tfidf(joined, "text"), joined), "mean_weight")
+    return rounded(features.top_terms_by_class(features.tfidf(joined, "text", keep=["label"]), joined), "mean_weight")
 
 
 def _labelled(spark, sf, phrases=False):

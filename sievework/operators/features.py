@@ -159,15 +159,28 @@ def tfidf(
     sublinear: bool = False,
     stop_words: Sequence[str] | str | None = None,
     max_features: int | None = None,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """Rows (key, term, tf, df, weight): tf * (ln((1+n)/(1+df)) + 1), scaled to length 1 per document.
 
-    ``key`` names a document, so it must be distinct. The vocabulary is stored first. One of at most ``BROADCAST_TERMS``
+    The columns ``keep`` of a document follow its key. ``key`` names a document, so it must be distinct. The vocabulary is stored first. One of at most ``BROADCAST_TERMS``
     terms is sent to all executors, if the session allows broadcasts: a document's counts are then looked up, weighted and
     scaled where it is read, so that neither texts nor terms are shuffled. A longer one is joined to the distinct terms of
     blocks of documents. A session without broadcasts joins all counts; AQE splits the part of a term that is in very
     many documents. (Joined straight after its aggregation, it could not be split.)
     """
+    options = (min_df, max_df, bigrams, sublinear, stop_words, max_features)
+    if not keep:
+        return _tfidf(docs, text, key, F.col(key), *options)
+    rows = docs.select(F.struct(key, *keep).alias("_row"), text)
+    return _tfidf(rows, text, "_row", F.col("_row")[key], *options).select("_row.*", "term", "tf", "df", "weight")
+
+
+def _tfidf(
+    docs: DataFrame, text: str, key: str, document: Column, min_df: int, max_df: float, bigrams: bool, sublinear: bool,
+    stop_words: Sequence[str] | str | None, max_features: int | None,
+) -> DataFrame:
+    """As :func:`tfidf`; ``document`` is what tells documents apart, ``key`` what stands in the rows."""
     n_docs = docs.count()
     words = words_of(text, stop_words)
     vocabulary = stored(_within(blocks.term_totals(docs, words, bigrams), n_docs, min_df, max_df))
@@ -200,7 +213,7 @@ def tfidf(
     raw = term_counts(terms, key).join(vocabulary, "term").withColumn(
         "_raw", _scaled_tf(F.col("tf"), sublinear) * (F.ln(F.lit(1.0 + n_docs) / (F.lit(1.0) + F.col("df"))) + 1.0)
     )
-    length = F.sqrt(F.sum(F.col("_raw") * F.col("_raw")).over(Window.partitionBy(key)))
+    length = F.sqrt(F.sum(F.col("_raw") * F.col("_raw")).over(Window.partitionBy(document)))
     return raw.select(key, "term", "tf", "df", (F.col("_raw") / length).alias("weight"))
 
 
@@ -221,11 +234,18 @@ def _weighed(
 def top_terms_by_class(weights: DataFrame, labels: DataFrame, n: int = 20, key: str = "pmid") -> DataFrame:
     """The ``n`` terms of largest mean weight over the documents of each class.
 
-    The mean is over all documents of the class; a document without the term counts 0.
+    The mean is over all documents of the class; a document without the term counts 0. Weights may have a column ``label``, what
+    ``labels`` has for their key: unless ``labels`` repeats a key, they are summed up where they are made, not shuffled to the labels.
     """
     labelled = labels.select(key, "label").filter(F.col("label").isNotNull())
     sizes = labelled.groupBy("label").agg(F.count(F.lit(1)).alias("_size"))
-    sums = weights.join(labelled, key).groupBy("label", "term").agg(F.sum("weight").alias("_sum"))
+    if "label" not in weights.columns:
+        classed = weights.join(labelled, key)
+    elif labels.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1).isEmpty():
+        classed = weights.filter(F.col(key).isNotNull() & F.col("label").isNotNull())
+    else:
+        classed = weights.drop("label").join(labelled, key)
+    sums = classed.groupBy("label", "term").agg(F.sum("weight").alias("_sum"))
     means = sums.join(sizes, "label").select(
         "label", "term", F.round(F.col("_sum") / F.col("_size"), 9).alias("mean_weight")
     )
