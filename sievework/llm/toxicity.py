@@ -267,10 +267,12 @@ def _word_counts(labelled: DataFrame) -> DataFrame:
             toxic = np.array(part.column("_toxic").to_pylist(), bool)[doc]
             distinct, at, inverse = np.unique(hashes, return_index=True, return_inverse=True)
             inverse = inverse.reshape(-1)
-            texts = [data[starts[i] : ends[i]].tobytes().decode("utf-8", "replace") for i in at]
+            n_toxic = np.bincount(inverse, toxic, len(at)).astype(np.int64)
+            # Names are asked for where a text is toxic only.
+            texts = [data[starts[i] : ends[i]].tobytes().decode("utf-8", "replace") if k else None for i, k in zip(at, n_toxic)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(distinct.view(np.int64)), pa.array(texts), pa.array(whole[at].astype(np.int8)), pa.array(np.bincount(inverse, minlength=len(at))),
-                 pa.array(np.bincount(inverse, toxic, len(at)).astype(np.int64))],
+                [pa.array(distinct.view(np.int64)), pa.array(texts, pa.string()), pa.array(whole[at].astype(np.int8)),
+                 pa.array(np.bincount(inverse, minlength=len(at))), pa.array(n_toxic)],
                 ["hash", "word", "whole", "n", "n_toxic"],
             )
 
