@@ -4,6 +4,7 @@ from collections import Counter
 
 import pytest
 
+from sievework.catalog import feature_queries
 from sievework.operators import features
 
 TEXTS = [
@@ -63,6 +64,14 @@ def test_feature_limit_keeps_the_most_frequent(spark, limit):
     assert weights(table) == pytest.approx(brute(1, 1.0, keep=kept))
 
 
+def test_query_with_options_weighs_every_term(spark, tmp_path):
+    rows = [(i, " ".join(f"w{i // 3 * 30 + j}" for j in range(30))) for i in range(300)]
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    weights = feature_queries.tfidf_options(spark, str(tmp_path))
+    # Each group of three documents has 30 words and 29 pairs of its own.
+    assert weights.count() == 300 * 59 and weights.select("term").distinct().count() == 100 * 59
+
+
 def test_prune_and_counts(spark):
     pruned = {r.term: r.df for r in features.doc_frequency_prune(docs(spark), "text", min_df=3).collect()}
     df = Counter(t for text in TEXTS for t in set(terms(text)))
