@@ -90,3 +90,23 @@ def test_the_stored_model_query_trains_one(spark, monkeypatch):
     monkeypatch.setattr(feature_queries, "_labelled", lambda *_: rows)
     found = feature_queries.save_model(spark, "").collect()
     assert len(found) == 200 and all(r.same for r in found) and len({r.model_prob for r in found}) > 10
+
+
+def test_rows_that_the_vocabulary_was_fitted_on_are_counted_once(spark, monkeypatch):
+    rows = records(spark).withColumn("is_test", F.col("pmid") % 4 == 0)
+    plain, calls = blocks.block_rows, []
+    monkeypatch.setattr(blocks, "block_rows", lambda *args, **how: calls.append(1) or plain(*args, **how))
+    stacked = models.stack_features(rows)
+    model = models.train_logistic(stacked, rows, held_out="is_test")
+    scored = {r.pmid: r.model_prob for r in models.score_logistic(model, rows).collect()}
+    assert len(calls) == 1
+    learned = models.train_logistic(stacked, rows.filter(~F.col("is_test")))
+    again = {r.pmid: r.model_prob for r in models.score_logistic(learned, rows.filter("true")).collect()}
+    assert len(calls) == 3 and len(scored) == 200 and again == pytest.approx(scored, abs=1e-5)
+
+
+def test_names_of_terms_are_shuffled_to_blocks_only_where_they_are_asked_for(spark):
+    model = models.stack_features(records(spark))
+    plan = model.transform(records(spark))._jdf.queryExecution().optimizedPlan().toString()
+    assert "FlatMapCoGroups" in plan
+    assert not re.search(r"Project \[_block#\d+L?, term", plan) and not re.search(r"Project \[_block.*code.*term#", plan)

@@ -213,3 +213,40 @@ def test_more_features_than_rows_need_no_vector_of_features_on_the_driver(spark,
     assert set(lengths) == {40}
     assert model.stages[-1].table.count() == stacked.terms.width
     assert models.loss_gradient(model, learned).agg(F.max(F.abs("slope"))).first()[0] < 1e-6
+
+
+def test_fit_by_rows_learns_from_the_products_it_has_seen(spark, monkeypatch):
+    class Local:
+        def __init__(self, x):
+            self.x, self.n, self.passes = x, len(x), 0
+
+        def times(self, v):
+            self.passes += 1
+            return self.x @ (self.x.T @ v)
+
+    rng = np.random.default_rng(4)
+    topic = rng.random((6, 900)) ** 6
+    x = topic[rng.integers(0, 6, 400)] * (rng.random((400, 900)) < 0.5) + 0.01 * rng.random((400, 900))
+    x = np.hstack([x / np.linalg.norm(x, axis=1, keepdims=True), np.ones((400, 1))])
+    side = np.where(rng.random(400) < 0.4, 1.0, -1.0)
+    passes = []
+    for kept in (0, dual.KEPT_NUMBERS):
+        monkeypatch.setattr(dual, "KEPT_NUMBERS", kept)
+        kernel = Local(x)
+        a = dual.minimise(kernel, side, np.ones(400), np.ones((400, 1)), 1.0, 100, 1e-6)
+        p = 1 / (1 + np.exp(-x @ (x.T @ a)))
+        assert np.linalg.norm(x.T @ (p - (side > 0)) + x.T @ a) <= 1e-5
+        passes.append(kernel.passes)
+    assert passes[1] < passes[0]
+
+
+def test_columns_of_a_block_are_summed_from_where_they_start(spark):
+    x, _, _, rows = problem(spark, n=60, width=40, seed=5)
+    numbered = models._with_numbers(rows, "_row").select("features", "_row")
+    x = np.array([r.features.toArray() for r in numbered.orderBy("_row").collect()])
+    blocks = dual.column_blocks(numbered, "_row", "features")
+    assert blocks.rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism
+    found = np.zeros(40)
+    for r in dual.Kernel(blocks, 60).coefficients(np.arange(60.0)).collect():
+        found[r.place] = r.weight
+    assert found == pytest.approx(x.T @ np.arange(60.0))
